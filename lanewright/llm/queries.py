@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanewright.llm import chat_format, embedding_dedup, mixing, packing, sharding, simhash, suffix_dedup, tiff_media, toxicity
+from lanewright.llm import chat_format, embedding_dedup, license_scan, mixing, packing, sharding, simhash, suffix_dedup, tiff_media, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +35,10 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeated_bytes(table(spark, sf_dir, "documents"), length=400)
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
@@ -86,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
     "op3_simhash": op3_simhash,
     "op4_suffix_dedup": op4_suffix_dedup,
+    "op5_license_scan": op5_license_scan,
     "op6_packing": op6_packing,
     "op7_chat_format": op7_chat_format,
     "op8_tiff_media": op8_tiff_media,
