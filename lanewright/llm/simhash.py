@@ -22,12 +22,12 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lanewright.llm.blocks import bucket_pairs, dealt_buckets, whole_buckets
 from lanewright.llm.components import connected_components, star_edges
-from lanewright.scratch import materialise
+from lanewright.scratch import join_checked, materialise
 
 SHINGLE = 4
 HASH_SEED = 42
@@ -128,8 +128,17 @@ def near_duplicates(docs: DataFrame, max_bits: int = 4, id_col: str = "doc_id",
 
 
 def drop_near_duplicates(docs: DataFrame, max_bits: int = 4) -> DataFrame:
-    """One document of each group stays: the one whose id is the component's. Rows without an id stay."""
-    groups = near_duplicates(docs, max_bits).filter("doc_id IS NOT NULL AND doc_id <> component_id")
-    gone = materialise(groups.select(F.col("doc_id").alias("_gone")).distinct(), "simhash-gone")
-    left = docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
-    return left
+    """One document of each group stays: the one whose id is the component's. Rows without an id stay.
+
+    Where several rows have that id, one of them stays (the first by text).
+    """
+    groups = materialise(near_duplicates(docs, max_bits).filter("doc_id IS NOT NULL"), "simhash-groups")
+    gone = materialise(groups.filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct(), "simhash-gone")
+    again = materialise(groups.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("doc_id").alias("_again")), "simhash-again")
+    left = join_checked(docs, gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    if again.isEmpty():
+        return left
+    one = join_checked(left, again, F.col("doc_id") == F.col("_again"), "left_semi")
+    first = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_first())
+    one = one.withColumn("_nth", F.row_number().over(first)).filter("_nth = 1").drop("_nth")
+    return join_checked(left, again, F.col("doc_id") == F.col("_again"), "left_anti").unionByName(one)
