@@ -108,10 +108,11 @@ def gate_records(ratios: DataFrame, domain: str, metric: str, value: str, limit:
 
 def route_files(df: DataFrame, file_col: str, expectations: list[dict], suspect: Column, limit: float) -> DataFrame:
     """Per input file: failed soft checks and the suspect ratio decide nothing for other files; files above the limit are excluded."""
-    soft = expectation_report(df, expectations, file_col).groupBy(file_col).agg(F.count_if(~F.col("success")).alias("soft_failures"))
-    ratio = df.groupBy(file_col).agg(F.avg(flag(suspect).cast("double")).alias("suspect_ratio"))
-    out = ratio.join(soft, file_col)
-    return out.select(file_col, "soft_failures", "suspect_ratio", F.when(F.col("suspect_ratio") <= limit, "passed").otherwise("excluded").alias("route"))
+    df = df.withColumn("_file", F.col(file_col))
+    soft = expectation_report(df, expectations, "_file").groupBy("_file").agg(F.count_if(~F.col("success")).alias("soft_failures"))
+    ratio = df.groupBy("_file").agg(F.avg(flag(suspect).cast("double")).alias("suspect_ratio"))
+    out = ratio.join(soft, "_file")
+    return out.select(F.col("_file").alias(file_col), "soft_failures", "suspect_ratio", F.when(F.col("suspect_ratio") <= limit, "passed").otherwise("excluded").alias("route"))
 
 
 def duplicate_keys(df: DataFrame, *keys: str) -> DataFrame:

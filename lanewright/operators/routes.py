@@ -84,7 +84,8 @@ def score_time(requests: DataFrame, slots: DataFrame, as_of: str, storage: str =
     s = slots.select("segment_id", "time", half_even(F.when(fresh, F.col("value")).otherwise(F.col("avg"))).cast("double").alias("v"), fresh.alias("fresh")).filter("v IS NOT NULL")
     by_segment = s.groupBy("segment_id").agg(F.map_from_entries(F.collect_list(F.struct("time", F.struct("v", "fresh").alias("e")))).alias("slots"))
     j = requests.join(by_segment, "segment_id", "left")
-    legs = F.array_sort(F.collect_list(F.struct("pos", "segment_id", "slots")))
+    # by position alone: a map has no order
+    legs = F.array_sort(F.collect_list(F.struct("pos", "segment_id", "slots")), lambda a, b: F.when(a["pos"] < b["pos"], -1).when(a["pos"] > b["pos"], 1).otherwise(0))
     routes = j.groupBy("route_id").agg(legs.alias("legs"), F.min_by("time", "pos").alias("start"))
     begin = F.coalesce(ts.clock_seconds(F.col("start")), F.lit(0)).cast("double")
     routes = routes.select("route_id", "legs", begin.alias("begin"), F.array().cast("array<struct<pos:bigint,segment_id:string,value:double,token:string>>").alias("none"))

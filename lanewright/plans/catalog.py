@@ -1,4 +1,658 @@
-"""Registered queries over the supplied tables, each with the SQL it is held against."""
+"""Registered queries over the supplied tables, each with the SQL it is held against.
+
+A query is a function (spark, sf_dir); ``@query(sql)`` registers it under its own name. Doubles are rounded to six digits.
+"""
+
+from __future__ import annotations
+
+import math
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lanewright.functions import geometry as geo
+from lanewright.functions import timeslot as ts
+from lanewright.functions import values as val
+from lanewright.operators import demand, quality, routes, spatial, store, tolls, traveltime, trips
+from lanewright.operators import network as net
+from lanewright.plans import inputs as inp
+from lanewright.scratch import materialise, scratch_path
+from lanewright.sources import selection
+from lanewright.streaming import streams
 
 QUERIES: dict = {}
 ORACLES: dict = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def r6(c: str):
+    return F.round(c, 6).alias(c)
+
+
+def slot_sql(t: str) -> str:
+    return f"printf('%02d%02d', hour({t}), (minute({t}) // 30) * 30)"
+
+
+READINGS = "readings AS (SELECT CAST(user_id AS VARCHAR) AS segment_id, value AS speed, ts AS observed_at FROM events)"
+NETWORK = "network AS (SELECT CAST(p_partkey AS VARCHAR) AS segment_id, upper(p_name) AS street_name, p_retailprice AS length_ft, CASE WHEN p_size <= 40 THEN p_size END AS speed_limit, p_brand AS borough_code FROM part)"
+TRIPS = "trips AS (SELECT ts AS pickup_datetime, user_id % 25 + 1 AS zone_id FROM events)"
+MAPPING = "mapping AS (SELECT CAST(c_custkey AS VARCHAR) AS segment_id, c_nationkey + 1 AS zone_id FROM customer)"
+SLOTS = "slots AS (SELECT printf('%02d%02d', i // 2, (i % 2) * 30) AS time FROM range(48) t(i))"
+SLOT_MEANS = f"""ranked AS (SELECT *, {slot_sql('observed_at')} AS time FROM readings WHERE speed >= 1.0),
+ weighted AS (SELECT *, row_number() OVER (PARTITION BY segment_id, time ORDER BY observed_at, speed) AS w FROM ranked),
+ means AS (SELECT segment_id, time, sum(speed * w) / sum(w) AS avg_speed, max(observed_at) AS last_observed_at FROM weighted GROUP BY ALL)"""
+GRID = f"""{TRIPS}, {SLOTS}, grid AS (SELECT * FROM (SELECT i AS zone_id FROM range(1, 26) t(i)), (SELECT DISTINCT CAST(pickup_datetime AS DATE) AS date FROM trips), slots),
+ counts AS (SELECT zone_id, CAST(pickup_datetime AS DATE) AS date, {slot_sql('pickup_datetime')} AS time, count(*) AS n FROM trips GROUP BY ALL),
+ daily AS (SELECT CAST(grid.zone_id AS INT) AS zone_id, 3 AS type, grid.date, grid.time, CAST(coalesce(n, 0) AS DOUBLE) AS value FROM grid LEFT JOIN counts USING (zone_id, date, time))"""
+DOW = "upper(strftime({}, '%a'))"
+WEEKS = 4
+ROLLED = f"""{GRID}, rolled AS (SELECT zone_id, type, {DOW.format('date')} AS dow, time, avg(value) AS value, count(*) AS sample_count FROM daily
+ WHERE date > (SELECT max(date) - {7 * WEEKS} FROM daily) GROUP BY ALL)"""
+REQUESTS = """requests AS (SELECT l_orderkey AS route_id, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_shipdate, l_quantity, l_extendedprice) AS pos,
+ CAST(l_partkey AS VARCHAR) AS segment_id FROM lineitem)"""
+
+
+# travel time
+
+
+@query(f"WITH {READINGS}, {NETWORK}, {SLOT_MEANS} SELECT segment_id, time, last_observed_at, round(length_ft / 5280 / avg_speed * 3600, 6) AS time_seconds FROM means JOIN network USING (segment_id) WHERE avg_speed > 0")
+def travel_time_by_slot(spark: SparkSession, d: str) -> DataFrame:
+    out = traveltime.slot_seconds(traveltime.drop_slow(inp.readings(spark, d)), inp.network(spark, d))
+    return out.select("segment_id", "time", "last_observed_at", r6("time_seconds"))
+
+
+@query(f"WITH {READINGS}, {SLOT_MEANS} SELECT segment_id, time, round(avg_speed, 6) AS avg_speed, last_observed_at FROM means")
+def slot_speed_means(spark: SparkSession, d: str) -> DataFrame:
+    return traveltime.slot_means(traveltime.drop_slow(inp.readings(spark, d))).select("segment_id", "time", r6("avg_speed"), "last_observed_at")
+
+
+@query(f"""WITH {READINGS}, link AS (SELECT DISTINCT CAST(l_suppkey AS VARCHAR) AS link_id, CAST(l_partkey AS VARCHAR) AS segment_id FROM lineitem WHERE l_linenumber = 1)
+ SELECT link.segment_id, count(*) AS readings, sum(CAST(round(speed * 100) AS BIGINT)) / count(*) / 100.0 AS speed FROM readings JOIN link ON readings.segment_id = link.link_id GROUP BY ALL""")
+def speed_fanout(spark: SparkSession, d: str) -> DataFrame:
+    out = traveltime.fan_out(inp.readings(spark, d).withColumnRenamed("segment_id", "link_id"), inp.link_map(spark, d))
+    return out.groupBy("segment_id").agg(F.count("*").alias("readings"), (F.sum(F.round(F.col("speed") * 100).cast("long")) / F.count("*") / 100.0).alias("speed"))
+
+
+RAW = """raw AS (SELECT CAST(user_id AS VARCHAR) AS link_id, CASE WHEN event_id % 50 = 0 THEN 'bad' WHEN event_id % 70 = 0 THEN NULL ELSE CAST(round(value, 2) AS VARCHAR) END AS speed,
+ CASE WHEN event_id % 90 = 0 THEN NULL ELSE '40.75,-73.98 40.76,-73.97' END AS link_points, CASE WHEN event_id % 110 = 0 THEN 'yesterday' ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS data_as_of FROM events)"""
+
+
+@query(f"WITH {RAW} SELECT link_id, link_points, round(TRY_CAST(speed AS DOUBLE), 6) AS speed, TRY_CAST(data_as_of AS TIMESTAMP) AS observed_at FROM raw WHERE speed IS NOT NULL AND link_points IS NOT NULL")
+def clean_readings(spark: SparkSession, d: str) -> DataFrame:
+    return traveltime.clean_readings(inp.raw_feed(spark, d)).withColumn("speed", F.round("speed", 6))
+
+
+@query(f"""WITH {RAW}, f AS (SELECT link_id, NOT coalesce(TRY_CAST(speed AS DOUBLE) BETWEEN 0 AND 150 AND TRY_CAST(data_as_of AS TIMESTAMP) BETWEEN TIMESTAMP '2017-01-01' AND TIMESTAMP '2024-02-02', false) AS s FROM raw)
+ SELECT link_id, count(*) AS readings, round(avg(CAST(s AS INT)), 6) AS suspect_ratio FROM f GROUP BY ALL""")
+def suspect_readings(spark: SparkSession, d: str) -> DataFrame:
+    f = inp.raw_feed(spark, d).withColumn("s", traveltime.reading_suspect(F.lit("2024-02-01").cast("timestamp")))
+    return f.groupBy("link_id").agg(F.count("*").alias("readings"), F.round(F.avg(F.col("s").cast("int")), 6).alias("suspect_ratio"))
+
+
+@query(f"WITH {READINGS} SELECT time_bucket(INTERVAL 30 MINUTE, observed_at) AS bucket, max(observed_at) AS latest, count(DISTINCT segment_id) AS links FROM readings GROUP BY ALL")
+def bucket_profile(spark: SparkSession, d: str) -> DataFrame:
+    return traveltime.bucket_profile(inp.readings(spark, d))
+
+
+HALVES = f"""{READINGS}, slotted AS (SELECT segment_id, {slot_sql('observed_at')} AS time, * EXCLUDE segment_id FROM readings),
+ new AS (SELECT segment_id, time, round_even(max_by(speed, observed_at), 0) AS value, max(observed_at) AS last_sample_at FROM slotted GROUP BY ALL),
+ state AS (SELECT segment_id, time, round_even(min_by(speed, observed_at), 0) AS avg, CASE WHEN CAST(segment_id AS INT) % 5 > 0 THEN count(*) END AS count, CASE WHEN CAST(segment_id AS INT) % 3 = 0 THEN max(observed_at) ELSE min(observed_at) END AS last_sample_at FROM slotted WHERE CAST(segment_id AS INT) % 4 > 0 GROUP BY segment_id, time)"""
+
+
+@query(f"""WITH {HALVES}, j AS (SELECT n.segment_id, n.time, n.value, n.last_sample_at, s.segment_id IS NULL AS fresh, s.avg AS a, s.count AS c, s.last_sample_at = n.last_sample_at AS replay FROM new n LEFT JOIN state s USING (segment_id, time))
+ SELECT segment_id, time, value, last_sample_at, round_even(CASE WHEN fresh THEN value WHEN replay THEN a WHEN coalesce(c, 0) = 0 THEN value ELSE a + (value - a) / least(c + 1, 10) END, 0) AS avg,
+ CASE WHEN fresh THEN 1 WHEN replay THEN coalesce(c, 1) WHEN coalesce(c, 0) = 0 THEN 1 ELSE c + 1 END AS count, 'v1+' || substr(sha256('10'), 1, 6) AS avg_formula_version, DATE '2024-02-01' AS updated_date FROM j""")
+def running_mean_merge(spark: SparkSession, d: str) -> DataFrame:
+    r = inp.readings(spark, d).withColumn("time", ts.slot(F.col("observed_at")))
+    new = r.groupBy("segment_id", "time").agg(val.half_even(F.max_by("speed", "observed_at")).alias("value"), F.max("observed_at").alias("last_sample_at"))
+    n = F.col("segment_id").cast("int")
+    g = r.filter(n % 4 > 0).groupBy("segment_id", "time").agg(val.half_even(F.min_by("speed", "observed_at")).alias("avg"), F.count("*").alias("c"), F.min("observed_at").alias("a"), F.max("observed_at").alias("b"))
+    state = g.select("segment_id", "time", "avg", F.when(n % 5 > 0, F.col("c")).alias("count"), F.when(n % 3 == 0, F.col("b")).otherwise(F.col("a")).alias("last_sample_at"))
+    return traveltime.running_mean(new, state, "2024-02-01")
+
+
+REPLAY = f"""SELECT segment_id, time, r.avg AS avg, r.n AS count, r.t AS last_sample_at FROM (SELECT segment_id, time, list_reduce(list({{'avg': round_even(speed, 0), 'n': CAST(1 AS BIGINT), 't': observed_at, 'v': speed}} ORDER BY observed_at, speed),
+ lambda a, x: {{'avg': round_even(a.avg + (x.v - a.avg) / least(a.n + 1, 10), 0), 'n': a.n + 1, 't': x.t, 'v': x.v}}) AS r FROM (SELECT DISTINCT segment_id, {slot_sql('observed_at')} AS time, speed, observed_at FROM readings) GROUP BY segment_id, time)"""
+
+
+@query(f"WITH {READINGS} {REPLAY}")
+def running_mean_replay(spark: SparkSession, d: str) -> DataFrame:
+    h = inp.readings(spark, d).select("segment_id", ts.slot(F.col("observed_at")).alias("time"), F.col("speed").alias("value"), F.col("observed_at").alias("last_sample_at"))
+    return traveltime.replay_means(h, ["segment_id", "time"])
+
+
+@query(f"""WITH {NETWORK}, {SLOTS}, {READINGS}, live AS (SELECT DISTINCT segment_id, {slot_sql('observed_at')} AS time FROM readings)
+ SELECT segment_id, time, CAST(round_even(length_ft / 5280 / speed_limit * 3600, 0) AS DOUBLE) AS avg FROM network, slots WHERE length_ft > 0 AND speed_limit > 0 AND NOT EXISTS (SELECT 1 FROM live l WHERE l.segment_id = network.segment_id AND l.time = slots.time)""")
+def spec_backfill(spark: SparkSession, d: str) -> DataFrame:
+    live = inp.readings(spark, d).select("segment_id", ts.slot(F.col("observed_at")).alias("time")).distinct()
+    return traveltime.backfill_slots(inp.network(spark, d), live).select("segment_id", "time", "avg")
+
+
+@query()
+def synthetic_fill(spark: SparkSession, d: str) -> DataFrame:
+    """Varied speeds use Spark's own hash, so SQL elsewhere can't repeat them; tests check coverage and bounds."""
+    filled = traveltime.fill_buckets(inp.readings(spark, d), inp.network(spark, d))
+    return filled.groupBy("segment_id", "synthetic").agg(F.count("*").alias("readings"), F.round(F.avg("speed"), 6).alias("speed"))
+
+
+@query(f"""WITH {READINGS}, {NETWORK}, b AS (SELECT time_bucket(INTERVAL 30 MINUTE, observed_at) AS bucket, segment_id FROM readings), k AS (SELECT count(DISTINCT bucket) AS n FROM b),
+ own AS (SELECT segment_id, count(DISTINCT bucket) AS has FROM b GROUP BY ALL) SELECT network.segment_id, n - coalesce(has, 0) AS gaps, CASE WHEN speed_limit > 0 THEN CAST(speed_limit AS DOUBLE) ELSE 25.0 END AS reference_speed FROM network CROSS JOIN k LEFT JOIN own USING (segment_id) WHERE n > coalesce(has, 0)""")
+def synthetic_gaps(spark: SparkSession, d: str) -> DataFrame:
+    filled = traveltime.fill_buckets(inp.readings(spark, d), inp.network(spark, d)).filter("synthetic")
+    return filled.groupBy("segment_id").agg(F.count("*").alias("gaps")).join(traveltime.reference_speeds(inp.network(spark, d)).select("segment_id", "reference_speed"), "segment_id")
+
+
+@query(f"WITH {READINGS}, {NETWORK} SELECT segment_id, street_name FROM network WHERE segment_id NOT IN (SELECT segment_id FROM readings)")
+def uncovered_segments(spark: SparkSession, d: str) -> DataFrame:
+    return traveltime.uncovered(inp.network(spark, d), inp.readings(spark, d)).select("segment_id", "street_name")
+
+
+STATE = f"state AS (SELECT segment_id, {slot_sql('observed_at')} AS time, round(max(speed), 2) AS value, round(min(speed), 2) AS avg, max(observed_at) AS last_sample_at FROM readings GROUP BY ALL)"
+
+
+@query(f"WITH {READINGS}, {STATE} SELECT segment_id, time, value, avg, last_sample_at FROM state")
+def snapshot_map(spark: SparkSession, d: str) -> DataFrame:
+    snap = traveltime.snapshot_rows(inp.slot_state(spark, d))
+    return snap.select("segment_id", F.explode("slots").alias("time", "v")).select("segment_id", "time", "v.value", "v.avg", "v.last_sample_at")
+
+
+# demand
+
+
+@query(f"WITH {GRID} SELECT zone_id, type, date, time, value FROM daily")
+def daily_zone_grid(spark: SparkSession, d: str) -> DataFrame:
+    return demand.daily_grid(demand.valid_pickups(inp.trips(spark, d)), inp.zones(spark))
+
+
+@query(f"WITH {ROLLED} SELECT zone_id, type, dow, time, round(value, 6) AS value, sample_count FROM rolled")
+def weekday_rolling(spark: SparkSession, d: str) -> DataFrame:
+    return demand.weekday_means(demand.daily_grid(inp.trips(spark, d), inp.zones(spark)), WEEKS).withColumn("value", F.round("value", 6))
+
+
+@query(f"WITH {ROLLED}, {MAPPING} SELECT segment_id, type, dow, time, round(value, 6) AS value FROM mapping JOIN rolled USING (zone_id)")
+def zone_to_segment(spark: SparkSession, d: str) -> DataFrame:
+    rolled = demand.weekday_means(demand.daily_grid(inp.trips(spark, d), inp.zones(spark)), WEEKS)
+    return demand.expand_to_segments(rolled, inp.mapping(spark, d)).withColumn("value", F.round("value", 6))
+
+
+@query(f"WITH {GRID} SELECT rule, n FROM (SELECT 'missing_dates' AS rule, 31 - count(DISTINCT date) AS n FROM daily WHERE date BETWEEN DATE '2024-01-01' AND DATE '2024-01-31' UNION ALL SELECT 'row_count_off', abs(count(*) - 25 * 48 * 31) FROM daily) WHERE n > 0")
+def coverage_violations(spark: SparkSession, d: str) -> DataFrame:
+    return demand.cube_violations(demand.daily_grid(inp.trips(spark, d), inp.zones(spark)), "2024-01", inp.zones(spark))
+
+
+@query(f"WITH {ROLLED}, {MAPPING}, s AS (SELECT count(DISTINCT segment_id) AS want FROM mapping), v AS (SELECT count(DISTINCT segment_id) AS seen, count(*) AS rows FROM mapping JOIN rolled USING (zone_id) WHERE zone_id <= 20) SELECT rule, n FROM (SELECT 'uncovered_segments' AS rule, want - seen AS n FROM s, v UNION ALL SELECT 'row_count_off', want * 336 - rows FROM s, v) WHERE n > 0")
+def segment_violations(spark: SparkSession, d: str) -> DataFrame:
+    rolled = demand.weekday_means(demand.daily_grid(inp.trips(spark, d), inp.zones(spark)), WEEKS).filter("zone_id <= 20")
+    m = inp.mapping(spark, d)
+    return demand.segment_violations(demand.expand_to_segments(rolled, m), m)
+
+
+@query(f"WITH {ROLLED} SELECT min(sample_count) AS least, max(sample_count) AS most, min(sample_count) = {WEEKS} AND max(sample_count) = {WEEKS} AS ok FROM rolled")
+def sample_gate(spark: SparkSession, d: str) -> DataFrame:
+    return demand.sample_gate(demand.weekday_means(demand.daily_grid(inp.trips(spark, d), inp.zones(spark)), WEEKS), WEEKS)
+
+
+@query(f"WITH {ROLLED} SELECT zone_id || '#' || dow || '#' || time AS key, round(value, 6) AS value FROM rolled")
+def demand_snapshot(spark: SparkSession, d: str) -> DataFrame:
+    rolled = demand.weekday_means(demand.daily_grid(inp.trips(spark, d), inp.zones(spark)), WEEKS)
+    return demand.demand_snapshot(rolled).withColumn("value", F.round("value", 6))
+
+
+@query(f"WITH {TRIPS}, x AS (SELECT DISTINCT CAST(pickup_datetime AS DATE) AS date FROM trips) SELECT date FROM x ORDER BY date DESC LIMIT 28")
+def latest_partitions(spark: SparkSession, d: str) -> DataFrame:
+    return selection.latest_partitions(inp.trips(spark, d).select(F.to_date("pickup_datetime").alias("date")).distinct(), 28)
+
+
+@query(f"WITH {TRIPS} SELECT zone_id, CAST(pickup_datetime AS DATE) AS date, count(*) AS n FROM trips WHERE pickup_datetime > (SELECT max(pickup_datetime) - INTERVAL 6 HOUR FROM trips) GROUP BY ALL")
+def newest_readings(spark: SparkSession, d: str) -> DataFrame:
+    t = inp.trips(spark, d)
+    top = F.lit(t.agg(F.max("pickup_datetime")).first()[0])
+    new = selection.newer_than(t, "pickup_datetime", top - F.expr("INTERVAL 6 HOURS"))
+    return new.groupBy(F.col("pickup_location_id").cast("long").alias("zone_id"), F.to_date("pickup_datetime").alias("date")).agg(F.count("*").alias("n"))
+
+
+# trips and quality
+
+STANDARD = """std AS (SELECT 'yellow' AS kind, ts AS pickup_datetime, ts AS dropoff_datetime, CAST(user_id % 300 AS INT) AS pickup_location_id, CAST(user_id % 7 AS INT) AS dropoff_location_id, CAST(event_id % 6 - 1 AS INT) AS passenger_count, value AS trip_distance FROM events
+ UNION ALL SELECT 'fhv', o_orderdate, o_orderdate, CAST(o_custkey % 265 + 1 AS INT), CAST(CASE WHEN o_orderkey % 9 != 0 THEN o_custkey % 100 + 1 END AS INT), NULL, NULL FROM orders
+ UNION ALL SELECT 'fhvhv', l_shipdate, l_shipdate, CAST(l_suppkey AS INT), CAST(l_linenumber AS INT), NULL, l_quantity - 2 FROM lineitem),
+ flagged AS (SELECT *, coalesce(pickup_datetime IS NULL OR dropoff_datetime IS NULL OR pickup_location_id IS NULL OR dropoff_location_id IS NULL OR pickup_location_id NOT BETWEEN 1 AND 265 OR dropoff_location_id NOT BETWEEN 1 AND 265 OR passenger_count < 0 OR trip_distance < 0, false) AS is_suspect FROM std)"""
+
+
+@query(f"WITH {STANDARD} SELECT pickup_datetime, dropoff_datetime, pickup_location_id, dropoff_location_id, passenger_count, trip_distance, is_suspect FROM flagged")
+def trip_standardise_union(spark: SparkSession, d: str) -> DataFrame:
+    return trips.standardise_all(inp.trip_frames(spark, d))
+
+
+@query(f"WITH {STANDARD}, n AS (SELECT count(*) AS t, count(pickup_datetime) AS a, count(dropoff_location_id) AS b, count(passenger_count) AS c, count(trip_distance) AS e FROM flagged) SELECT u.column_name, t AS total_count, t - u.k AS null_count, round((t - u.k) * 100.0 / t, 6) AS null_percent FROM n, LATERAL (VALUES ('pickup_datetime', a), ('dropoff_location_id', b), ('passenger_count', c), ('trip_distance', e)) u(column_name, k)")
+def null_census(spark: SparkSession, d: str) -> DataFrame:
+    out = trips.null_census(trips.standardise_all(inp.trip_frames(spark, d)), ["pickup_datetime", "dropoff_location_id", "passenger_count", "trip_distance"])
+    return out.withColumn("null_percent", F.round("null_percent", 6))
+
+
+def _by_kind(spark: SparkSession, d: str) -> DataFrame:
+    parts = [trips.standardise(df, k).withColumn("kind", F.lit(k)) for k, df in inp.trip_frames(spark, d).items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query(f"WITH {STANDARD} SELECT kind, round(avg(CAST(is_suspect AS INT)), 6) AS suspect_ratio FROM flagged GROUP BY ALL")
+def suspect_ratio(spark: SparkSession, d: str) -> DataFrame:
+    return trips.suspect_ratio(_by_kind(spark, d), "kind").withColumn("suspect_ratio", F.round("suspect_ratio", 6))
+
+
+@query(f"WITH {STANDARD}, s AS (SELECT kind, round(avg(CAST(is_suspect AS INT)), 6) AS value FROM flagged GROUP BY ALL) SELECT 'trips' AS domain, 'suspect_ratio' AS metric, value, CAST(0.15 AS DOUBLE) AS threshold, CASE WHEN value <= 0.15 THEN 'pass' ELSE 'block' END AS decision, kind FROM s")
+def gate_records(spark: SparkSession, d: str) -> DataFrame:
+    return quality.gate_records(trips.suspect_ratio(_by_kind(spark, d), "kind"), "trips", "suspect_ratio", "suspect_ratio", 0.15, "kind")
+
+
+@query(f"""WITH {STANDARD}, c AS (SELECT kind, avg(CAST(is_suspect AS INT)) AS r, count(*) AS n, count(dropoff_location_id) AS dl, count_if(pickup_location_id NOT BETWEEN 1 AND 265) AS pb FROM flagged GROUP BY ALL)
+ SELECT kind, CAST(dl < n AS BIGINT) + CAST(pb > 0 AS BIGINT) AS soft_failures, round(r, 6) AS suspect_ratio, CASE WHEN r <= 0.15 THEN 'passed' ELSE 'excluded' END AS route FROM c""")
+def file_routing(spark: SparkSession, d: str) -> DataFrame:
+    out = quality.route_files(_by_kind(spark, d), "kind", [quality.not_null("dropoff_location_id"), quality.between("pickup_location_id", 1, 265)], F.col("is_suspect"), 0.15)
+    return out.withColumn("suspect_ratio", F.round("suspect_ratio", 6))
+
+
+@query("""WITH s AS (SELECT count(*) AS n, count(value) AS v, count_if(value < 1 OR value > 400) AS bad, count(DISTINCT user_id) AS users, count_if(event_type NOT IN ('click', 'view')) AS odd FROM events)
+ SELECT 0 AS position, 'row_count' AS kind, NULL AS column_name, n AS element_count, CAST(NULL AS BIGINT) AS unexpected_count, CAST(n AS DOUBLE) AS observed, n >= 1 AS success, CAST(NULL AS VARCHAR) AS exception FROM s
+ UNION ALL SELECT 1, 'not_null', 'value', n, n - v, v / n, v / n >= 0.9, NULL FROM s UNION ALL SELECT 2, 'between', 'value', n, bad, round((v - bad) / v, 6), (v - bad) / v >= 0.9, NULL FROM s
+ UNION ALL SELECT 3, 'distinct_count', 'user_id', n, NULL, users, users >= 100000, NULL FROM s UNION ALL SELECT 4, 'is_in', 'event_type', n, odd, round((n - odd) / n, 6), (n - odd) / n >= 1, NULL FROM s
+ UNION ALL SELECT 5, 'not_null', 'absent', n, NULL, NULL, false, 'column is absent' FROM s""")
+def expectation_report(spark: SparkSession, d: str) -> DataFrame:
+    checks = [quality.row_count(), quality.not_null("value", 0.9), quality.between("value", 1, 400, 0.9), quality.distinct_count("user_id", 100_000), quality.is_in("event_type", ["click", "view"]), quality.not_null("absent")]
+    return quality.expectation_report(inp.table(spark, d, "events"), checks).withColumn("observed", F.round("observed", 6))
+
+
+@query("""WITH k AS (SELECT count(*) AS n, count(DISTINCT (l_partkey, l_suppkey, l_quantity)) AS v FROM lineitem GROUP BY l_orderkey, l_linenumber)
+ SELECT CAST(sum(n) AS BIGINT) AS total_rows, count(*) AS unique_keys, count_if(n > 1) AS duplicate_keys, count_if(n > 1 AND v = 1) AS exact_duplicate_keys, count_if(v > 1) AS conflicting_keys, round(avg(CAST(v > 1 AS INT)), 6) AS conflict_ratio FROM k""")
+def duplicate_profile(spark: SparkSession, d: str) -> DataFrame:
+    out = quality.duplicate_profile(inp.table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey", "l_quantity"])
+    return out.withColumn("conflict_ratio", F.round("conflict_ratio", 6))
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_quantity) = 1")
+def dedup_first(spark: SparkSession, d: str) -> DataFrame:
+    li = inp.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    return net.first_of(li, ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey", "l_quantity"])
+
+
+@query(" UNION ALL ".join(f"SELECT '{c}' AS column_name, count({c}) AS n, CAST(min({c}) AS DOUBLE) AS min, round(quantile_cont({c}, 0.5), 6) AS p50, round(quantile_cont({c}, 0.95), 6) AS p95, round(quantile_cont({c}, 0.99), 6) AS p99, CAST(max({c}) AS DOUBLE) AS max FROM lineitem" for c in ("l_quantity", "l_extendedprice", "l_discount")))
+def distribution_profile(spark: SparkSession, d: str) -> DataFrame:
+    out = quality.distribution(inp.table(spark, d, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount"])
+    return out.withColumns({c: F.round(c, 6) for c in ("p50", "p95", "p99")})
+
+
+@query("WITH h AS (SELECT CAST('0x' || substr(md5(concat_ws('|', CAST(c_custkey AS VARCHAR), CAST(c_nationkey + 1 AS VARCHAR))), 1, 15) AS BIGINT) AS h FROM customer) SELECT count(*) AS rows, CAST(sum(CAST(h AS HUGEINT)) % 1152921504606846976 AS BIGINT) AS hash_sum, bit_xor(h) AS hash_xor FROM h")
+def content_hash(spark: SparkSession, d: str) -> DataFrame:
+    return quality.content_hash(inp.mapping(spark, d), ["segment_id", "zone_id"])
+
+
+@query("WITH x AS (SELECT DISTINCT l_suppkey AS v FROM lineitem WHERE l_quantity > 45) SELECT (SELECT list(v ORDER BY v)[1:5] FROM x)::VARCHAR AS sample, greatest(count(*) - 5, 0) AS more FROM x")
+def offender_sample(spark: SparkSession, d: str) -> DataFrame:
+    out = quality.offender_sample(inp.table(spark, d, "lineitem").filter("l_quantity > 45"), "l_suppkey")
+    return out.select(F.concat(F.lit("["), F.array_join(F.col("sample").cast("array<string>"), ", "), F.lit("]")).alias("sample"), "more")
+
+
+@query("""SELECT DISTINCT o_custkey AS k, 'extra' AS side FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 3 > 0) UNION ALL
+ SELECT c_custkey, 'missing' FROM customer WHERE c_custkey % 3 > 0 AND c_custkey NOT IN (SELECT o_custkey FROM orders)""")
+def set_difference(spark: SparkSession, d: str) -> DataFrame:
+    want = inp.table(spark, d, "customer").filter("c_custkey % 3 > 0").select(F.col("c_custkey").alias("k"))
+    return quality.set_difference(want, inp.table(spark, d, "orders").select(F.col("o_custkey").alias("k")), "k")
+
+
+# network, state tables
+
+
+@query(f"WITH {NETWORK}, v AS (SELECT segment_id, CAST(round_even(length_ft, 0) AS DOUBLE) AS value FROM network WHERE length_ft > 0) SELECT segment_id, value FROM v UNION ALL SELECT 'GLOBAL', round_even(median(value), 0) FROM v")
+def length_with_global(spark: SparkSession, d: str) -> DataFrame:
+    return net.lengths_with_global(net.positive_lengths(inp.network(spark, d)))
+
+
+@query("""WITH r AS (SELECT trim(' ' || p_partkey || ' ') AS segment_id, nullif(upper(trim(regexp_replace(replace(p_name, ' ', '   '), '\\s+', ' ', 'g'))), '') AS street_name, p_retailprice * (CASE WHEN p_partkey % 40 = 0 THEN -1 ELSE 1 END) AS length_ft,
+ TRY_CAST(CASE WHEN p_partkey % 7 = 0 THEN '' ELSE CAST(p_size * 2 AS VARCHAR) END AS INT) AS speed_limit, CASE WHEN p_partkey % 11 = 0 THEN '' ELSE 'n' || p_partkey END AS node_from FROM part)
+ SELECT segment_id, street_name, round(length_ft, 6) AS length_ft, speed_limit, node_from, coalesce(length_ft < 0, false) OR coalesce(speed_limit NOT BETWEEN 1 AND 80, false) OR node_from = '' AS is_suspect FROM r""")
+def network_clean(spark: SparkSession, d: str) -> DataFrame:
+    p, k = inp.table(spark, d, "part"), F.col("p_partkey")
+    raw = p.select(
+        F.concat(F.lit(" "), k.cast("string"), F.lit(" ")).alias("SegmentID"), F.regexp_replace("p_name", " ", "   ").alias("Street"), (F.col("p_retailprice") * F.when(k % 40 == 0, -1).otherwise(1)).cast("string").alias("SHAPE_Length"),
+        F.when(k % 7 == 0, " ").otherwise((F.col("p_size") * 2).cast("string")).alias("POSTED_SPEED"), F.when(k % 11 == 0, " ").otherwise(F.concat(F.lit("n"), k.cast("string"))).alias("NodeIDFrom"),
+    )
+    return net.flag_network(net.clean_network(raw)).withColumn("length_ft", F.round("length_ft", 6))
+
+
+@query("""SELECT p_partkey AS id, CASE WHEN p_partkey % 3 = 0 THEN p_size + 100 WHEN p_partkey % 2 = 0 THEN p_size END AS value, CASE WHEN p_partkey % 2 = 0 THEN p_brand END AS note, CASE WHEN p_partkey % 3 = 0 THEN 'new' END AS tag FROM part WHERE p_partkey % 2 = 0 OR p_partkey % 3 = 0""")
+def upsert_merge(spark: SparkSession, d: str) -> DataFrame:
+    p = inp.table(spark, d, "part").withColumnRenamed("p_partkey", "id")
+    state = p.filter("id % 2 = 0").select("id", F.col("p_size").alias("value"), F.col("p_brand").alias("note"))
+    return store.upsert(state, p.filter("id % 3 = 0").select("id", (F.col("p_size") + 100).alias("value"), F.lit("new").alias("tag")), ["id"])
+
+
+@query("SELECT p_partkey AS id, p_size AS value FROM part WHERE p_partkey % 2 = 0 UNION ALL SELECT p_partkey, p_size + 100 FROM part WHERE p_partkey % 3 = 0 AND p_partkey % 2 <> 0")
+def insert_if_absent(spark: SparkSession, d: str) -> DataFrame:
+    p = inp.table(spark, d, "part").withColumnRenamed("p_partkey", "id")
+    return store.insert_absent(p.filter("id % 2 = 0").select("id", F.col("p_size").alias("value")), p.filter("id % 3 = 0").select("id", (F.col("p_size") + 100).alias("value")), ["id"])
+
+
+@query("SELECT (SELECT count(DISTINCT c_custkey) FROM customer WHERE c_custkey % 3 > 0) AS valid_count, count(DISTINCT o_custkey) AS stale_keys, count(*) AS deleted_rows FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 3 > 0)")
+def stale_key_report(spark: SparkSession, d: str) -> DataFrame:
+    valid = inp.table(spark, d, "customer").filter("c_custkey % 3 > 0").select(F.col("c_custkey").alias("o_custkey"))
+    return store.stale_report(inp.table(spark, d, "orders"), valid, "o_custkey")
+
+
+@query("SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_custkey % 3 > 0)")
+def stale_key_delete(spark: SparkSession, d: str) -> DataFrame:
+    valid = inp.table(spark, d, "customer").filter("c_custkey % 3 > 0").select(F.col("c_custkey").alias("o_custkey"))
+    return store.keep_valid(inp.table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"), valid, "o_custkey")
+
+
+@query("SELECT s_suppkey AS id, round(s_acctbal, 6) AS value FROM supplier")
+def snapshot_replace(spark: SparkSession, d: str) -> DataFrame:
+    """An old table, a published replacement, and what a reader then sees."""
+    path = scratch_path(spark, "replaced")
+    old = inp.table(spark, d, "part").select(F.col("p_partkey").alias("id"), F.col("p_retailprice").alias("value"))
+    store.publish(old, path)
+    store.publish(store.replacement(inp.table(spark, d, "supplier").select(F.col("s_suppkey").alias("id"), F.round("s_acctbal", 6).alias("value"))), path)
+    return store.current(spark, path)
+
+
+@query("SELECT o_orderkey, o_custkey, coalesce(c_mktsegment, 'none') AS c_mktsegment FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 3 > 0) ON o_custkey = c_custkey")
+def keyed_lookup(spark: SparkSession, d: str) -> DataFrame:
+    c = inp.table(spark, d, "customer").filter("c_custkey % 3 > 0").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment")
+    return store.lookup(inp.table(spark, d, "orders").select("o_orderkey", "o_custkey"), c, ["o_custkey"], "c_mktsegment", "none")
+
+
+@query("SELECT max(l_shipdate)::DATE AS computed, max(o_orderdate)::DATE AS published, datediff('day', max(o_orderdate)::DATE, max(l_shipdate)::DATE) AS lag_days, datediff('day', max(o_orderdate)::DATE, max(l_shipdate)::DATE) > 3 AS stale FROM (SELECT max(l_shipdate) AS l_shipdate FROM lineitem), (SELECT max(o_orderdate) AS o_orderdate FROM orders)")
+def staleness_lag(spark: SparkSession, d: str) -> DataFrame:
+    li, o = inp.table(spark, d, "lineitem"), inp.table(spark, d, "orders")
+    return store.staleness(li.select(F.to_date("l_shipdate").alias("day")), o.select(F.to_date("o_orderdate").alias("day")), "day")
+
+
+LANDED = "landed AS (SELECT DISTINCT strftime(o_orderdate, '%Y-%m') AS month, o_orderpriority AS kind FROM orders WHERE o_custkey % 50 > 0 AND o_orderkey % 40 = 1)"
+
+
+@query(f"WITH {LANDED}, w AS (SELECT strftime((SELECT max(o_orderdate)::DATE FROM orders) - to_months(CAST(i AS INT)), '%Y-%m') AS month FROM range(2, 6) t(i)) SELECT w.month, k.kind FROM w, (SELECT DISTINCT o_orderpriority AS kind FROM orders) k WHERE (w.month, k.kind) NOT IN (SELECT (month, kind) FROM landed)")
+def missing_inputs(spark: SparkSession, d: str) -> DataFrame:
+    o = inp.table(spark, d, "orders")
+    landed = o.filter("o_custkey % 50 > 0 AND o_orderkey % 40 = 1").select(F.date_format("o_orderdate", "yyyy-MM").alias("month"), F.col("o_orderpriority").alias("kind")).distinct()
+    as_of = F.lit(o.agg(F.to_date(F.max("o_orderdate"))).first()[0])
+    return selection.missing_inputs(landed, as_of, o.select(F.col("o_orderpriority").alias("kind")).distinct())
+
+
+@query(f"WITH {LANDED}, k AS (SELECT DISTINCT o_orderpriority AS kind FROM orders), m AS (SELECT DISTINCT strftime(o_orderdate, '%Y-%m') AS month FROM orders) SELECT m.month, count(*) FILTER (l.kind IS NOT NULL) AS have, count(*) FILTER (l.kind IS NULL) AS missing, bool_and(l.kind IS NOT NULL) AS ready FROM m CROSS JOIN k LEFT JOIN landed l ON l.month = m.month AND l.kind = k.kind GROUP BY ALL")
+def complete_months(spark: SparkSession, d: str) -> DataFrame:
+    o = inp.table(spark, d, "orders")
+    m = o.select(F.date_format("o_orderdate", "yyyy-MM").alias("month"), F.col("o_orderpriority").alias("kind"), ((F.col("o_custkey") % 50 > 0) & (F.col("o_orderkey") % 40 == 1)).alias("done"))
+    m = m.groupBy("month", "kind").agg(F.max("done").alias("done")).withColumn("path", F.concat_ws("/", "month", "kind"))
+    kinds = [r.kind for r in o.select(F.col("o_orderpriority").alias("kind")).distinct().limit(100).collect()]
+    return selection.complete_months(m, kinds).select("month", F.size("paths").cast("long").alias("have"), F.size("missing").cast("long").alias("missing"), "ready")
+
+
+# scalar functions
+
+
+@query(f"""SELECT event_id, {slot_sql('ts')} AS slot, {DOW.format('ts')} AS dow, printf('%02d%02d', hour(ts), (minute(ts) // 30) * 30) AS clock_slot, strftime(date_trunc('minute', (ts::DATE + ts::TIME) + INTERVAL 7261 SECOND - second(ts) * INTERVAL 1 SECOND), '%H:%M') AS later,
+ ts::DATE = DATE '2024-01-15' AS fresh, user_id || '#' || event_type AS key, 'v1+' || substr(sha256('10|x'), 1, 6) AS version, coalesce(nullif(event_type, 'click'), 'CLICKED') AS label FROM events""")
+def scalar_functions(spark: SparkSession, d: str) -> DataFrame:
+    t, clock = F.col("ts"), F.date_format("ts", "HH:mm")
+    return inp.table(spark, d, "events").select(
+        "event_id", ts.slot(t).alias("slot"), ts.weekday(F.to_date(t)).alias("dow"), ts.slot_of_clock(clock).alias("clock_slot"), ts.clock_plus(clock, F.lit(7261)).alias("later"),
+        ts.is_fresh(t, F.lit("2024-01-15").cast("date")).alias("fresh"), val.composite_key(F.col("user_id"), F.col("event_type")).alias("key"), val.formula_version("v1", 10, "x").alias("version"),
+        F.coalesce(val.label_of(F.col("event_type"), {"click": "CLICKED"}), "event_type").alias("label"),
+    )
+
+
+# tolls
+
+PATTERNS = {"gear_bridge": "GEAR", "bolt_tunnel": "BOLT", "widget_way": "WIDGET", "red_road": "RED"}
+RATES = {"gear_bridge": 6.5, "bolt_tunnel": 3.25, "red_road": 1.75}
+FLAT = 0.75
+FACILITIES = "f(ordinal, facility_key, pattern, passenger) AS (VALUES " + ", ".join(f"({i}, '{k}', '{p}', {RATES.get(k, 'NULL')})" for i, (k, p) in enumerate(PATTERNS.items())) + ")"
+
+
+@query(f"WITH {NETWORK}, {FACILITIES} SELECT segment_id, facility_key, ordinal FROM network JOIN f ON contains(street_name, pattern)")
+def toll_facility_match(spark: SparkSession, d: str) -> DataFrame:
+    return tolls.match_facilities(inp.network(spark, d), tolls.facility_table(spark, PATTERNS))
+
+
+TOLLS = f"""{FACILITIES}, road AS (SELECT segment_id, min_by(passenger, ordinal) AS v FROM network JOIN f ON contains(street_name, pattern) WHERE passenger IS NOT NULL GROUP BY ALL),
+ flat AS (SELECT CAST(p_partkey AS VARCHAR) AS segment_id, {FLAT} AS v FROM part WHERE p_size <= 5), tolls AS (SELECT segment_id, CAST(coalesce(road.v, 0) + coalesce(flat.v, 0) AS DOUBLE) AS value FROM road FULL JOIN flat USING (segment_id))"""
+
+
+def _tolls(spark: SparkSession, d: str) -> DataFrame:
+    n = inp.network(spark, d)
+    return tolls.toll_values(tolls.match_facilities(n, tolls.facility_table(spark, PATTERNS)), tolls.rate_table(spark, RATES), n.filter("speed_limit <= 5"), FLAT)
+
+
+@query(f"WITH {NETWORK}, {TOLLS} SELECT segment_id, round(value, 6) AS value FROM tolls")
+def toll_total(spark: SparkSession, d: str) -> DataFrame:
+    return _tolls(spark, d).withColumn("value", F.round("value", 6))
+
+
+@query(f"WITH {NETWORK}, {FACILITIES} SELECT segment_id, facility_key FROM network JOIN f ON contains(street_name, pattern) WHERE passenger IS NULL")
+def toll_without_rate(spark: SparkSession, d: str) -> DataFrame:
+    m = tolls.match_facilities(inp.network(spark, d), tolls.facility_table(spark, PATTERNS))
+    return tolls.unknown_facilities(m, tolls.rate_table(spark, RATES)).select("segment_id", "facility_key")
+
+
+# routes
+
+LENGTHS = "lengths AS (SELECT segment_id, CAST(round_even(length_ft, 0) AS DOUBLE) AS value FROM network WHERE CAST(segment_id AS INT) % 6 > 0), g AS (SELECT round_even(median(value), 0) AS v FROM lengths)"
+STATIC_SQL = "SELECT route_id, pos, segment_id, coalesce(value, v) AS value, 'rds' AS storage_source, CASE WHEN value IS NOT NULL THEN 'segment_value' ELSE 'global_default' END AS value_basis, CASE WHEN value IS NOT NULL THEN 'rds' ELSE 'global' END AS source FROM requests LEFT JOIN lengths USING (segment_id) CROSS JOIN g"
+
+
+def _lengths(spark: SparkSession, d: str) -> DataFrame:
+    return net.lengths_with_global(net.positive_lengths(inp.network(spark, d).filter("cast(segment_id AS int) % 6 > 0")))
+
+
+@query(f"WITH {NETWORK}, {REQUESTS}, {LENGTHS} {STATIC_SQL}")
+def route_static(spark: SparkSession, d: str) -> DataFrame:
+    return routes.with_provenance(routes.score_static(inp.route_requests(spark, d, 2), _lengths(spark, d)), 2)
+
+
+@query(f"WITH {NETWORK}, {TOLLS}, {REQUESTS} SELECT route_id, pos, segment_id, round(coalesce(value, 0), 6) AS value, 'rds' AS storage_source, CASE WHEN value IS NULL THEN 'implicit_zero' ELSE 'segment_value' END AS value_basis, 'rds' AS source FROM requests LEFT JOIN tolls USING (segment_id)")
+def route_toll(spark: SparkSession, d: str) -> DataFrame:
+    return routes.with_provenance(routes.score_toll(inp.route_requests(spark, d, 4), _tolls(spark, d)), 4).withColumn("value", F.round("value", 6))
+
+
+SLOT_VALUES = "own AS (SELECT segment_id, value FROM mapping JOIN rolled USING (zone_id) WHERE dow = 'MON' AND time = '0800' AND CAST(segment_id AS INT) % 2 = 0), zoned AS (SELECT segment_id, value AS z FROM mapping JOIN rolled USING (zone_id) WHERE dow = 'MON' AND time = '0800' AND CAST(segment_id AS INT) % 3 > 0)"
+SLOT_SQL = "SELECT route_id, pos, segment_id, round(coalesce(value, z, 0), 6) AS value, CASE WHEN value IS NOT NULL THEN 'rds' WHEN z IS NOT NULL THEN 's3_snapshot' ELSE 'code' END AS storage_source, CASE WHEN coalesce(value, z) IS NOT NULL THEN 'modeled_aggregate' ELSE 'static_default' END AS value_basis, CASE WHEN value IS NOT NULL THEN 'rds' WHEN z IS NOT NULL THEN 'snapshot' ELSE 'hardcoded' END AS source FROM requests LEFT JOIN own USING (segment_id) LEFT JOIN zoned USING (segment_id)"
+
+
+def _demand_tables(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    rolled = materialise(demand.weekday_means(demand.daily_grid(inp.trips(spark, d), inp.zones(spark)), WEEKS), "rolled")
+    m = inp.mapping(spark, d)
+    return demand.expand_to_segments(rolled, m.filter("cast(segment_id AS int) % 2 = 0")), m.filter("cast(segment_id AS int) % 3 > 0"), rolled
+
+
+@query(f"WITH {ROLLED}, {MAPPING}, {REQUESTS}, {SLOT_VALUES} {SLOT_SQL}")
+def route_slot(spark: SparkSession, d: str) -> DataFrame:
+    values, m, rolled = _demand_tables(spark, d)
+    return routes.with_provenance(routes.score_demand(inp.route_requests(spark, d, 3), values, m, rolled), 3).withColumn("value", F.round("value", 6))
+
+
+# a route is at most a few legs: the fold is a recursive join in SQL
+TIME_SQL = f"""picked AS (SELECT segment_id, time, round_even(CASE WHEN last_sample_at::DATE = DATE '2024-01-15' THEN value ELSE avg END, 0) AS v, last_sample_at::DATE = DATE '2024-01-15' AS fresh FROM state),
+ walk AS (SELECT q.route_id, q.pos, q.segment_id, coalesce(p.v, 45.0) AS value, p.fresh AS fresh, 28800 + coalesce(p.v, 45.0) AS t FROM requests q LEFT JOIN picked p ON p.segment_id = q.segment_id AND p.time = '0800' WHERE q.pos = 1
+ UNION ALL SELECT q.route_id, q.pos, q.segment_id, coalesce(p.v, 45.0), p.fresh, w.t + coalesce(p.v, 45.0) FROM walk w JOIN requests q ON q.route_id = w.route_id AND q.pos = w.pos + 1
+ LEFT JOIN picked p ON p.segment_id = q.segment_id AND p.time = printf('%02d%02d', CAST(w.t % 86400 AS BIGINT) // 3600, (CAST(w.t % 86400 AS BIGINT) // 1800 % 2) * 30)),
+ timed AS (SELECT route_id, pos, segment_id, value, CASE WHEN fresh IS NULL THEN 'code' ELSE 'rds' END AS storage_source, CASE WHEN fresh IS NULL THEN 'static_default' WHEN fresh THEN 'observed' ELSE 'historical_average' END AS value_basis, CASE WHEN fresh IS NULL THEN 'hardcoded' WHEN fresh THEN 'fresh' ELSE 'avg' END AS source FROM walk)"""
+
+
+def _time(spark: SparkSession, d: str) -> DataFrame:
+    return routes.with_provenance(routes.score_time(inp.route_requests(spark, d, 1), inp.slot_state(spark, d), "2024-01-15"), 1)
+
+
+@query(f"WITH RECURSIVE {READINGS}, {STATE}, {REQUESTS}, {TIME_SQL} SELECT * FROM timed")
+def route_time(spark: SparkSession, d: str) -> DataFrame:
+    return _time(spark, d)
+
+
+@query(f"WITH RECURSIVE {READINGS}, {STATE}, {REQUESTS}, {TIME_SQL} SELECT route_id, count(*) FILTER (source = 'fresh') AS fresh, count(*) FILTER (source = 'avg') AS avg, count(*) FILTER (source = 'hardcoded') AS hardcoded, count(*) AS total, round(count(*) FILTER (source = 'hardcoded') / count(*), 6) AS terminal_ratio, count(*) >= 20 AND count(*) FILTER (source = 'hardcoded') / count(*) > 0.1 AS spike FROM timed GROUP BY ALL")
+def tier_summary(spark: SparkSession, d: str) -> DataFrame:
+    return routes.tier_summary(_time(spark, d), ["fresh", "avg", "hardcoded"]).withColumn("terminal_ratio", F.round("terminal_ratio", 6))
+
+
+@query(f"""WITH {NETWORK}, {TOLLS}, {LENGTHS}, {REQUESTS}, t2 AS (SELECT route_id, sum(coalesce(lengths.value, v)) AS length, round(sum(coalesce(tolls.value, 0)), 6) AS toll FROM requests LEFT JOIN lengths USING (segment_id) LEFT JOIN tolls USING (segment_id) CROSS JOIN g GROUP BY ALL)
+ SELECT o_custkey, min_by(route_id, (length, route_id)) AS route_id, min(length) AS length, round(sum(toll), 6) AS tolls FROM t2 JOIN (SELECT DISTINCT o_orderkey, o_custkey FROM orders) ON o_orderkey = route_id GROUP BY ALL""")
+def route_winner(spark: SparkSession, d: str) -> DataFrame:
+    """Per customer the shortest of the routes, and the tolls of all."""
+    two = routes.with_provenance(routes.score_static(inp.route_requests(spark, d, 2), _lengths(spark, d)), 2).withColumn("type", F.lit(2))
+    four = routes.with_provenance(routes.score_toll(inp.route_requests(spark, d, 4), _tolls(spark, d)), 4).withColumn("type", F.lit(4))
+    t = routes.route_totals(two.unionByName(four)).join(inp.table(spark, d, "orders").select(F.col("o_orderkey").alias("route_id"), "o_custkey").distinct(), "route_id")
+    best = routes.fastest(t.withColumn("seconds", F.col("length")), "o_custkey").select("o_custkey", "route_id", F.col("seconds").alias("length"))
+    return best.join(t.groupBy("o_custkey").agg(F.round(F.sum("toll"), 6).alias("tolls")), "o_custkey")
+
+
+@query(f"""WITH RECURSIVE {READINGS}, {STATE}, {NETWORK}, {TOLLS}, {ROLLED}, {MAPPING}, {LENGTHS}, all_requests AS (SELECT l_orderkey AS route_id, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_shipdate, l_quantity, l_extendedprice) AS pos, CAST(l_partkey AS VARCHAR) AS segment_id, l_orderkey % 5 + 1 AS type FROM lineitem),
+ requests AS (SELECT * FROM all_requests WHERE type = 1), {TIME_SQL}, {SLOT_VALUES}
+ SELECT route_id, pos, 1 AS type, segment_id, value, storage_source, value_basis, source FROM timed
+ UNION ALL SELECT route_id, pos, 2, segment_id, value, storage_source, value_basis, source FROM ({STATIC_SQL.replace('FROM requests', 'FROM (SELECT * FROM all_requests WHERE type = 2)')})
+ UNION ALL SELECT route_id, pos, 3, segment_id, value, storage_source, value_basis, source FROM ({SLOT_SQL.replace('FROM requests', 'FROM (SELECT * FROM all_requests WHERE type = 3)')})
+ UNION ALL SELECT route_id, pos, 4, segment_id, round(coalesce(value, 0), 6), 'rds', CASE WHEN value IS NULL THEN 'implicit_zero' ELSE 'segment_value' END, 'rds' FROM all_requests LEFT JOIN tolls USING (segment_id) WHERE type = 4
+ UNION ALL SELECT route_id, pos, 5, segment_id, 45.0, 'code', 'static_default', 'hardcoded' FROM all_requests WHERE type = 5""")
+def route_mixed(spark: SparkSession, d: str) -> DataFrame:
+    values, m, rolled = _demand_tables(spark, d)
+    req = inp.route_requests(spark, d).withColumn("type", (F.col("route_id") % 5 + 1).cast("int"))
+    return routes.score(req, inp.slot_state(spark, d), _lengths(spark, d), values, m, rolled, _tolls(spark, d), "2024-01-15").withColumn("value", F.round("value", 6))
+
+
+@query(f"WITH {REQUESTS} SELECT route_id, segment_id, min(pos) AS pos FROM requests GROUP BY ALL")
+def route_distinct_segments(spark: SparkSession, d: str) -> DataFrame:
+    return routes.distinct_in_order(inp.route_requests(spark, d))
+
+
+# geometry
+
+PLANE = "p AS (SELECT vec_id AS segment_id, " + ", ".join(f"CAST(embedding[{k}] AS DOUBLE) * 1000 AS v{k}" for k in (1, 2, 3, 4)) + ", label FROM embeddings)"
+SQUARES = "z(zone_id, x0, y0, s) AS (VALUES " + ", ".join(f"({z}, {x}, {y}, {s})" for z, x, y, s in inp.SQUARES) + ")"
+
+
+@query(f"""WITH {PLANE}, {SQUARES}, d AS (SELECT segment_id, zone_id, sqrt(pow(greatest(x0 - v1, 0, v1 - x0 - s), 2) + pow(greatest(y0 - v2, 0, v2 - y0 - s), 2)) AS dist FROM p, z)
+ SELECT segment_id, CAST(arg_min(zone_id, (dist, zone_id)) AS INT) AS zone_id, 'B' || (arg_min(zone_id, (dist, zone_id)) % 5) AS borough, CASE WHEN min(dist) = 0 THEN 'contains' ELSE 'nearest' END AS mapping_method, round(min(dist), 6) AS distance_ft FROM d GROUP BY segment_id""")
+def point_in_zone(spark: SparkSession, d: str) -> DataFrame:
+    p = inp.plane_points(spark, d).select("segment_id", F.col("v1").alias("x"), F.col("v2").alias("y"))
+    return spatial.points_to_zones(p, inp.square_zones(spark), cell=50.0).withColumn("distance_ft", F.round("distance_ft", 6))
+
+
+def _point_edge(ax: str, ay: str, bx: str, by: str, x: str, y: str) -> str:
+    t = f"least(1, greatest(0, (({x} - {ax}) * ({bx} - {ax}) + ({y} - {ay}) * ({by} - {ay})) / (pow({bx} - {ax}, 2) + pow({by} - {ay}, 2))))"
+    return f"sqrt(pow({x} - {ax} - {t} * ({bx} - {ax}), 2) + pow({y} - {ay} - {t} * ({by} - {ay}), 2))"
+
+
+def _side(a: str, b: str, x: str, y: str) -> str:
+    return f"sign(({a}3 - {a}1) * ({y} - {a}2) - ({a}4 - {a}2) * ({x} - {a}1))".replace("%", b)
+
+
+_ENDS = "least(" + ", ".join([_point_edge("a.v1", "a.v2", "a.v3", "a.v4", "b.v1", "b.v2"), _point_edge("a.v1", "a.v2", "a.v3", "a.v4", "b.v3", "b.v4"), _point_edge("b.v1", "b.v2", "b.v3", "b.v4", "a.v1", "a.v2"), _point_edge("b.v1", "b.v2", "b.v3", "b.v4", "a.v3", "a.v4")]) + ")"
+_CROSS = f"{_side('a.v', '', 'b.v1', 'b.v2')} * {_side('a.v', '', 'b.v3', 'b.v4')} < 0 AND {_side('b.v', '', 'a.v1', 'a.v2')} * {_side('b.v', '', 'a.v3', 'a.v4')} < 0"
+NEAR, FAR = 2.0, 40.0
+
+
+@query(f"""WITH {PLANE}, d AS (SELECT a.segment_id AS link_id, b.segment_id AS segment_id, CASE WHEN {_CROSS} THEN 0 ELSE {_ENDS} END AS dist FROM p a, p b WHERE a.label = 0 AND b.label <> 0),
+ near AS (SELECT *, 'buffer' AS m FROM d WHERE dist <= {NEAR}), far AS (SELECT link_id, arg_min(segment_id, (dist, segment_id)) AS segment_id, min(dist) AS dist, 'nearest_fallback' AS m FROM d WHERE dist <= {FAR} AND link_id NOT IN (SELECT link_id FROM near) GROUP BY link_id)
+ SELECT link_id, segment_id, round(dist, 6) AS distance_ft, m AS mapping_method FROM (SELECT * FROM near UNION ALL SELECT * FROM far)""")
+def within_distance(spark: SparkSession, d: str) -> DataFrame:
+    lines = inp.plane_lines(spark, d)
+    out = spatial.links_to_segments(lines.filter("label = 0").withColumnRenamed("segment_id", "link_id"), lines.filter("label <> 0"), near=NEAR, far=FAR)
+    return out.select("link_id", "segment_id", r6("distance_ft"), "mapping_method")
+
+
+# a line meets an axis-aligned square when its clipped parameter interval is not empty
+_CLIP = "greatest(0, CASE WHEN v3 = v1 THEN CASE WHEN v1 BETWEEN -100 AND 100 THEN 0 ELSE 2 END ELSE least((-100 - v1) / (v3 - v1), (100 - v1) / (v3 - v1)) END, CASE WHEN v4 = v2 THEN CASE WHEN v2 BETWEEN -100 AND 100 THEN 0 ELSE 2 END ELSE least((-100 - v2) / (v4 - v2), (100 - v2) / (v4 - v2)) END)"
+_CLOP = "least(1, CASE WHEN v3 = v1 THEN 1 ELSE greatest((-100 - v1) / (v3 - v1), (100 - v1) / (v3 - v1)) END, CASE WHEN v4 = v2 THEN 1 ELSE greatest((-100 - v2) / (v4 - v2), (100 - v2) / (v4 - v2)) END)"
+
+
+@query(f"WITH {PLANE} SELECT segment_id FROM p WHERE {_CLIP} <= {_CLOP}")
+def line_in_fence(spark: SparkSession, d: str) -> DataFrame:
+    fence = spark.createDataFrame([("POLYGON ((-100 -100, 100 -100, 100 100, -100 100, -100 -100))",)], "wkt string").select(geo.wkt_parts(F.col("wkt")).alias("parts"))
+    return spatial.segments_in_fence(inp.plane_lines(spark, d).select("segment_id", "points"), fence)
+
+
+_E, _N, _AF, _RHO0 = geo._cone()
+_TT = f"tan(pi() / 4 - radians(lat) / 2) / pow((1 - {_E} * sin(radians(lat))) / (1 + {_E} * sin(radians(lat))), {_E / 2})"
+REPROJECT = f"""WITH {PLANE}, g AS (SELECT segment_id, -73.98 + v1 / 10000 AS lon, 40.75 + v2 / 10000 AS lat FROM p), q AS (SELECT segment_id, {_AF} * pow({_TT}, {_N}) AS rho, {_N} * (radians(lon) - {geo.ORIGIN_LON}) AS th FROM g)
+ SELECT segment_id, round(({geo.FALSE_EAST} + rho * sin(th)) / {geo.US_FOOT}, 3) AS x, round(({_RHO0} - rho * cos(th)) / {geo.US_FOOT}, 3) AS y FROM q"""
+
+
+@query(REPROJECT)
+def reproject(spark: SparkSession, d: str) -> DataFrame:
+    p = inp.plane_points(spark, d).select("segment_id", geo.to_feet(F.lit(-73.98) + F.col("v1") / 10000, F.lit(40.75) + F.col("v2") / 10000).alias("f"))
+    return p.select("segment_id", F.round("f.x", 3).alias("x"), F.round("f.y", 3).alias("y"))
+
+
+@query(f"WITH {PLANE} SELECT segment_id, round((v1 + v3) / 2, 6) AS x, round((v2 + v4) / 2, 6) AS y, round(sqrt(pow(v3 - v1, 2) + pow(v4 - v2, 2)), 6) AS length FROM p")
+def line_midpoints(spark: SparkSession, d: str) -> DataFrame:
+    """Lines as WKT text, parsed back."""
+    p = inp.plane_points(spark, d)
+    wkt = F.format_string("LINESTRING (%s %s, %s %s)", *[F.col(f"v{k}").cast("string") for k in (1, 2, 3, 4)])
+    m = p.select("segment_id", geo.wkt_points(wkt).alias("pts")).select("segment_id", geo.midpoint(F.col("pts")).alias("m"), F.get(geo.edges(F.col("pts")), F.lit(0)).alias("e"))
+    return m.select("segment_id", F.round("m.x", 6).alias("x"), F.round("m.y", 6).alias("y"), F.round(F.hypot(F.col("e.bx") - F.col("e.ax"), F.col("e.by") - F.col("e.ay")), 6).alias("length"))
+
+
+@query(f"WITH {PLANE}, s AS (SELECT label, segment_id, v1, v2, v3, v4 FROM p), w AS (SELECT a.label, a.segment_id AS point, b.segment_id, 1 / ({_point_edge('b.v1', 'b.v2', 'b.v3', 'b.v4', 'a.v1', 'a.v2')} + 1) AS w FROM s a JOIN s b ON a.label = b.label WHERE {_point_edge('b.v1', 'b.v2', 'b.v3', 'b.v4', 'a.v1', 'a.v2')} <= 20), sh AS (SELECT label, segment_id, sum(w / whole) AS share FROM (SELECT *, sum(w) OVER (PARTITION BY label, point) AS whole FROM w) GROUP BY ALL), al AS (SELECT s.label, s.segment_id, coalesce(share, 0) + 1 AS share FROM s LEFT JOIN sh ON sh.label = s.label AND sh.segment_id = s.segment_id) SELECT label AS zone_id, segment_id, round(share / sum(share) OVER (PARTITION BY label), 6) AS weight FROM al")
+def zone_weights(spark: SparkSession, d: str) -> DataFrame:
+    p, lines = inp.plane_points(spark, d), inp.plane_lines(spark, d)
+    cells = p.select(F.col("label").alias("zone_id"), F.col("v1").alias("x"), F.col("v2").alias("y"), F.lit(1).alias("n"))
+    return spatial.share_weights(cells, lines.select(F.col("label").alias("zone_id"), "segment_id", "points"), reach=20.0).withColumn("weight", F.round("weight", 6))
+
+
+@query("SELECT p_partkey, p_size, round((rank() OVER (ORDER BY p_size) + (count(*) OVER (PARTITION BY p_size) - 1) / 2) / count(*) OVER (), 6) AS pct FROM part")
+def percentile_rank(spark: SparkSession, d: str) -> DataFrame:
+    return spatial.percentile_ranks(inp.table(spark, d, "part").select("p_partkey", "p_size"), "p_size").select("p_partkey", "p_size", r6("pct"))
+
+
+HOP_EDGES = "e AS (SELECT p_partkey AS a, (p_partkey * 7) % (SELECT count(*) FROM part) + 1 AS b FROM part), bo AS (SELECT a, b FROM e UNION SELECT b, a FROM e)"
+
+
+@query(f"WITH {HOP_EDGES}, h1 AS (SELECT a AS s, b AS o, 1 AS hop FROM bo WHERE a % 10 = 0 AND a IN (SELECT p_partkey FROM part)), h2 AS (SELECT s, bo.b AS o, 2 AS hop FROM h1 JOIN bo ON o = a), h3 AS (SELECT s, bo.b AS o, 3 AS hop FROM h2 JOIN bo ON o = a) SELECT s AS segment_id, o AS other, min(hop) AS hop FROM (SELECT * FROM h1 UNION ALL SELECT * FROM h2 UNION ALL SELECT * FROM h3) WHERE s <> o GROUP BY ALL")
+def within_hops(spark: SparkSession, d: str) -> DataFrame:
+    p = inp.table(spark, d, "part").select(F.col("p_partkey").alias("a"))
+    e = p.select("a", (F.col("a") * 7 % p.count() + 1).alias("b"))
+    return spatial.within_hops(e, p.filter("a % 10 = 0").select(F.col("a").alias("segment_id")))
+
+
+@query(f"WITH {PLANE}, l AS (SELECT segment_id, v1, v2, v3, v4, segment_id % 50 AS f, (segment_id * 3 + 1) % 50 AS t FROM p), n AS (SELECT f AS node, segment_id, v1 AS x, v2 AS y FROM l UNION ALL SELECT t, segment_id, v3, v4 FROM l) SELECT node, round(arg_min(x, (segment_id, x, y)), 6) AS x, round(arg_min(y, (segment_id, x, y)), 6) AS y FROM n GROUP BY node")
+def graph_nodes(spark: SparkSession, d: str) -> DataFrame:
+    p = inp.plane_points(spark, d)
+    n = p.select("segment_id", (F.col("segment_id") % 50).alias("node_from"), ((F.col("segment_id") * 3 + 1) % 50).alias("node_to"), F.lit(1.0).alias("length_ft"), F.lit(None).cast("int").alias("speed_limit"), F.format_string("LINESTRING (%s %s, %s %s)", *[F.col(f"v{k}").cast("string") for k in (1, 2, 3, 4)]).alias("geometry"))
+    return net.road_graph(n)[0].select("node", r6("x"), r6("y"))
+
+
+# streams
+
+
+def _landed(spark: SparkSession, d: str) -> DataFrame:
+    s = streams.read_landed(spark, f"{d}/events.parquet", inp.table(spark, d, "events").schema)
+    return s.select(F.col("user_id").cast("string").alias("segment_id"), F.col("value").alias("speed"), F.col("ts").cast("timestamp").alias("observed_at"))
+
+
+def _last_state(stream: DataFrame, keys: list[str]) -> DataFrame:
+    """What a stream in update mode last said of each key, through files in the scratch folder."""
+    spark = stream.sparkSession
+    path = scratch_path(spark, "stream")
+
+    def keep(batch: DataFrame, n: int) -> None:
+        batch.withColumn("_batch", F.lit(n)).write.mode("append").parquet(path)
+
+    q = stream.writeStream.foreachBatch(keep).outputMode("update").option("checkpointLocation", scratch_path(spark, "stream-log")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    return net.first_of(spark.read.parquet(path), keys, [F.col("_batch").desc()]).drop("_batch")
+
+
+@query(f"WITH {READINGS} SELECT time_bucket(INTERVAL 30 MINUTE, observed_at) AS bucket, segment_id, round(avg(speed), 6) AS speed, max(observed_at) AS last_observed_at, count(*) AS readings FROM readings GROUP BY ALL")
+def stream_slot_mean(spark: SparkSession, d: str) -> DataFrame:
+    return _last_state(streams.window_means(_landed(spark, d), late="60 days"), ["bucket", "segment_id"]).withColumn("speed", F.round("speed", 6))
+
+
+@query(f"WITH {READINGS} {REPLAY}")
+def stream_running_mean(spark: SparkSession, d: str) -> DataFrame:
+    values = _landed(spark, d).select("segment_id", ts.slot(F.col("observed_at")).alias("time"), F.col("speed").alias("value"), F.col("observed_at").alias("last_sample_at"))
+    return _last_state(streams.running_means(values), ["segment_id", "time"])

@@ -14,10 +14,16 @@ from lanewright.operators import store, traveltime
 READINGS = "segment_id string, speed double, observed_at timestamp"
 
 
-def read_landed(spark: SparkSession, path: str, schema: str = READINGS, files_per_trigger: int | None = None) -> DataFrame:
-    """New Parquet files of a folder; with a checkpoint each is taken once."""
+def read_landed(spark: SparkSession, path: str, schema=READINGS, files_per_trigger: int | None = None) -> DataFrame:
+    """New Parquet files of a folder (or one file); with a checkpoint each is taken once."""
     r = spark.readStream.schema(schema)
-    return (r.option("maxFilesPerTrigger", files_per_trigger) if files_per_trigger else r).parquet(path)
+    if files_per_trigger:
+        r = r.option("maxFilesPerTrigger", files_per_trigger)
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory():
+        return r.parquet(path)
+    folder, _, name = path.rpartition("/")  # file streams watch folders
+    return r.option("pathGlobFilter", name).parquet(folder)
 
 
 def window_means(readings: DataFrame, late: str = "6 hours", minutes: int = 30) -> DataFrame:
