@@ -129,9 +129,9 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = 0.98, id_col:
     good = src.filter(usable())
     classes = good.groupBy("label", "embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("size")).filter("rep IS NOT NULL")
     classes = materialise(classes, "vector-classes")
-    # distinct vectors by seeded hash: at most PIVOTS rows for each of the few vector lengths reach the driver
+    # distinct vectors by seeded hash: at most PIVOTS rows for each vector length reach the driver
     pivots = {}
-    for (dim,) in classes.select(F.size("embedding")).distinct().limit(16).collect():
+    for (dim,) in classes.select(F.size("embedding")).distinct().collect():
         some = classes.filter(F.size("embedding") == dim).orderBy(F.xxhash64("rep", F.lit(PIVOT_SEED)), "rep").limit(PIVOTS)
         pivots[dim] = unit(np.array([r.embedding for r in some.select("embedding").collect()], np.float64))
     rows = dealt_buckets(index_rows(classes, pivots), ["label", "key"], "rep")
