@@ -133,3 +133,17 @@ def staleness(computed: DataFrame, published: DataFrame, column: str, limit: int
     """One row: days from the newest published to the newest computed date, and whether that is too many."""
     c, p = computed.agg(F.max(column).alias("computed")), published.agg(F.max(column).alias("published"))
     return c.crossJoin(p).select("computed", "published", F.datediff("computed", "published").alias("lag_days"), F.coalesce(F.datediff("computed", "published") > limit, F.lit(True)).alias("stale"))
+
+
+def cached_table(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A table that is costly to build: read where it was published before, else built and published."""
+    table = current(spark, path)
+    if table is None:
+        publish(build(), path)
+        table = current(spark, path)
+    return table
+
+
+def export_json(df: DataFrame, path: str) -> None:
+    """A snapshot for readers without Parquet; maps become objects."""
+    df.write.mode("overwrite").option("ignoreNullFields", True).json(path)

@@ -16,19 +16,31 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 500_000
 
 _local_folder: list[str] = []
+_written: list[str] = []
 
 
 def scratch_folder(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not _local_folder:
         _local_folder.append("file://" + tempfile.mkdtemp(prefix="lanewright-"))
     return _local_folder[0]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this session wrote; call it when the results that were built on it have been stored."""
+    while _written:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

@@ -165,3 +165,18 @@ def test_readers(spark, tmp_path):
     (tmp_path / "z.csv").write_text('WKT,LocationID,borough\n"POLYGON ((0 0, 1 0, 1 1, 0 0))",7,Q\n')
     z = readers.read_zones(spark, str(tmp_path / "z.csv")).first()
     assert z.zone_id == 7 and len(z.parts[0]) == 4
+
+
+def test_cache_and_export(spark, rows, tmp_path):
+    built = []
+
+    def build():
+        built.append(1)
+        return rows("id int", (1,))
+
+    for _ in range(2):
+        assert store.cached_table(spark, str(tmp_path / "c"), build).count() == 1
+    assert built == [1]
+    m = rows("k string, v double", ("0800", 1.0)).select(F.map_from_entries(F.array(F.struct("k", "v"))).alias("m"))
+    store.export_json(m, str(tmp_path / "j"))
+    assert spark.read.text(str(tmp_path / "j")).first()[0] == '{"m":{"0800":1.0}}'
