@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lanewright.scratch import materialise
+from lanewright.scratch import join_checked, materialise
 
 
 def local_roots(n: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
@@ -46,10 +46,12 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
     e, seen = materialise(e, "components"), None
     for _ in range(max_rounds):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.explode(F.array(F.struct(F.col("u").alias("x"), "m"), F.struct(F.col("v").alias("x"), "m"))).alias("p"))
+        # the least neighbours are tables of their own: broadcast when few, and otherwise joined straight from a shuffle,
+        # where adaptive execution can split the rows of a hub
+        low = materialise(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "components-low")
+        large = materialise(join_checked(both, low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "components-large")
+        low = materialise(large.groupBy("u").agg(F.min("v").alias("m")), "components-low")
+        small = join_checked(large, low, "u").select(F.explode(F.array(F.struct(F.col("u").alias("x"), "m"), F.struct(F.col("v").alias("x"), "m"))).alias("p"))
         small = small.select(F.col("p.x").alias("u"), F.col("p.m").alias("v")).filter("u <> v").distinct()
         e = materialise(small, "components")
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
