@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +23,7 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     sized = docs.select("doc_id", "source", mixing.word_count(F.col("text")).alias("size"))
-    out = mixing.mix(mixing.materialise(sized, "mix-sizes"))
+    out = mixing.mix(sized)
     return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("repeats")).cast("long").alias("taken"), "source", "repeats")
 
 
@@ -97,4 +98,34 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_sharding": op10_sharding,
 }
-ORACLES: dict[str, str] = {}
+
+
+def chat_sql() -> str:
+    """op7 by string functions: the lengths of the marks, and one more character for each conflict."""
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    special = re.compile(r"([\[\]<>/:])")
+    conflict = "|".join(special.sub(r"\\\1", c[0]) + r"\\*" + special.sub(r"\\\1", c[1:]) for c in chat_format.CONTROL)
+    marks = " ".join(f"WHEN {quoted(r)} THEN {len(a) + len(b)}" for r, (a, b) in chat_format.TEMPLATE.items())
+    other = sum(map(len, chat_format.OTHER)) + len(chat_format.NAME_END)
+    grown = lambda c: f"length({c}) + len(regexp_extract_all({c}, {quoted(conflict)}))"
+    return f"""WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+ UNION ALL SELECT -7, 0, 'user', {quoted(ADVERSARY)} UNION ALL SELECT -7, 1, 'assistant', {quoted(ADVERSARY)})
+ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+ CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars, sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+ CAST(sum({grown('text')} + CASE role {marks} ELSE {other} + {grown('role')} END) AS BIGINT) AS formatted_chars FROM t GROUP BY conv_id"""
+
+
+def license_sql() -> str:
+    """op5 by comparing every window with every template."""
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    words = r"list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '')"
+    shingles = "list_transform(range(1, greatest(len(w) - 3, 2)), lambda i: array_to_string(w[i:i + 4], ' '))"
+    values = ", ".join(f"({quoted(k)}, {quoted(v)})" for k, v in license_scan.TEMPLATES.items())
+    return f"""WITH t AS (SELECT license, list_distinct({shingles}) AS s FROM (SELECT license, {words} AS w FROM (VALUES {values}) v(license, text))),
+ d AS (SELECT doc_id, {shingles} AS s FROM (SELECT doc_id, {words} AS w FROM documents) WHERE len(w) > 0),
+ w AS (SELECT doc_id, license, t.s AS a, d.s AS b, unnest(range(0, len(d.s), len(t.s))) AS pos FROM d JOIN t ON list_has_any(d.s, t.s)),
+ c AS (SELECT doc_id, license, pos, len(list_intersect(a, b[pos + 1:pos + 2 * len(a)])) / len(a) AS c FROM w)
+ SELECT doc_id, license, max(c) AS containment, CAST(arg_min(pos, (-c, pos)) AS INT) AS start_word FROM c WHERE c >= {license_scan.CONTAINMENT} GROUP BY doc_id, license"""
+
+
+ORACLES: dict[str, str] = {"op5_license_scan": license_sql(), "op7_chat_format": chat_sql()}
