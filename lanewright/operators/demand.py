@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lanewright.functions import timeslot as ts
 from lanewright.functions.values import flag
-from lanewright.scratch import BROADCAST_ROWS
+from lanewright.scratch import BROADCAST_ROWS, materialise
 
 TYPE_ID = 3
 ZONES = (1, 263)
@@ -64,6 +64,7 @@ def expand_to_segments(rolled: DataFrame, mapping: DataFrame, partitions: int |
     was counted and is small, which keeps that dealing, and otherwise packed to a row per zone before the join.
     """
     seg = mapping.select(F.col("segment_id").cast("string").alias("segment_id"), F.col("zone_id").cast("int").alias("zone_id"))
+    rolled = materialise(rolled, "rolled")  # counted and joined: the means are computed once
     n = partitions or int(seg.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if rolled.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         out = seg.repartition(n, "segment_id").join(F.broadcast(rolled), "zone_id")

@@ -467,7 +467,7 @@ SLOT_SQL = "SELECT route_id, pos, segment_id, round(coalesce(value, z, 0), 6) AS
 
 
 def _demand_tables(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    rolled = materialise(demand.weekday_means(demand.daily_grid(inp.trips(spark, d), inp.zones(spark)), WEEKS), "rolled")
+    rolled = materialise(demand.weekday_means(demand.daily_grid(inp.trips(spark, d), inp.zones(spark)), WEEKS), "weekday-means")
     m = inp.mapping(spark, d)
     return demand.expand_to_segments(rolled, m.filter("cast(segment_id AS int) % 2 = 0")), m.filter("cast(segment_id AS int) % 3 > 0"), rolled
 
