@@ -302,9 +302,12 @@ def _prepared(docs: DataFrame, id_col: str, text_col: str, length: int):
 def repeated_bytes(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (doc_id, n_bytes, n_removed, n_spans, kept_sha256), one per document."""
     light, copies, texts, total = _prepared(docs, id_col, text_col, length)
-    part = materialise(repeated_texts(texts, total, length).drop("kept"), "suffix-removed").dropDuplicates(["h"])
+    part = repeated_texts(texts, total, length).drop("kept").dropDuplicates(["h"])
     all_gone = copies.select("h", F.lit(True).alias("copied"))
-    out = light.join(part.join(all_gone, "h", "full_outer"), "h", "left")
+    # the many copies of one text share its hash: a side of few rows is broadcast, a larger one is a plain table, so
+    # that adaptive execution can split the copies
+    side = materialise(part.join(all_gone, "h", "full_outer"), "suffix-removed")
+    out = join_checked(light, side, "h", "left", rows=200_000)
     copied = F.coalesce("copied", F.lit(False))
     return out.select(
         "doc_id", "n_bytes",
