@@ -68,10 +68,10 @@ def mix(sized: DataFrame, weights: tuple[float, ...] = (5, 2, 1), max_epochs: fl
     The seeded order is cut into BINS bins by hash; sums by (source, bin) show the bin that holds the cut, and only that
     bin's documents are ordered one by one, so no task holds a whole source.
     """
+    sized = materialise(sized, "mix-sizes")  # three passes follow; the texts are counted in one
     targets = materialise(source_targets(sized, weights, max_epochs), "mix-targets")
     h = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(seed)), 11)
     rows = sized.withColumn("h", h).withColumn("bin", F.shiftright("h", 53 - 12).cast("int"))
-    on = lambda a, b, *more: [a.source.eqNullSafe(b.source), *[a[k] == b[k] for k in more]]
 
     bins = rows.groupBy("source", "bin").agg(F.sum("size").alias("b"))
     bins = join_checked(bins, targets.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
