@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from lanewright.llm.blocks import bucket_pairs, dealt_buckets, whole_buckets
 from lanewright.llm.components import connected_components, star_edges
+from lanewright.llm.workers import tidy
 from lanewright.scratch import materialise
 
 #: Pivots: at most 64, since a vector's near pivots are kept as bits of one long. The sample is these rows only.
@@ -76,7 +77,7 @@ def index_rows(classes: DataFrame, pivots: dict[int, np.ndarray], nearest: int =
 
     kind = dict(classes.dtypes)
     src = classes.select("label", "rep", "size", "embedding")
-    return src.mapInArrow(run, f"label {kind['label']}, rep long, size long, embedding {kind['embedding']}, key long, near long")
+    return src.mapInArrow(tidy(run), f"label {kind['label']}, rep long, size long, embedding {kind['embedding']}, key long, near long")
 
 
 def verified(rows: DataFrame, threshold: float, shared: int = SHARED) -> DataFrame:
@@ -120,7 +121,7 @@ def verified(rows: DataFrame, threshold: float, shared: int = SHARED) -> DataFra
                     pa.concat_arrays([none(len(a)), pa.array(links[has])]),
                 ], names=["a", "b", "links"])
 
-    return rows.mapInArrow(run, "a long, b long, links long")
+    return rows.mapInArrow(tidy(run), "a long, b long, links long")
 
 
 def near_duplicate_vectors(vectors: DataFrame, threshold: float = 0.98, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label") -> DataFrame:

@@ -23,12 +23,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lanewright.llm.workers import tidy
+
 SEQ_LEN = 2048
 END_ID = 1
 #: Expected documents in a packing group: a group is one unit of sequential placement and fits a task by far.
 GROUP_DOCS = 6000
 SEED = 31
-CACHE_WORDS = 250_000
+CACHE_WORDS = 120_000
 
 
 _plain = re.compile("([A-Za-zÀ-ÖØ-öß-ÿ]+)([!#$%&()*+,./:;=?@^_`~-]*)")
@@ -121,7 +123,7 @@ def tokenize(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(ids, pa.binary()), size], names=["doc_id", "ids", "id_bytes"])
 
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return src.mapInArrow(run, f"doc_id {src.dtypes[0][1]}, ids binary, id_bytes int")
+    return src.mapInArrow(tidy(run), f"doc_id {src.dtypes[0][1]}, ids binary, id_bytes int")
 
 
 class Levels:
@@ -239,7 +241,7 @@ def pack(tokens: DataFrame, rows: int, seq_len: int = SEQ_LEN, group_docs: int =
         if ids:
             yield from place(now, doc_ids, ids)
 
-    return dealt.mapInArrow(run, f"doc_id {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
+    return dealt.mapInArrow(tidy(run), f"doc_id {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, seq_len: int = SEQ_LEN) -> DataFrame:

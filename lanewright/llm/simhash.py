@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from lanewright.llm.blocks import bucket_pairs, dealt_buckets, whole_buckets
 from lanewright.llm.components import connected_components, star_edges
+from lanewright.llm.workers import tidy
 from lanewright.scratch import join_checked, materialise
 
 SHINGLE = 4
@@ -82,7 +83,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fp, pa.int64())], names=["doc_id", "fp"])
 
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return src.mapInArrow(run, f"doc_id {src.dtypes[0][1]}, fp long")
+    return src.mapInArrow(tidy(run), f"doc_id {src.dtypes[0][1]}, fp long")
 
 
 def linked(classes: DataFrame, max_bits: int = 4) -> DataFrame:
@@ -115,7 +116,7 @@ def linked(classes: DataFrame, max_bits: int = 4) -> DataFrame:
                 a, b = star_edges(rep, np.concatenate(us), np.concatenate(vs))
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return dealt_buckets(rows, ["k", "key"], "fp").mapInArrow(run, "a long, b long")
+    return dealt_buckets(rows, ["k", "key"], "fp").mapInArrow(tidy(run), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, max_bits: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -37,6 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lanewright.llm.workers import tidy
 from lanewright.scratch import join_checked, materialise
 
 LENGTH = 400
@@ -199,7 +200,7 @@ def sort_buckets(sent: DataFrame) -> DataFrame:
         if blocks:
             yield answer(now, blocks, keys)
 
-    bits = sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "block long, bucket int, bits binary")
+    bits = sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(tidy(run), "block long, bucket int, bits binary")
     return bits.groupBy("block").agg(F.collect_list(F.struct("bucket", "bits")).alias("answers"))
 
 
@@ -212,7 +213,7 @@ def _with_answers(blocks: DataFrame, answers: DataFrame, name: str) -> DataFrame
 def repeated_texts(texts: DataFrame, total_bytes: int, length: int = LENGTH, keep_text: bool = False) -> DataFrame:
     """Rows (h, body), h a hash of the text, to (h, n_removed, n_spans, kept_sha256, kept) for texts that lose bytes.
 
-    ``kept`` is null unless asked for.
+    ``kept``, the text that is left, is null unless asked for.
     """
     if length < PERIOD:
         raise ValueError(f"strings must have at least {PERIOD} bytes")
@@ -273,15 +274,15 @@ def repeated_texts(texts: DataFrame, total_bytes: int, length: int = LENGTH, kee
                     g = gone[x.start[k] : x.stop[k]]
                     kept = x.a[x.start[k] : x.stop[k]][~g].tobytes()
                     spans = int(g[0]) + int(np.count_nonzero(g[1:] & ~g[:-1]))
-                    rows.append((hashes[k], int(n_gone[k]), spans, hashlib.sha256(kept).hexdigest(), kept if keep_text else None))
+                    rows.append((hashes[k], int(n_gone[k]), spans, hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore") if keep_text else None))
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.binary()), strict=True)], names=["h", "n_removed", "n_spans", "kept_sha256", "kept"])
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()), strict=True)], names=["h", "n_removed", "n_spans", "kept_sha256", "kept"])
 
-    blocks = materialise(texts.select("h", "body").mapInArrow(gather, "block long, hashes array<string>, sizes array<long>, body binary"), "suffix-blocks")
-    ranks = materialise(sort_buckets(blocks.mapInArrow(sampled, "bucket int, block long, keys binary")), "suffix-ranks")
+    blocks = materialise(texts.select("h", "body").mapInArrow(tidy(gather), "block long, hashes array<string>, sizes array<long>, body binary"), "suffix-blocks")
+    ranks = materialise(sort_buckets(blocks.mapInArrow(tidy(sampled), "bucket int, block long, keys binary")), "suffix-ranks")
     ranked = _with_answers(blocks, ranks, "ranks")
-    again = materialise(sort_buckets(ranked.mapInArrow(suffixes, "bucket int, block long, keys binary")), "suffix-repeats")
-    return _with_answers(ranked, again, "repeats").mapInArrow(removed, "h string, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    again = materialise(sort_buckets(ranked.mapInArrow(tidy(suffixes), "bucket int, block long, keys binary")), "suffix-repeats")
+    return _with_answers(ranked, again, "repeats").mapInArrow(tidy(removed), "h string, n_removed long, n_spans long, kept_sha256 string, kept string")
 
 
 def _prepared(docs: DataFrame, id_col: str, text_col: str, length: int):
@@ -321,11 +322,7 @@ def drop_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """Documents with repeated strings cut out of their texts; n_chars follows. A character cut in part goes wholly."""
     light, copies, texts, total = _prepared(docs, "doc_id", "text", length)
 
-    @F.pandas_udf("string")
-    def decoded(kept):
-        return kept.map(lambda b: None if b is None else bytes(b).decode("utf-8", "ignore"))
-
-    part = repeated_texts(texts, total, length, keep_text=True).select(F.col("h").alias("_h"), decoded("kept").alias("_kept"))
+    part = repeated_texts(texts, total, length, keep_text=True).select(F.col("h").alias("_h"), F.col("kept").alias("_kept"))
     part = materialise(part, "suffix-kept").dropDuplicates(["_h"]).join(copies.select(F.col("h").alias("_h"), F.lit(True).alias("_copied")), "_h", "full_outer")
     body = F.coalesce(F.col("text").cast("binary"), F.lit("").cast("binary"))
     out = docs.withColumn("_t", F.sha2(body, 256)).join(part, F.col("_t") == F.col("_h"), "left")

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lanewright.llm.workers import tidy
+
 # Fixed values of the TIFF 6.0 format.
 WIDTH, HEIGHT, BITS, COMPRESSION, PHOTOMETRIC, STRIP_OFFSETS, SAMPLES, ROWS_PER_STRIP, STRIP_BYTES = 256, 257, 258, 259, 262, 273, 277, 278, 279
 PREDICTOR, TILE_WIDTH, TILE_LENGTH, TILE_OFFSETS, TILE_BYTES = 317, 322, 323, 324, 325
@@ -287,7 +289,7 @@ def tiff_pages(media: DataFrame, media_col: str = "media", keep: tuple[str, ...]
 
     src = media.select(*keep, F.col(media_col).alias("_media"))
     ddl = ", ".join(f"`{k}` {t}" for k, t in src.dtypes if k != "_media")
-    return src.mapInArrow(run, f"{ddl}, {PAGE_DDL}")
+    return src.mapInArrow(tidy(run), f"{ddl}, {PAGE_DDL}")
 
 
 def payload_image(payload: bytes) -> bytes:
@@ -316,4 +318,4 @@ def text_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([len(x) for x in body], pa.int64()), pa.array(media, pa.binary())], names=["doc_id", "n_bytes", "media"])
 
     src = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("binary"), F.lit("").cast("binary")).alias("body"))
-    return src.mapInArrow(run, f"doc_id {src.dtypes[0][1]}, n_bytes long, media binary")
+    return src.mapInArrow(tidy(run), f"doc_id {src.dtypes[0][1]}, n_bytes long, media binary")
