@@ -1,6 +1,8 @@
 """Embedding near-duplicates by a pivot-permutation index.
 
-A bounded, seeded sample of vectors serves as pivots. Each vector is described by its NEAREST nearest pivots, in order;
+Pivots are picked from a bounded, seeded sample, each as far as can be from those before it and none within the threshold
+of another: drawn evenly, a large group of near copies would take many of them, and its members would be told apart by the
+noise among those. Each vector is described by its NEAREST nearest pivots, in order;
 the inverted lists are keyed by SHARED of them together, so two vectors meet in a list exactly when they share at least
 SHARED near pivots. Candidates of equal label are verified by cosine in double precision. A pair that meets in several
 lists is counted in one of them only: that of the smallest pivots they share.
@@ -27,8 +29,10 @@ from lanewright.llm.components import connected_components, star_edges
 from lanewright.llm.workers import tidy
 from lanewright.scratch import materialise
 
-#: Pivots: at most 64, since a vector's near pivots are kept as bits of one long. The sample is these rows only.
+#: Pivots: at most 64, since a vector's near pivots are kept as bits of one long.
 PIVOTS = 64
+#: They are picked from so many vectors of a length, or fewer where these would have more than SAMPLE_NUMBERS components.
+SAMPLE, SAMPLE_NUMBERS = 4096, 2_000_000
 NEAREST, SHARED = 7, 3
 PIVOT_SEED = 11
 
@@ -44,6 +48,18 @@ def usable(vec: str = "embedding", label: str = "label"):
     return F.coalesce(F.col(label).isNotNull() & finite & F.exists(vec, lambda x: x != 0), F.lit(False))
 
 
+def spread_pivots(sample: np.ndarray, threshold: float, count: int = PIVOTS) -> np.ndarray:
+    """Farthest first: the first unit vector, then always the one least like those taken, until all are within the threshold."""
+    taken, like = [0], sample @ sample[0]
+    while len(taken) < count:
+        i = int(np.argmin(like))
+        if like[i] >= threshold:
+            break
+        taken.append(i)
+        like = np.maximum(like, sample @ sample[i])
+    return sample[taken]
+
+
 def near_pivots(pivots: np.ndarray, vectors: np.ndarray, nearest: int) -> np.ndarray:
     return np.argsort(-(unit(vectors) @ pivots.T), axis=1, kind="stable")[:, :nearest]
 
@@ -130,11 +146,12 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = 0.98, id_col:
     good = src.filter(usable())
     classes = good.groupBy("label", "embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("size")).filter("rep IS NOT NULL")
     classes = materialise(classes, "vector-classes")
-    # distinct vectors by seeded hash: at most PIVOTS rows for each vector length reach the driver
+    # distinct vectors by seeded hash: at most SAMPLE rows for each vector length reach the driver
     pivots = {}
     for (dim,) in classes.select(F.size("embedding")).distinct().collect():
-        some = classes.filter(F.size("embedding") == dim).orderBy(F.xxhash64("rep", F.lit(PIVOT_SEED)), "rep").limit(PIVOTS)
-        pivots[dim] = unit(np.array([r.embedding for r in some.select("embedding").collect()], np.float64))
+        n = max(PIVOTS, min(SAMPLE, SAMPLE_NUMBERS // dim))
+        some = classes.filter(F.size("embedding") == dim).orderBy(F.xxhash64("rep", F.lit(PIVOT_SEED)), "rep").limit(n)
+        pivots[dim] = spread_pivots(unit(np.array([r.embedding for r in some.select("embedding").collect()], np.float64)), threshold)
     rows = dealt_buckets(index_rows(classes, pivots), ["label", "key"], "rep")
     found = materialise(verified(rows, threshold), "vector-links")
     comps = connected_components(found.filter("b IS NOT NULL"))
