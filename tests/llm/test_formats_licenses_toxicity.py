@@ -156,9 +156,9 @@ def test_labels_of_held_out_rows_change_nothing(rude):
 
 def test_joined_model_equals_broadcast_model(rude):
     docs, labels = rude
-    model = toxicity.train(docs.join(labels, "doc_id"))
-    a = {r.doc_id: r["diff"] for r in toxicity.differences(docs, model).collect()}
-    b = {r.doc_id: r["diff"] for r in toxicity.differences(docs, model, model_rows=0).collect()}
+    fitted = toxicity.train(docs.join(labels, "doc_id"))
+    a = {r.doc_id: r["diff"] for r in toxicity.with_differences(docs, fitted).collect()}
+    b = {r.doc_id: r["diff"] for r in toxicity.with_differences(docs, fitted, model_rows=0).collect()}
     assert a == pytest.approx(b) and any(a.values())
 
 
