@@ -27,8 +27,8 @@ from lanewright.llm.workers import tidy
 
 SEQ_LEN = 2048
 END_ID = 1
-#: Expected documents in a packing group: a group is one unit of sequential placement and fits a task by far.
-GROUP_DOCS = 6000
+#: Expected documents and bytes of text in a packing group, at most: a group is one unit of sequential placement.
+GROUP_DOCS, GROUP_BYTES = 6000, 64 << 20
 SEED = 31
 CACHE_WORDS = 120_000
 
@@ -206,24 +206,24 @@ def pack_group(sizes: list[int], seq_len: int) -> tuple[list[tuple[int, int, int
     return pieces, len(kept)
 
 
-def pack(tokens: DataFrame, rows: int, seq_len: int = SEQ_LEN, group_docs: int = GROUP_DOCS) -> DataFrame:
+def pack(tokens: DataFrame, rows: int, seq_len: int = SEQ_LEN, group_docs: int = GROUP_DOCS, text_bytes: int = 0) -> DataFrame:
     """Rows (doc_id, ids, id_bytes) to pieces: doc_id, start, length, ids (32-bit), doc_tokens, sequence_id, offset.
 
-    ``rows`` is the number of documents; it sets the number of groups. Documents are dealt to groups by hash, so neither
+    ``rows`` and ``text_bytes`` are the number of documents and their bytes; they set the number of groups. Documents are dealt to groups by hash, so neither
     a source nor a set of copies gathers in one. A group's order is by hash, so reruns and retried tasks agree.
     """
-    groups = max(1, round(rows / group_docs))
+    groups = max(1, round(rows / group_docs), -(-text_bytes // GROUP_BYTES))
     kind = dict(tokens.dtypes)["doc_id"]
     dealt = tokens.withColumn("h", F.xxhash64("doc_id", F.lit(SEED), "ids")).withColumn("grp", F.pmod("h", F.lit(groups)))
     dealt = dealt.repartition("grp").sortWithinPartitions("grp", "h", "doc_id").select("grp", "doc_id", "ids", "id_bytes")
 
-    def place(group: int, doc_ids: list, ids: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    def place(group: int, doc_ids: list, ids: list[np.ndarray], id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
         pieces, _ = pack_group([len(x) for x in ids], seq_len)
         for lo in range(0, len(pieces), 2000):
             part = pieces[lo : lo + 2000]
             d, start, n, w, at = zip(*part, strict=True)
             yield pa.RecordBatch.from_arrays([
-                pa.array([doc_ids[i] for i in d], pa.int64() if kind != "string" else pa.string()), pa.array(start, pa.int64()), pa.array(n, pa.int64()),
+                pa.array([doc_ids[i] for i in d], id_type), pa.array(start, pa.int64()), pa.array(n, pa.int64()),
                 pa.array([ids[i][s : s + m].astype("<u4").tobytes() for i, s, m in zip(d, start, n, strict=True)], pa.binary()),
                 pa.array([len(ids[i]) for i in d], pa.int64()), pa.array([group << 40 | x for x in w], pa.int64()), pa.array(at, pa.int64()),
             ], names=["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])
@@ -231,18 +231,20 @@ def pack(tokens: DataFrame, rows: int, seq_len: int = SEQ_LEN, group_docs: int =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, doc_ids, ids = None, [], []
         for b in batches:
+            id_type = b.schema.field("doc_id").type
             for g, d, x, size in zip(*(b.column(c).to_pylist() for c in ("grp", "doc_id", "ids", "id_bytes")), strict=True):
                 if g != now and ids:
-                    yield from place(now, doc_ids, ids)
+                    yield from place(now, doc_ids, ids, id_type)
                     doc_ids, ids = [], []
                 now = g
                 doc_ids.append(d)
                 ids.append(np.frombuffer(x, f"<u{size}"))
         if ids:
-            yield from place(now, doc_ids, ids)
+            yield from place(now, doc_ids, ids, id_type)
 
     return dealt.mapInArrow(tidy(run), f"doc_id {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, seq_len: int = SEQ_LEN) -> DataFrame:
-    return pack(tokenize(docs, tokenizer_path), docs.count(), seq_len)
+    rows, size = docs.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    return pack(tokenize(docs, tokenizer_path), rows, seq_len, text_bytes=size)
