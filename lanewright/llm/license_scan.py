@@ -9,7 +9,8 @@ A band can collide only where the window holds the template's minimal shingle fo
 minimal shingles are not hashed; this loses no collision.
 
 Cases: null and empty texts match nothing; a text or template of fewer than five words is one shingle of all its words;
-rows that repeat in id give one row per license; null ids are one document; ties in containment go to the earliest
+ids may repeat or be null: rows that differ in id or text are documents of their own, rows that agree in both give one row
+per license; ties in containment go to the earliest
 window; an empty table gives an empty result; other columns are not read.
 """
 
@@ -85,15 +86,15 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, containment: fl
     telling = F.broadcast(spark.createDataFrame([(t, s) for t, ss in sorted(by_length.items()) for s in sorted(ss)], "t int, shingle bigint"))
     every = F.array(*[F.lit(s) for s in sorted(set().union(*by_length.values()))])
 
-    d = docs.select(F.col(id_col).alias("doc_id"), shingle_hashes(word_array(F.col(text_col))).alias("h")).filter(F.arrays_overlap("h", every))
-    at = d.select("doc_id", "h", F.posexplode("h").alias("pos", "shingle")).join(telling, "shingle")
+    d = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("th"), shingle_hashes(word_array(F.col(text_col))).alias("h")).filter(F.arrays_overlap("h", every))
+    at = d.select("doc_id", "th", "h", F.posexplode("h").alias("pos", "shingle")).join(telling, "shingle")
     # a position lies in two windows of 2t shingles that start at multiples of t
     near = F.floor(F.col("pos") / F.col("t")).cast("int")
-    windows = at.select("doc_id", "h", "t", F.explode(F.array(near - 1, near)).alias("w")).filter("w >= 0")
-    windows = windows.select("doc_id", "t", "w", F.slice("h", F.col("w") * F.col("t") + 1, 2 * F.col("t")).alias("in")).dropDuplicates(["doc_id", "t", "w", "in"])
-    banded = windows.select("doc_id", "t", "w", "in", F.posexplode(min_hashes(F.col("in"))).alias("band", "value"))
-    found = banded.join(known, ["t", "band", "value"]).groupBy("doc_id", "license", "t", "w", "in", "set").agg(F.count("*").alias("bands"))
+    windows = at.select("doc_id", "th", "h", "t", F.explode(F.array(near - 1, near)).alias("w")).filter("w >= 0")
+    windows = windows.select("doc_id", "th", "t", "w", F.slice("h", F.col("w") * F.col("t") + 1, 2 * F.col("t")).alias("in")).dropDuplicates(["doc_id", "th", "t", "w", "in"])
+    banded = windows.select("doc_id", "th", "t", "w", "in", F.posexplode(min_hashes(F.col("in"))).alias("band", "value"))
+    found = banded.join(known, ["t", "band", "value"]).groupBy("doc_id", "th", "license", "t", "w", "in", "set").agg(F.count("*").alias("bands"))
     share = F.size(F.array_intersect("in", "set")) / F.col("t")
-    found = found.select("doc_id", "license", share.alias("containment"), (F.col("w") * F.col("t")).alias("start_word")).filter(F.col("containment") >= containment)
-    best = found.groupBy("doc_id", "license").agg(F.max(F.struct("containment", (-F.col("start_word")).alias("s"))).alias("b"))
+    found = found.select("doc_id", "th", "license", share.alias("containment"), (F.col("w") * F.col("t")).alias("start_word")).filter(F.col("containment") >= containment)
+    best = found.groupBy("doc_id", "th", "license").agg(F.max(F.struct("containment", (-F.col("start_word")).alias("s"))).alias("b"))
     return best.select("doc_id", "license", F.col("b.containment").alias("containment"), (-F.col("b.s")).alias("start_word"))

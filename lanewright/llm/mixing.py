@@ -6,7 +6,7 @@ a whole, and the rest by a seeded order of its documents up to the document whos
 
 Cases: a null text has size 0; documents of size 0 are kept with 0 words taken; null sources form one source, last in
 order; ties in the seeded order are settled by id; rows that repeat wholly are taken alike or, at the cut, counted one by
-one; an empty table gives an empty result; columns other than the three named ones pass through ``mix_documents`` only.
+one, in ``mix_documents`` in the order of a hash of their texts; an empty table gives an empty result; columns other than the three named ones pass through ``mix_documents`` only.
 """
 
 from __future__ import annotations
@@ -110,7 +110,7 @@ def mix_documents(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), max_e
     d = docs.withColumn("_m_w", word_count(F.col("text")))
     joined = d.join(times, d.doc_id.eqNullSafe(F.col("_m_doc_id")) & d.source.eqNullSafe(F.col("_m_source")) & (F.col("_m_w") == F.col("_m_size")))
     single = joined.filter(F.col("_m_least") == F.col("_m_most")).withColumn("_m_r", F.col("_m_most"))
-    w = Window.partitionBy("_m_doc_id", "_m_source", "_m_size").orderBy("_m_w")
+    w = Window.partitionBy("_m_doc_id", "_m_source", "_m_size").orderBy(F.xxhash64("text"), "text")
     split = joined.filter(F.col("_m_least") != F.col("_m_most")).withColumn("_m_k", F.row_number().over(w)).withColumn(
         "_m_r", F.col("_m_least") + (F.col("_m_k") <= F.col("_m_all") - F.col("_m_n") * F.col("_m_least")).cast("int")
     ).drop("_m_k")
