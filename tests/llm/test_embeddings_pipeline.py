@@ -2,9 +2,10 @@ import os
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lanewright.llm import embedding_dedup, simhash, suffix_dedup
+from lanewright.llm import embedding_dedup, similar_texts, suffix_dedup
 
 SF = "/root/testdata/sf0.001"
 
@@ -72,11 +73,11 @@ def test_pipeline_stages(spark):
     clean = stage["toxicity"](spark, docs, SF)
     assert clean.columns == docs.columns and 0.8 * docs.count() < clean.count() <= docs.count()
     one = stage["simhash"](spark, clean, SF)
-    groups = {r.component_id for r in simhash.near_duplicates(clean).collect()}
-    assert {r.doc_id for r in one.collect()} == groups
+    groups = similar_texts.similar_groups(clean).groupBy("component").agg(F.min("doc_id").alias("first"))
+    assert {r.doc_id for r in one.collect()} == {r.first for r in groups.collect()}
     cut = stage["suffix_array"](spark, one, SF)
     assert cut.count() == one.count()
-    kept = {r.doc_id: r for r in suffix_dedup.repeated_bytes(one).collect()}
+    kept = {r.doc_id: r for r in suffix_dedup.repeated_bytes(one, suffix_dedup.PASSAGE).collect()}
     assert all(r.text is None or len(r.text.encode()) <= kept[r.doc_id].n_bytes - kept[r.doc_id].n_removed for r in cut.collect())
     mixed = stage["mixing"](spark, cut, SF)
     assert mixed.columns == docs.columns

@@ -108,7 +108,7 @@ def plain_removal(texts, length):
 def test_suffix_removal_against_counting(docs, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "BLOCK_BYTES", 20_000)
     rows = [(r.doc_id, (r.text or "").encode()) for r in docs.collect()]
-    for length in (400, 307):
+    for length in (400, 307, 200, 57):
         want = sorted((i, *x) for (i, _), x in zip(rows, plain_removal([b for _, b in rows], length), strict=True))
         got = sorted(tuple(r) for r in suffix_dedup.repeated_bytes(docs, length).collect())
         assert got == want
@@ -121,13 +121,40 @@ def test_suffix_removal_by_shuffled_answers(docs, monkeypatch):
     assert sorted(map(tuple, suffix_dedup.repeated_bytes(docs).collect())) == want
 
 
+def test_unlike_strings_of_one_key_do_not_repeat(spark, monkeypatch):
+    def weak_keys(a, at, length):
+        """Few keys: unlike strings share them all the time."""
+        return np.array([sum(a[i : i + 3].tolist()) % 7 for i in at], np.uint64) << np.uint64(61)
+
+    monkeypatch.setattr(suffix_dedup, "BLOCK_BYTES", 1500)
+    monkeypatch.setattr(suffix_dedup, "window_keys", weak_keys)
+    rng = np.random.default_rng(2)
+    line = lambda n: "".join(rng.choice(list("abcdefg h"), n))
+    shared = [line(130), line(90)]
+    texts = [line(300) for _ in range(4)] + [line(50) + s + line(40) for s in shared for _ in range(3)] + [line(45) * 3, shared[0][:59], line(10)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for length in (60, 100):
+        want = sorted((i, *x) for i, x in enumerate(plain_removal([t.encode() for t in texts], length)))
+        assert sorted(map(tuple, suffix_dedup.repeated_bytes(docs, length).collect())) == want
+        assert any(x[2] for x in want)
+
+
+def test_rare_and_hot_copies(docs, monkeypatch):
+    want = sorted(map(tuple, suffix_dedup.repeated_bytes(docs).collect()))
+    monkeypatch.setattr(suffix_dedup, "HOT", 1)
+    assert sorted(map(tuple, suffix_dedup.repeated_bytes(docs).collect())) == want
+    assert sorted(r.text or "" for r in suffix_dedup.drop_repeats(docs).collect()).count("") > 5
+
+
 def test_difference_cover():
-    d = suffix_dedup.difference_cover()
-    assert len(d) == 18 and len({(a - b) % 307 for a in d for b in d}) == 307
+    for length in (400, 200, 57, 38):
+        q = suffix_dedup.field_for(length)
+        d, v = suffix_dedup.difference_cover(q), q * q + q + 1
+        assert len(d) == q + 1 and len({(a - b) % v for a in d for b in d}) == v and length - v + 1 >= 32
 
 
 def test_cut_texts(docs, odd_docs, no_docs):
-    removed = {r.doc_id: r.n_bytes - r.n_removed for r in suffix_dedup.repeated_bytes(docs).collect()}
+    removed = {r.doc_id: r.n_bytes - r.n_removed for r in suffix_dedup.repeated_bytes(docs, suffix_dedup.PASSAGE).collect()}
     out = suffix_dedup.drop_repeats(docs)
     assert out.columns == docs.columns and out.count() == docs.count()
     for r in out.collect():
