@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lanewright.llm.workers import tidy
-from lanewright.scratch import join_checked, materialise
+from lanewright.scratch import join_checked, materialise, scratch_path
 
 LENGTH = 400
 #: Bytes that 50 words take at least, at three letters and a blank each.
@@ -51,7 +51,8 @@ PASSAGE = 200
 #: Covers: q + 1 positions of q * q + q + 1, one for every difference.
 FIELDS = (17, 13, 11, 7, 5, 3, 2)
 BLOCK_BYTES = 2 << 20
-#: Text per suffix bucket.
+#: Text per file of blocks, and per suffix bucket.
+FILE_BYTES = 16 << 20
 BUCKET_BYTES = 16 << 20
 #: Answers up to this size are broadcast; larger ones are joined by shuffle.
 ANSWER_BYTES = 32 << 20
@@ -164,14 +165,20 @@ def _buckets(keys: np.ndarray, buckets: int) -> np.ndarray:
     return np.searchsorted((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32), np.arange(buckets), side="right")
 
 
-def _sent(block: int, keys: np.ndarray, buckets: int) -> pa.RecordBatch | None:
+def narrowed(keys: np.ndarray, width: int) -> np.ndarray:
+    """Keys of which only the first ``width`` bytes count."""
+    low = np.uint64(8 * (8 - width))
+    return keys >> low << low
+
+
+def _sent(block: int, keys: np.ndarray, buckets: int, width: int = 8) -> pa.RecordBatch:
     keys = np.unique(keys)
     ends = _buckets(keys, buckets)
     begin = np.concatenate(([0], ends[:-1]))
     full = np.flatnonzero(ends > begin)
     return pa.RecordBatch.from_arrays([
         pa.array(full.astype(np.int32)), pa.array(np.full(len(full), block, np.int64)),
-        pa.array([keys[begin[b] : ends[b]].tobytes() for b in full], pa.binary()),
+        pa.array([keys[begin[b] : ends[b]].astype(">u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes() for b in full], pa.binary()),
     ], names=["bucket", "block", "keys"])
 
 
@@ -203,7 +210,7 @@ def _opened_ids(packed: bytes) -> np.ndarray:
     return few[np.frombuffer(body, np.uint16 if n < 1 << 16 else np.uint32, offset=8 + 8 * n)]
 
 
-def sort_buckets(sent: DataFrame, partners: bool = False) -> DataFrame:
+def sort_buckets(sent: DataFrame, width: int = 8, partners: bool = False) -> DataFrame:
     """Rows (bucket, block, keys) to (block, answers): which keys of a block occur in another one, and where if asked.
 
     A task goes through its buckets one at a time: a bucket's keys are gathered, sorted and compared with their
@@ -243,7 +250,8 @@ def sort_buckets(sent: DataFrame, partners: bool = False) -> DataFrame:
                     blocks, keys = [], []
                 now = bucket
                 blocks.append(block)
-                keys.append(np.frombuffer(k.as_py(), np.uint64))
+                few = np.frombuffer(k.as_py(), np.uint8).reshape(-1, width)
+                keys.append(np.concatenate((few, np.zeros((len(few), 8 - width), np.uint8)), axis=1).view(">u8").ravel().astype(np.uint64))
         if blocks:
             yield answer(now, blocks, keys)
 
@@ -251,6 +259,14 @@ def sort_buckets(sent: DataFrame, partners: bool = False) -> DataFrame:
     return bits.groupBy("block").agg(F.collect_list(F.struct("bucket", "bits", "partners")).alias("answers"))
 
 
+def bucketed(df: DataFrame, key: str, files: int, label: str) -> DataFrame:
+    """``df`` as a table in the shared folder that is dealt by ``key`` once; joins on the key then move the other side only."""
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, label)
+    name = path.rpartition("/")[2].replace("-", "_")
+    df.repartition(files, key).write.option("path", path).option("compression", "none").bucketBy(files, key).saveAsTable(name)
+    return spark.table(name)
+
+
 def _with_answers(blocks: DataFrame, answers: DataFrame, name: str) -> DataFrame:
     answers = answers.withColumnRenamed("answers", name)
     size = answers.agg(F.sum(F.aggregate(name, F.lit(0).cast("long"), lambda n, x: n + F.length(x["bits"]) + F.length(x["partners"]) + 16))).first()[0] or 0
@@ -266,6 +282,8 @@ def repeated_texts(texts: DataFrame, total_bytes: int, length: int = LENGTH, kee
     period, cover = q * q + q + 1, difference_cover(q)
     depth = length - period + 1
     buckets = int(max(8, total_bytes // BUCKET_BYTES))
+    # a false tie of sampled strings only makes candidates, so their keys are as wide as one in 4,096 of them needs
+    width = min(8, -(-(total_bytes.bit_length() + 8) // 8))
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, n, hashes, bodies, held = TaskContext.get().partitionId(), 0, [], [], 0
@@ -296,11 +314,11 @@ def repeated_texts(texts: DataFrame, total_bytes: int, length: int = LENGTH, kee
         for b in batches:
             for i, block in enumerate(b.column("block").to_pylist()):
                 x = opened(b, i)
-                yield _sent(block, window_keys(x.a, x.sample(period, cover), depth), buckets)
+                yield _sent(block, narrowed(window_keys(x.a, x.sample(period, cover), depth), width), buckets, width)
 
     def tying(x: Block, answers) -> np.ndarray:
         at = x.sample(period, cover)
-        ties = Ties(window_keys(x.a, at, depth), buckets, answers)
+        ties = Ties(narrowed(window_keys(x.a, at, depth), width), buckets, answers)
         return x.candidates(at[ties.tied[ties.where]], period)
 
     def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -420,8 +438,9 @@ def repeated_texts(texts: DataFrame, total_bytes: int, length: int = LENGTH, kee
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()), strict=True)], names=["h", "n_removed", "n_spans", "kept_sha256", "kept"])
 
-    blocks = materialise(texts.select("h", "body").mapInArrow(tidy(gather), "block long, hashes array<string>, sizes array<long>, body binary"), "suffix-blocks")
-    ranks = materialise(sort_buckets(blocks.mapInArrow(tidy(sampled), "bucket int, block long, keys binary")), "suffix-ranks")
+    blocks = texts.select("h", "body").mapInArrow(tidy(gather), "block long, hashes array<string>, sizes array<long>, body binary")
+    blocks = bucketed(blocks, "block", int(min(max(total_bytes // FILE_BYTES, 8), 50_000)), "suffix-blocks")
+    ranks = materialise(sort_buckets(blocks.mapInArrow(tidy(sampled), "bucket int, block long, keys binary"), width), "suffix-ranks")
     ranked = _with_answers(blocks, ranks, "ranks")
     again = materialise(sort_buckets(ranked.mapInArrow(tidy(suffixes), "bucket int, block long, keys binary"), partners=True), "suffix-repeats")
     tied = settled(_with_answers(ranked, again, "repeats"))
