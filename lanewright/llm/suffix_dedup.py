@@ -55,7 +55,7 @@ BLOCK_BYTES = 2 << 20
 FILE_BYTES = 16 << 20
 BUCKET_BYTES = 16 << 20
 #: Answers up to this size are broadcast; larger ones are joined by shuffle.
-ANSWER_BYTES = 32 << 20
+ANSWER_BYTES = 8 << 20
 STRETCH = 1 << 19
 #: Strings that a block sends for comparison at a time.
 ASKED = 1 << 14
