@@ -201,6 +201,29 @@ def bounds(points: Column) -> Column:
     ))
 
 
+def edge_cells(es: Column, pad: float, size: float) -> Column:
+    """Grid cells (struct<cx, cy>) within ``pad`` of a path's edges, column by column: linear in the path's length."""
+    column = lambda x: F.floor(x / size)
+
+    def of(e: Column) -> Column:
+        left, right = F.least(e["ax"], e["bx"]), F.greatest(e["ax"], e["bx"])
+
+        def height(x: Column) -> Column:
+            t = F.coalesce(F.try_divide(x - e["ax"], e["bx"] - e["ax"]), F.lit(0.0))
+            return e["ay"] + t * (e["by"] - e["ay"])
+
+        def down(cx: Column) -> Column:
+            upright = e["ax"] == e["bx"]
+            a = F.when(upright, e["ay"]).otherwise(height(F.greatest(left, cx * size - pad)))
+            b = F.when(upright, e["by"]).otherwise(height(F.least(right, (cx + 1) * size + pad)))
+            rows = F.sequence(column(F.least(a, b) - pad), column(F.greatest(a, b) + pad))
+            return F.transform(rows, lambda cy: F.struct(cx.alias("cx"), cy.alias("cy")))
+
+        return F.flatten(F.transform(F.sequence(column(left - pad), column(right + pad)), down))
+
+    return F.array_distinct(F.flatten(F.transform(es, of)))
+
+
 def cells(box: Column, pad: Column | float, size: float) -> Column:
     """Grid cells (struct<cx, cy>) that a padded box touches."""
 

@@ -68,8 +68,9 @@ def iso_text(value: Column, kind: str) -> Column:
 
 
 def varied(base: Column, *seed: Column, low: float = 0.3, high: float = 1.3, least: float = 1.0) -> Column:
-    """``base`` times a factor from low to high that depends on the seed columns alone, so a retried task gives the same."""
-    u = F.pmod(F.xxhash64(*seed), F.lit(1_000_000)) / 1e6
+    """``base`` times a factor from low to high that depends on the seed columns' text alone, so a retried task gives the same."""
+    text = F.concat_ws("|", *[x.cast("string") for x in seed])
+    u = F.conv(F.substring(F.md5(text.cast("binary")), 1, 5), 16, 10).cast("double") / float(1 << 20)
     return F.greatest(F.lit(least), base * (low + (high - low) * u))
 
 

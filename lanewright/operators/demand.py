@@ -49,6 +49,7 @@ def latest_dates(daily: DataFrame, days: int) -> DataFrame:
 
 def weekday_means(daily: DataFrame, weeks: int) -> DataFrame:
     """Mean and number of samples by zone, type, weekday and slot over the latest weeks; raises where a date is missing."""
+    daily = materialise(daily, "daily")  # looked at for its dates, then averaged
     w = latest_dates(daily, 7 * weeks).first()
     if not w.complete:
         raise ValueError(f"{weeks} whole weeks are needed up to {w.window_end}; dates found: {w.found} from {w.window_start}")

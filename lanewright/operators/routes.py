@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from lanewright.functions import timeslot as ts
 from lanewright.functions.values import half_even, label_of
 from lanewright.operators.network import GLOBAL
+from lanewright.scratch import materialise
 
 #: What is served when nothing is known, by type.
 DEFAULT_SECONDS, DEFAULT_LENGTH, DEFAULT_DEMAND, DEFAULT_TOLL = 45.0, 300.0, 0.0, 0.0
@@ -108,6 +109,7 @@ def geo_bound(value: Column, use) -> Column:
 
 def score(requests: DataFrame, slots: DataFrame, lengths: DataFrame, values: DataFrame | None, mapping: DataFrame, zone_values: DataFrame, tolls: DataFrame, as_of: str) -> DataFrame:
     """Requests of mixed types; unknown types get the time constant. (route_id, pos, type, segment_id, value, storage_source, value_basis, source)"""
+    requests = materialise(requests, "requests")  # read once for each type
     by = {k: requests.filter(F.col("type") == k) for k in (1, 2, 3, 4)}
     parts = [
         with_provenance(score_time(by[1], slots, as_of), 1).withColumn("type", F.lit(1)), with_provenance(score_static(by[2], lengths), 2).withColumn("type", F.lit(2)),

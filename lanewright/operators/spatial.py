@@ -5,10 +5,13 @@ Nearest fallbacks widen their rings of cells for what is still unmatched, so no
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lanewright.functions import geometry as geo
+from lanewright.operators.quality import running_counts
 from lanewright.operators.trips import SUSPECT
 from lanewright.scratch import materialise
 
@@ -19,37 +22,39 @@ def _cell_rows(df: DataFrame, box: Column, pad: float, size: float) -> DataFrame
     return df.withColumn("_c", F.explode(geo.cells(box, F.lit(pad), size))).withColumns({"_cx": F.col("_c.cx"), "_cy": F.col("_c.cy")}).drop("_c")
 
 
-def points_to_zones(points: DataFrame, zones: DataFrame, cell: float, widest: int = 16) -> DataFrame:
+def points_to_zones(points: DataFrame, zones: DataFrame, cell: float) -> DataFrame:
     """(segment_id, x, y) and (zone_id, borough, parts) to (segment_id, zone_id, borough, mapping_method, distance_ft).
 
-    The containing zone (least id of several, borders count); else the nearest, least id on ties. Rings of cells around the
-    points double up to ``widest`` cells; only points beyond all of them meet every zone.
+    The containing zone (least id of several, borders count); else the nearest, least id on ties. For the points that are
+    left the cells grow fourfold, pass by pass, and a point meets the zones of the nine cells around it, until a zone lies
+    within one cell of every point.
     """
     z = zones.select("zone_id", "borough", geo.part_edges(F.col("parts")).alias("es"), geo.bounds(F.flatten("parts")).alias("box"))
     z = materialise(z, "zones")
-    zc = _cell_rows(z, F.col("box"), 0.0, cell)
     p = points.select("segment_id", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))
     here = p.withColumns({"_cx": F.floor(F.col("x") / cell), "_cy": F.floor(F.col("y") / cell)})
-    hit = here.join(zc, ["_cx", "_cy"]).filter(geo.inside(F.col("es"), F.col("x"), F.col("y")))
+    hit = here.join(_cell_rows(z, F.col("box"), 0.0, cell), ["_cx", "_cy"]).filter(geo.inside(F.col("es"), F.col("x"), F.col("y")))
     found = hit.groupBy("segment_id").agg(F.min(F.struct("zone_id", "borough")).alias("z"))
     out = found.select("segment_id", "z.zone_id", "z.borough", F.lit("contains").alias("mapping_method"), F.lit(0.0).alias("distance_ft"))
     out = materialise(out, "zone-hits")
-    left, rings = p.join(out, "segment_id", "left_anti"), 1
-    while True:
-        left = materialise(left, "zone-left")
-        if left.isEmpty():
-            return out
-        if rings <= widest:
-            around = _cell_rows(left, F.struct(F.col("x").alias("x0"), F.col("y").alias("y0"), F.col("x").alias("x1"), F.col("y").alias("y1")), rings * cell, cell)
-            near = around.join(zc, ["_cx", "_cy"])
-        else:
-            near = left.join(F.broadcast(z) if z.count() <= 10_000 else z)  # far outliers against the zone list
+    left = materialise(p.filter("x IS NOT NULL AND y IS NOT NULL").join(out, "segment_id", "left_anti"), "zone-left")
+    at = F.struct(F.col("x").alias("x0"), F.col("y").alias("y0"), F.col("x").alias("x1"), F.col("y").alias("y1"))
+    widest = _extent(left.select(at.alias("box")).unionByName(z.select("box")))
+    size = cell
+    while not left.isEmpty() and size <= 8 * widest:
+        near = _cell_rows(left, at, size, size).join(_cell_rows(z, F.col("box"), 0.0, size), ["_cx", "_cy"])
         d = geo.polygon_distance(F.col("es"), F.col("x"), F.col("y"))
         best = near.select("segment_id", F.struct(d.alias("d"), "zone_id", "borough").alias("m")).groupBy("segment_id").agg(F.min("m").alias("m"))
-        if rings <= widest:
-            best = best.filter(F.col("m.d") <= rings * cell)  # beyond that a zone outside the rings may be nearer
+        best = best.filter(F.col("m.d") <= size)  # beyond that a zone outside the cells may be nearer
         got = materialise(best.select("segment_id", "m.zone_id", "m.borough", F.lit("nearest").alias("mapping_method"), F.col("m.d").alias("distance_ft")), "zone-near")
-        out, left, rings = out.unionByName(got), left.join(got, "segment_id", "left_anti"), rings * 4
+        out, left, size = out.unionByName(got), materialise(left.join(got, "segment_id", "left_anti"), "zone-left"), size * 4
+    return out
+
+
+def _extent(boxes: DataFrame) -> float:
+    """Upper bound of the distance between any two things in ``box``."""
+    e = boxes.agg(F.max("box.x1").alias("x1"), F.min("box.x0").alias("x0"), F.max("box.y1").alias("y1"), F.min("box.y0").alias("y0")).first()
+    return 0.0 if e.x1 is None else (e.x1 - e.x0) + (e.y1 - e.y0)
 
 
 def segments_to_zones(segments: DataFrame, zones: DataFrame, cell: float) -> DataFrame:
@@ -67,16 +72,17 @@ def links_to_segments(links: DataFrame, segments: DataFrame, near: float = NEAR_
 
     All segments within ``near``; a link without any takes the nearest one up to ``far`` and otherwise none.
     """
-    a = materialise(links.select("link_id", geo.edges(F.col("points")).alias("es"), geo.bounds(F.col("points")).alias("box")), "links")
+    a = materialise(links.select("link_id", geo.edges(F.col("points")).alias("es")), "links")
     b = materialise(segments.select("segment_id", geo.edges(F.col("points")).alias("fs"), geo.bounds(F.col("points")).alias("sbox")), "segments")
+    usual = b.agg(F.avg(F.greatest(F.col("sbox.x1") - F.col("sbox.x0"), F.col("sbox.y1") - F.col("sbox.y0")))).first()[0] or 0.0
 
     def pairs(left: DataFrame, reach: float) -> DataFrame:
-        size = max(reach, 1e-9) * 2
-        l, r = _cell_rows(left, F.col("box"), reach, size), _cell_rows(b, F.col("sbox"), 0.0, size)
-        close = (F.col("box.x0") - reach <= F.col("sbox.x1")) & (F.col("sbox.x0") <= F.col("box.x1") + reach) & (F.col("box.y0") - reach <= F.col("sbox.y1")) & (F.col("sbox.y0") <= F.col("box.y1") + reach)
-        # a pair that shares several cells is taken in the first of them
-        first = (F.col("_cx") == F.greatest(F.floor((F.col("box.x0") - reach) / size), F.floor(F.col("sbox.x0") / size))) & (F.col("_cy") == F.greatest(F.floor((F.col("box.y0") - reach) / size), F.floor(F.col("sbox.y0") / size)))
-        met = l.join(r, ["_cx", "_cy"]).filter(close & first)
+        # cells are entered along the edges, by id; the edges join the pairs that share a cell
+        size = max(reach * 2, usual / 16, 1e-9)
+        l = left.select("link_id", F.explode(geo.edge_cells(F.col("es"), reach, size)).alias("c"))
+        r = b.select("segment_id", F.explode(geo.edge_cells(F.col("fs"), 0.0, size)).alias("c"))
+        met = l.join(r, "c").select("link_id", "segment_id").distinct()
+        met = met.join(left.select("link_id", "es"), "link_id").join(b.select("segment_id", "fs"), "segment_id")
         return met.select("link_id", "segment_id", geo.lines_distance(F.col("es"), F.col("fs")).alias("distance_ft")).filter(F.col("distance_ft") <= reach)
 
     within = materialise(pairs(a, near).withColumn("mapping_method", F.lit("buffer")), "links-near")
@@ -96,19 +102,33 @@ def segments_in_fence(segments: DataFrame, fence: DataFrame) -> DataFrame:
 
 
 def share_weights(cells: DataFrame, segments: DataFrame, reach: float = 100.0, alpha: float = 1.0) -> DataFrame:
-    """A zone's counted grid points (zone_id, x, y, n) shared out to its segments (zone_id, segment_id, points) within reach.
+    """A zone's counted grid points (zone_id, x, y, n) shared out to its segments (zone_id, segment_id, points).
 
-    A point's count goes by 1 / (distance + 1); each segment has alpha added; weights of a zone add up to 1.
+    A point's count goes to the segments within reach by 1 / (distance + 1); without any, all of it to the nearest of the
+    zone (least id on ties). Each segment has alpha added; weights of a zone add up to 1.
     """
     s = segments.select("zone_id", "segment_id", geo.edges(F.col("points")).alias("es"), geo.bounds(F.col("points")).alias("box"))
-    size = reach * 2
-    sc = _cell_rows(s, F.col("box"), reach, size)
-    c = cells.withColumns({"_cx": F.floor(F.col("x") / size), "_cy": F.floor(F.col("y") / size)})
-    d = geo.edges_point_distance(F.col("es"), F.col("x"), F.col("y"))
-    near = c.join(sc, ["zone_id", "_cx", "_cy"]).withColumn("d", d).filter(F.col("d") <= reach)
-    pull = near.select("zone_id", "segment_id", "x", "y", "n", (1 / (F.col("d") + 1)).alias("w"))
-    whole = pull.groupBy("zone_id", "x", "y").agg(F.sum("w").alias("all"))
-    part = pull.join(whole, ["zone_id", "x", "y"]).groupBy("zone_id", "segment_id").agg(F.sum(F.col("n") * F.col("w") / F.col("all")).alias("share"))
+    s = materialise(s, "weight-segments")
+    at = F.struct(F.col("x").alias("x0"), F.col("y").alias("y0"), F.col("x").alias("x1"), F.col("y").alias("y1"))
+    c = materialise(cells.groupBy("zone_id", "x", "y").agg(F.sum("n").alias("n")).filter("x IS NOT NULL AND y IS NOT NULL"), "weight-points")
+    point = ["zone_id", "x", "y"]
+
+    def met(points: DataFrame, size: float) -> DataFrame:
+        near = _cell_rows(points, at, size, size).join(_cell_rows(s, F.col("box"), 0.0, size).select("zone_id", "segment_id", "es", "_cx", "_cy"), ["zone_id", "_cx", "_cy"])
+        d = geo.edges_point_distance(F.col("es"), F.col("x"), F.col("y"))
+        return near.dropDuplicates([*point, "segment_id"]).select(*point, "n", "segment_id", d.alias("d")).filter(F.col("d") <= size)
+
+    pull = materialise(met(c, reach).withColumn("w", 1 / (F.col("d") + 1)), "weight-near")
+    whole = pull.groupBy(*point).agg(F.sum("w").alias("all"))
+    shares = [pull.join(whole, point).select("zone_id", "segment_id", (F.col("n") * F.col("w") / F.col("all")).alias("share"))]
+    left, size = materialise(c.join(whole, point, "left_anti"), "weight-left"), reach * 4
+    widest = _extent(left.select(at.alias("box")).unionByName(s.select("box")))
+    while not left.isEmpty() and size <= 8 * widest:
+        nearest = met(left, size).groupBy(*point).agg(F.min(F.struct("d", "segment_id")).alias("m"), F.any_value("n").alias("n"))
+        nearest = materialise(nearest.select(*point, F.col("m.segment_id").alias("segment_id"), F.col("n").cast("double").alias("share")), "weight-nearest")
+        shares.append(nearest.select("zone_id", "segment_id", "share"))
+        left, size = materialise(left.join(nearest, point, "left_anti"), "weight-left"), size * 4
+    part = reduce(DataFrame.unionByName, shares).groupBy("zone_id", "segment_id").agg(F.sum("share").alias("share"))
     out = s.select("zone_id", "segment_id").join(part, ["zone_id", "segment_id"], "left").withColumn("share", F.coalesce("share", F.lit(0.0)) + alpha)
     total = out.groupBy("zone_id").agg(F.sum("share").alias("total"))
     return out.join(total, "zone_id").select("zone_id", "segment_id", (F.col("share") / F.col("total")).alias("weight"))
@@ -116,11 +136,8 @@ def share_weights(cells: DataFrame, segments: DataFrame, reach: float = 100.0, a
 
 def percentile_ranks(df: DataFrame, value: str) -> DataFrame:
     """Adds ``pct``: the mean rank of equal values over the number of rows, from one row per distinct value."""
-    from pyspark.sql import Window
-
-    per = df.groupBy(value).agg(F.count("*").alias("_n"))
-    upto = F.sum("_n").over(Window.orderBy(value))
-    per = per.select(F.col(value).alias("_v"), ((upto - F.col("_n") + (F.col("_n") + 1) / 2) / F.sum("_n").over(Window.partitionBy())).alias("pct"))
+    per, rows = running_counts(df, value)
+    per = per.select(F.col("value").alias("_v"), ((F.col("before") + (F.col("n") + 1) / 2) / F.lit(rows)).alias("pct"))
     return df.join(per, F.col(value) == F.col("_v")).drop("_v")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lanewright.functions import timeslot as ts
 from lanewright.functions.values import flag, formula_version, half_even, travel_seconds, varied
-from lanewright.scratch import join_checked
+from lanewright.scratch import join_checked, materialise
 
 LEAST_SPEED = 1.0
 SPEED_RANGE = (0.0, 150.0)
@@ -36,7 +36,8 @@ def drop_slow(readings: DataFrame, least: float = LEAST_SPEED) -> DataFrame:
 
 def fan_out(readings: DataFrame, mapping: DataFrame) -> DataFrame:
     """A reading of a link becomes one of each segment that the link maps to."""
-    return join_checked(readings, mapping.select("link_id", F.col("segment_id").cast("string").alias("segment_id")), "link_id").select("segment_id", "speed", "observed_at")
+    side = materialise(mapping.select("link_id", F.col("segment_id").cast("string").alias("segment_id")), "link-map")
+    return join_checked(readings, side, "link_id").select("segment_id", "speed", "observed_at")
 
 
 def slot_means(readings: DataFrame) -> DataFrame:

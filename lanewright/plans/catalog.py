@@ -17,7 +17,7 @@ from lanewright.operators import demand, quality, routes, spatial, store, tolls,
 from lanewright.operators import network as net
 from lanewright.plans import inputs as inp
 from lanewright.scratch import materialise, scratch_path
-from lanewright.sources import selection
+from lanewright.sources import readers, selection
 from lanewright.streaming import streams
 
 QUERIES: dict = {}
@@ -75,7 +75,7 @@ def slot_speed_means(spark: SparkSession, d: str) -> DataFrame:
     return traveltime.slot_means(traveltime.drop_slow(inp.readings(spark, d))).select("segment_id", "time", r6("avg_speed"), "last_observed_at")
 
 
-@query(f"""WITH {READINGS}, link AS (SELECT DISTINCT CAST(l_suppkey AS VARCHAR) AS link_id, CAST(l_partkey AS VARCHAR) AS segment_id FROM lineitem WHERE l_linenumber = 1)
+@query(f"""WITH {READINGS}, link AS (SELECT DISTINCT CAST(l_suppkey AS VARCHAR) AS link_id, CAST(l_partkey AS VARCHAR) AS segment_id FROM lineitem)
  SELECT link.segment_id, count(*) AS readings, sum(CAST(round(speed * 100) AS BIGINT)) / count(*) / 100.0 AS speed FROM readings JOIN link ON readings.segment_id = link.link_id GROUP BY ALL""")
 def speed_fanout(spark: SparkSession, d: str) -> DataFrame:
     out = traveltime.fan_out(inp.readings(spark, d).withColumnRenamed("segment_id", "link_id"), inp.link_map(spark, d))
@@ -137,11 +137,12 @@ def spec_backfill(spark: SparkSession, d: str) -> DataFrame:
     return traveltime.backfill_slots(inp.network(spark, d), live).select("segment_id", "time", "avg")
 
 
-@query()
+@query(f"""WITH {READINGS}, {NETWORK}, b AS (SELECT time_bucket(INTERVAL 30 MINUTE, observed_at) AS bucket, segment_id FROM readings), every AS (SELECT segment_id, CASE WHEN speed_limit > 0 THEN speed_limit ELSE 25 END AS ref, bucket FROM network, (SELECT DISTINCT bucket FROM b)),
+ made AS (SELECT segment_id, greatest(1.0, ref * (0.3 + CAST('0x' || substr(md5(segment_id || '|' || strftime(bucket, '%Y-%m-%d %H:%M:%S')), 1, 5) AS BIGINT) / 1048576.0)) AS speed FROM every WHERE (bucket, segment_id) NOT IN (SELECT (bucket, segment_id) FROM b))
+ SELECT segment_id, false AS synthetic, count(*) AS readings, round(avg(speed), 4) AS speed FROM readings GROUP BY ALL UNION ALL SELECT segment_id, true, count(*), round(avg(speed), 4) FROM made GROUP BY ALL""")
 def synthetic_fill(spark: SparkSession, d: str) -> DataFrame:
-    """Varied speeds use Spark's own hash, so SQL elsewhere can't repeat them; tests check coverage and bounds."""
     filled = traveltime.fill_buckets(inp.readings(spark, d), inp.network(spark, d))
-    return filled.groupBy("segment_id", "synthetic").agg(F.count("*").alias("readings"), F.round(F.avg("speed"), 6).alias("speed"))
+    return filled.groupBy("segment_id", "synthetic").agg(F.count("*").alias("readings"), F.round(F.avg("speed"), 4).alias("speed"))
 
 
 @query(f"""WITH {READINGS}, {NETWORK}, b AS (SELECT time_bucket(INTERVAL 30 MINUTE, observed_at) AS bucket, segment_id FROM readings), k AS (SELECT count(DISTINCT bucket) AS n FROM b),
@@ -391,8 +392,7 @@ def complete_months(spark: SparkSession, d: str) -> DataFrame:
     o = inp.table(spark, d, "orders")
     m = o.select(F.date_format("o_orderdate", "yyyy-MM").alias("month"), F.col("o_orderpriority").alias("kind"), ((F.col("o_custkey") % 50 > 0) & (F.col("o_orderkey") % 40 == 1)).alias("done"))
     m = m.groupBy("month", "kind").agg(F.max("done").alias("done")).withColumn("path", F.concat_ws("/", "month", "kind"))
-    kinds = [r.kind for r in o.select(F.col("o_orderpriority").alias("kind")).distinct().limit(100).collect()]
-    return selection.complete_months(m, kinds).select("month", F.size("paths").cast("long").alias("have"), F.size("missing").cast("long").alias("missing"), "ready")
+    return selection.complete_months(m, m.select("kind").distinct()).select("month", F.size("paths").cast("long").alias("have"), F.size("missing").cast("long").alias("missing"), "ready")
 
 
 # scalar functions
@@ -597,10 +597,18 @@ def line_midpoints(spark: SparkSession, d: str) -> DataFrame:
     return m.select("segment_id", F.round("m.x", 6).alias("x"), F.round("m.y", 6).alias("y"), F.round(F.hypot(F.col("e.bx") - F.col("e.ax"), F.col("e.by") - F.col("e.ay")), 6).alias("length"))
 
 
-@query(f"WITH {PLANE}, s AS (SELECT label, segment_id, v1, v2, v3, v4 FROM p), w AS (SELECT a.label, a.segment_id AS point, b.segment_id, 1 / ({_point_edge('b.v1', 'b.v2', 'b.v3', 'b.v4', 'a.v1', 'a.v2')} + 1) AS w FROM s a JOIN s b ON a.label = b.label WHERE {_point_edge('b.v1', 'b.v2', 'b.v3', 'b.v4', 'a.v1', 'a.v2')} <= 20), sh AS (SELECT label, segment_id, sum(w / whole) AS share FROM (SELECT *, sum(w) OVER (PARTITION BY label, point) AS whole FROM w) GROUP BY ALL), al AS (SELECT s.label, s.segment_id, coalesce(share, 0) + 1 AS share FROM s LEFT JOIN sh ON sh.label = s.label AND sh.segment_id = s.segment_id) SELECT label AS zone_id, segment_id, round(share / sum(share) OVER (PARTITION BY label), 6) AS weight FROM al")
+WEIGHTS = f"""WITH {PLANE}, c AS (SELECT label, segment_id AS point, v2 * 2 + 150 AS x, v3 * 2 - 150 AS y FROM p),
+ d AS (SELECT c.label, c.point, b.segment_id, {_point_edge('b.v1', 'b.v2', 'b.v3', 'b.v4', 'c.x', 'c.y')} AS d FROM c JOIN p b ON c.label = b.label),
+ w AS (SELECT *, 1 / (d + 1) AS w, min(d) OVER (PARTITION BY label, point) AS least, row_number() OVER (PARTITION BY label, point ORDER BY d, segment_id) AS nth FROM d),
+ sh AS (SELECT label, segment_id, sum(share) AS share FROM (SELECT label, segment_id, w / sum(w) OVER (PARTITION BY label, point) AS share FROM w WHERE d <= 20 UNION ALL SELECT label, segment_id, 1.0 FROM w WHERE least > 20 AND nth = 1) GROUP BY ALL),
+ al AS (SELECT p.label, p.segment_id, coalesce(share, 0) + 1 AS share FROM p LEFT JOIN sh ON sh.label = p.label AND sh.segment_id = p.segment_id) SELECT label AS zone_id, segment_id, round(share / sum(share) OVER (PARTITION BY label), 6) AS weight FROM al"""
+
+
+@query(WEIGHTS)
 def zone_weights(spark: SparkSession, d: str) -> DataFrame:
+    """Points beside the lines: some have none within reach and go to the nearest."""
     p, lines = inp.plane_points(spark, d), inp.plane_lines(spark, d)
-    cells = p.select(F.col("label").alias("zone_id"), F.col("v1").alias("x"), F.col("v2").alias("y"), F.lit(1).alias("n"))
+    cells = p.select(F.col("label").alias("zone_id"), (F.col("v2") * 2 + 150).alias("x"), (F.col("v3") * 2 - 150).alias("y"), F.lit(1).alias("n"))
     return spatial.share_weights(cells, lines.select(F.col("label").alias("zone_id"), "segment_id", "points"), reach=20.0).withColumn("weight", F.round("weight", 6))
 
 
@@ -612,11 +620,11 @@ def percentile_rank(spark: SparkSession, d: str) -> DataFrame:
 HOP_EDGES = "e AS (SELECT p_partkey AS a, (p_partkey * 7) % (SELECT count(*) FROM part) + 1 AS b FROM part), bo AS (SELECT a, b FROM e UNION SELECT b, a FROM e)"
 
 
-@query(f"WITH {HOP_EDGES}, h1 AS (SELECT a AS s, b AS o, 1 AS hop FROM bo WHERE a % 10 = 0 AND a IN (SELECT p_partkey FROM part)), h2 AS (SELECT s, bo.b AS o, 2 AS hop FROM h1 JOIN bo ON o = a), h3 AS (SELECT s, bo.b AS o, 3 AS hop FROM h2 JOIN bo ON o = a) SELECT s AS segment_id, o AS other, min(hop) AS hop FROM (SELECT * FROM h1 UNION ALL SELECT * FROM h2 UNION ALL SELECT * FROM h3) WHERE s <> o GROUP BY ALL")
+@query(f"WITH {HOP_EDGES}, h1 AS (SELECT a AS s, b AS o, 1 AS hop FROM bo WHERE a IN (SELECT p_partkey FROM part)), h2 AS (SELECT s, bo.b AS o, 2 AS hop FROM h1 JOIN bo ON o = a), h3 AS (SELECT s, bo.b AS o, 3 AS hop FROM h2 JOIN bo ON o = a) SELECT s AS segment_id, o AS other, min(hop) AS hop FROM (SELECT * FROM h1 UNION ALL SELECT * FROM h2 UNION ALL SELECT * FROM h3) WHERE s <> o GROUP BY ALL")
 def within_hops(spark: SparkSession, d: str) -> DataFrame:
     p = inp.table(spark, d, "part").select(F.col("p_partkey").alias("a"))
     e = p.select("a", (F.col("a") * 7 % p.count() + 1).alias("b"))
-    return spatial.within_hops(e, p.filter("a % 10 = 0").select(F.col("a").alias("segment_id")))
+    return spatial.within_hops(e, p.select(F.col("a").alias("segment_id")))
 
 
 @query(f"WITH {PLANE}, l AS (SELECT segment_id, v1, v2, v3, v4, segment_id % 50 AS f, (segment_id * 3 + 1) % 50 AS t FROM p), n AS (SELECT f AS node, segment_id, v1 AS x, v2 AS y FROM l UNION ALL SELECT t, segment_id, v3, v4 FROM l) SELECT node, round(arg_min(x, (segment_id, x, y)), 6) AS x, round(arg_min(y, (segment_id, x, y)), 6) AS y FROM n GROUP BY node")
@@ -655,4 +663,166 @@ def stream_slot_mean(spark: SparkSession, d: str) -> DataFrame:
 @query(f"WITH {READINGS} {REPLAY}")
 def stream_running_mean(spark: SparkSession, d: str) -> DataFrame:
     values = _landed(spark, d).select("segment_id", ts.slot(F.col("observed_at")).alias("time"), F.col("speed").alias("value"), F.col("observed_at").alias("last_sample_at"))
-    return _last_state(streams.running_means(values), ["segment_id", "time"])
+    path = scratch_path(spark, "stream-means")
+    streams.fold_batches(values, path, scratch_path(spark, "stream-log")).awaitTermination()
+    return store.current(spark, path)
+
+
+# readers, writers, selection, contracts
+
+
+@query("SELECT user_id, event_type, count(*) AS n FROM events GROUP BY ALL")
+def multi_path_scan(spark: SparkSession, d: str) -> DataFrame:
+    """The table written as two folders and read as one, two columns of it."""
+    paths = [scratch_path(spark, "scan") for _ in range(2)]
+    for k, path in enumerate(paths):
+        store.overwrite(inp.table(spark, d, "events").filter(F.pmod(F.xxhash64("event_id"), F.lit(2)) == k), path)
+    return readers.scan(spark, paths, ["user_id", "event_type"]).groupBy("user_id", "event_type").agg(F.count("*").alias("n"))
+
+
+@query("SELECT CAST(ts AS DATE) AS date, count(*) AS n, CAST(sum(user_id) AS BIGINT) AS users FROM events WHERE CAST(ts AS DATE) >= DATE '2024-01-10' AND CAST(ts AS DATE) <= DATE '2024-01-20' GROUP BY ALL")
+def partitioned_scan(spark: SparkSession, d: str) -> DataFrame:
+    """Written by date and read back with pruned partitions."""
+    path = scratch_path(spark, "dated")
+    store.write_partitions(inp.table(spark, d, "events").select("user_id", F.to_date("ts").cast("string").alias("date")), path)
+    out = readers.scan_partitioned(spark, path, first="2024-01-10", last="2024-01-20")
+    return out.groupBy("date").agg(F.count("*").alias("n"), F.sum("user_id").alias("users"))
+
+
+@query("SELECT CAST(ts AS DATE) AS date, CASE WHEN dayofweek(ts) = 0 THEN 'new' ELSE 'old' END AS run, count(*) AS n FROM events GROUP BY ALL")
+def partition_publish(spark: SparkSession, d: str) -> DataFrame:
+    """All dates written, then Sundays staged and moved over theirs; the other partitions stay."""
+    stage, live = scratch_path(spark, "stage"), scratch_path(spark, "live")
+    e = inp.table(spark, d, "events").select("event_id", F.to_date("ts").cast("string").alias("date"))
+    store.write_partitions(e.withColumn("run", F.lit("old")), live)
+    store.write_partitions(e.filter(F.dayofweek(F.to_date("date")) == 1).withColumn("run", F.lit("new")), stage)
+    store.write_partitions(spark.read.option("basePath", stage).parquet(stage), live, dynamic=True)
+    store.remove(spark, stage)
+    return readers.scan_partitioned(spark, live).groupBy("date", "run").agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {RAW} SELECT link_id, speed, link_points, data_as_of, count(*) AS n FROM raw GROUP BY ALL")
+def string_feed(spark: SparkSession, d: str) -> DataFrame:
+    """The feed landed as JSON and read with every field a string."""
+    path = scratch_path(spark, "feed")
+    inp.raw_feed(spark, d).write.json(path)
+    feed = spark.read.schema(readers.strings(["link_id", "speed", "link_points", "data_as_of"])).json(path)
+    return feed.groupBy("link_id", "speed", "link_points", "data_as_of").agg(F.count("*").alias("n"))
+
+
+def _wkt(p: DataFrame):
+    return F.format_string("LINESTRING (%s %s, %s %s)", *[F.col(f"v{k}").cast("string") for k in (1, 2, 3, 4)])
+
+
+@query(f"WITH {PLANE} SELECT CAST(segment_id AS VARCHAR) AS segment_id, round(v1, 6) AS x, round(v2, 6) AS y, CAST(2 AS INT) AS points FROM p")
+def csv_geometry(spark: SparkSession, d: str) -> DataFrame:
+    """Lines written as quoted WKT in a CSV of strings, and read back as points."""
+    path = scratch_path(spark, "lines")
+    p = inp.plane_points(spark, d)
+    p.select(F.col("segment_id").alias("SegmentID"), _wkt(p).alias("SHAPE")).write.option("header", True).csv(path)
+    c = readers.read_string_csv(spark, path, ["SegmentID", "SHAPE"]).select(F.col("SegmentID").alias("segment_id"), geo.wkt_points(F.col("SHAPE")).alias("pts"))
+    return c.select("segment_id", F.round(F.col("pts")[0]["x"], 6).alias("x"), F.round(F.col("pts")[0]["y"], 6).alias("y"), F.size("pts").alias("points"))
+
+
+@query(f"WITH {PLANE} SELECT CAST(segment_id AS INT) AS zone_id, 'L' || label AS borough, CAST(4 AS INT) AS points, round(v1 + 10, 6) AS far FROM p")
+def csv_zones(spark: SparkSession, d: str) -> DataFrame:
+    """Triangles at the points, written as a zone CSV and read as polygons."""
+    path = scratch_path(spark, "zone-csv")
+    at = [("v1", "v2", 0, 0), ("v1", "v2", 10, 0), ("v1", "v2", 0, 10), ("v1", "v2", 0, 0)]
+    ring = F.concat_ws(", ", *[F.concat_ws(" ", (F.col(x) + dx).cast("string"), (F.col(y) + dy).cast("string")) for x, y, dx, dy in at])
+    inp.plane_points(spark, d).select(F.concat(F.lit("POLYGON (("), ring, F.lit("))")).alias("WKT"), F.col("segment_id").alias("LocationID"), F.concat(F.lit("L"), F.col("label")).alias("borough")).write.option("header", True).csv(path)
+    z = readers.read_zones(spark, path)
+    return z.select("zone_id", "borough", F.size(F.col("parts")[0]).alias("points"), F.round(F.array_max(F.transform(F.col("parts")[0], lambda q: q["x"])), 6).alias("far"))
+
+
+@query("SELECT p_brand AS kind, max(p_size) AS version, count(*) FILTER (p_size = m) AS rows FROM (SELECT p_brand, p_size, max(p_size) OVER () AS m FROM part WHERE p_size % 7 <> 0) WHERE p_size = m GROUP BY ALL")
+def latest_complete_version(spark: SparkSession, d: str) -> DataFrame:
+    """Sizes as versions, those divisible by seven unfinished."""
+    v = inp.table(spark, d, "part").select(F.col("p_size").alias("version"), F.col("p_brand").alias("kind"), (F.col("p_size") % 7 != 0).alias("complete"))
+    return selection.latest_complete(v).groupBy("kind").agg(F.max("version").alias("version"), F.count("*").alias("rows"))
+
+
+@query("SELECT DISTINCT c_custkey AS k FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+def skip_done(spark: SparkSession, d: str) -> DataFrame:
+    return selection.not_done(inp.table(spark, d, "customer").select(F.col("c_custkey").alias("k")).distinct(), inp.table(spark, d, "orders").select(F.col("o_custkey").alias("k")).distinct(), "k")
+
+
+@query("SELECT c_custkey AS k, c_mktsegment AS a, NULL AS b FROM customer UNION ALL SELECT s_suppkey, NULL, round(s_acctbal, 6) FROM supplier")
+def staging_union(spark: SparkSession, d: str) -> DataFrame:
+    parts = [inp.table(spark, d, "customer").select(F.col("c_custkey").alias("k"), F.col("c_mktsegment").alias("a")), inp.table(spark, d, "supplier").select(F.col("s_suppkey").alias("k"), F.round("s_acctbal", 6).alias("b"))]
+    return store.union_ragged(parts)
+
+
+@query("SELECT CAST(o_orderdate AS DATE) AS date, strftime(o_orderdate, '%Y-%m') AS month, count(*) AS n FROM orders GROUP BY ALL")
+def path_parts(spark: SparkSession, d: str) -> DataFrame:
+    """Dates and months read out of path names."""
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    o = inp.table(spark, d, "orders").select(F.concat(F.lit("s3/date="), day, F.lit("/part-0.parquet")).alias("path"), F.concat(F.lit("trips_"), F.date_format("o_orderdate", "yyyy-MM"), F.lit(".parquet")).alias("file"))
+    return o.select(ts.path_date(F.col("path")).alias("date"), ts.path_month(F.col("file")).alias("month")).groupBy("date", "month").agg(F.count("*").alias("n"))
+
+
+@query("SELECT event_id, strftime(ts, '%Y-%m-%d') AS day, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS at, round(CAST(CAST(value AS DECIMAL(12, 2)) AS DOUBLE), 2) AS amount, round(value, 6) AS from_json, lpad(CAST(user_id % 2400 AS VARCHAR), 4, '0') AS clock FROM events")
+def value_functions(spark: SparkSession, d: str) -> DataFrame:
+    e = inp.table(spark, d, "events")
+    m = val.json_map(F.to_json(F.create_map(F.lit("v"), F.col("value"))))
+    return e.select(
+        "event_id", val.iso_text(F.to_date("ts"), "date").alias("day"), val.iso_text(F.col("ts"), "timestamp").alias("at"),
+        F.round(val.iso_text(F.col("value").cast("decimal(12,2)"), "decimal(12,2)"), 2).alias("amount"), F.round(m["v"], 6).alias("from_json"), val.clock_text(F.col("user_id") % 2400).alias("clock"),
+    )
+
+
+@query(f"WITH {TRIPS} SELECT zone_id, count(*) AS n FROM trips WHERE pickup_datetime >= TIMESTAMP '2024-01-01' AND pickup_datetime < TIMESTAMP '2024-02-01' GROUP BY ALL")
+def service_month(spark: SparkSession, d: str) -> DataFrame:
+    t = demand.valid_pickups(inp.trips(spark, d), month="2024-01")
+    return t.groupBy(F.col("pickup_location_id").cast("long").alias("zone_id")).agg(F.count("*").alias("n"))
+
+
+@query("""WITH r AS (SELECT o_orderkey, o_custkey % 6 AS type, o_custkey % 700 AS n, CASE WHEN o_orderkey % 5 = 0 THEN '2024-13-01' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS date, CASE WHEN o_orderkey % 7 = 0 THEN '24:10' ELSE '08:30' END AS time FROM orders)
+ SELECT o_orderkey, n BETWEEN 1 AND 500 AND type BETWEEN 1 AND 4 AND o_orderkey % 5 <> 0 AND o_orderkey % 7 <> 0 AS ok FROM r""")
+def request_validity(spark: SparkSession, d: str) -> DataFrame:
+    o = inp.table(spark, d, "orders")
+    date = F.when(F.col("o_orderkey") % 5 == 0, "2024-13-01").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    time = F.when(F.col("o_orderkey") % 7 == 0, "24:10").otherwise("08:30")
+    return o.select("o_orderkey", routes.valid_request(F.array_repeat(F.lit("s"), (F.col("o_custkey") % 700).cast("int")), F.col("o_custkey") % 6, date, time).alias("ok"))
+
+
+@query(f"""WITH {NETWORK}, {FACILITIES}, m AS (SELECT CASE WHEN CAST(segment_id AS INT) % 9 > 0 THEN segment_id END AS segment_id, facility_key FROM network JOIN f ON contains(street_name, pattern)),
+ k AS (SELECT count(*) AS n FROM m GROUP BY segment_id, facility_key) SELECT * FROM (SELECT 'null_ids' AS rule, count(*) FILTER (segment_id IS NULL) AS n FROM m UNION ALL SELECT 'repeated_keys', count(*) FILTER (n > 1) FROM k UNION ALL SELECT 'unknown_facilities', count(*) FILTER (facility_key = 'widget_way') FROM m) WHERE n > 0""")
+def toll_mapping_violations(spark: SparkSession, d: str) -> DataFrame:
+    """Every ninth id lost, and one facility unknown to the rates."""
+    m = tolls.match_facilities(inp.network(spark, d), tolls.facility_table(spark, PATTERNS))
+    m = m.withColumn("segment_id", F.when(F.col("segment_id").cast("int") % 9 > 0, F.col("segment_id")))
+    return tolls.mapping_violations(m, ["segment_id", "facility_key"], tolls.rate_table(spark, RATES))
+
+
+@query(f"WITH {ROLLED} SELECT zone_id, dow, time FROM rolled WHERE zone_id % 3 = 0 OR (zone_id % 3 <> 0 AND value > 2)")
+def bad_rolled_values(spark: SparkSession, d: str) -> DataFrame:
+    """Values spoilt on purpose: negative above 2, null in every third zone."""
+    rolled = demand.weekday_means(demand.daily_grid(inp.trips(spark, d), inp.zones(spark)), WEEKS)
+    spoilt = rolled.withColumn("value", F.when(F.col("zone_id") % 3 > 0, F.when(F.col("value") > 2, -F.col("value")).otherwise(F.col("value"))))
+    return demand.bad_means(spoilt).select("zone_id", "dow", "time")
+
+
+@query(f"WITH {READINGS}, {NETWORK}, {SLOT_MEANS} SELECT segment_id, time FROM means JOIN network USING (segment_id) WHERE avg_speed > 0 AND CAST(segment_id AS INT) % 5 = 0")
+def not_positive_seconds(spark: SparkSession, d: str) -> DataFrame:
+    """Every fifth segment of length 0: its seconds must not be served."""
+    n = inp.network(spark, d).withColumn("length_ft", F.when(F.col("segment_id").cast("int") % 5 == 0, 0.0).otherwise(F.col("length_ft")))
+    return traveltime.not_positive(traveltime.slot_seconds(traveltime.drop_slow(inp.readings(spark, d)), n)).select("segment_id", "time")
+
+
+@query(f"WITH {NETWORK}, {REQUESTS}, {LENGTHS} {STATIC_SQL.replace(chr(39) + 'rds' + chr(39) + ' AS storage_source', chr(39) + 's3_snapshot' + chr(39) + ' AS storage_source').replace('THEN ' + chr(39) + 'rds' + chr(39) + ' ELSE ' + chr(39) + 'global' + chr(39), 'THEN ' + chr(39) + 'snapshot' + chr(39) + ' ELSE ' + chr(39) + 'hardcoded' + chr(39))}")
+def route_static_snapshot(spark: SparkSession, d: str) -> DataFrame:
+    """The table is down: the exported snapshot answers."""
+    return routes.with_provenance(routes.score_static(inp.route_requests(spark, d, 2), _lengths(spark, d), storage="s3_snapshot"), 2)
+
+
+@query(f"WITH {READINGS} SELECT segment_id, observed_at, count(*) AS n FROM (SELECT DISTINCT segment_id, observed_at FROM readings) GROUP BY ALL")
+def stream_drop_repeats(spark: SparkSession, d: str) -> DataFrame:
+    """The table landed twice: a reading of the same key and time counts once."""
+    path = scratch_path(spark, "landed-twice")
+    for _ in range(2):
+        inp.readings(spark, d).withColumn("observed_at", F.col("observed_at").cast("timestamp")).coalesce(1).write.mode("append").parquet(path)
+    s = streams.drop_repeats(streams.read_landed(spark, path, streams.READINGS), ["segment_id"], late="60 days")
+    out = scratch_path(spark, "once")
+    s.writeStream.format("parquet").option("path", out).option("checkpointLocation", scratch_path(spark, "once-log")).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(streams.READINGS).parquet(out).groupBy("segment_id", "observed_at").agg(F.count("*").alias("n"))

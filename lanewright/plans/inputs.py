@@ -36,7 +36,7 @@ def mapping(spark: SparkSession, d: str) -> DataFrame:
 
 
 def link_map(spark: SparkSession, d: str) -> DataFrame:
-    li = table(spark, d, "lineitem").filter("l_linenumber = 1")
+    li = table(spark, d, "lineitem")
     return li.select(F.col("l_suppkey").cast("string").alias("link_id"), F.col("l_partkey").cast("string").alias("segment_id")).distinct()
 
 

@@ -94,6 +94,10 @@ def rolling_publish(spark: SparkSession, live: str, mapping: DataFrame, weeks: i
         if not (bad := demand.segment_violations(written, mapping)).isEmpty():
             raise quality.QualityError(f"segment values: {bad.collect()}")
 
+    # the inputs must still be those that the plan was made of
+    h = quality.content_hash(mapping, ["segment_id", "zone_id"]).first()
+    again = demand.latest_dates(spark.read.option("basePath", live).parquet(live), 7 * weeks).first()
+    store.same_plan(plan, {"window_end": str(again.window_end), "mapping_hash": f"{h.rows}-{h.hash_sum}-{h.hash_xor}"})
     store.publish(store.replacement(demand.expand_to_segments(rolled, mapping)), table, check)
     store.write_state(spark, state, status="published", **plan)
     return True

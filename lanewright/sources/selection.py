@@ -50,12 +50,13 @@ def latest_complete(versions: DataFrame) -> DataFrame:
     return versions.join(top, "version", "left_semi")
 
 
-def complete_months(manifest: DataFrame, kinds: list[str]) -> DataFrame:
-    """(month, kind, path, done) to (month, paths, missing, ready): a month is ready when every kind is done."""
-    g = manifest.filter("done").groupBy("month").agg(F.array_sort(F.collect_set("kind")).alias("have"), F.array_sort(F.collect_set("path")).alias("paths"))
-    all_ = manifest.select("month").distinct().join(g, "month", "left")
-    missing = F.array_sort(F.array_except(F.array(*[F.lit(k) for k in kinds]), F.coalesce("have", F.array().cast("array<string>"))))
-    return all_.select("month", F.coalesce("paths", F.array().cast("array<string>")).alias("paths"), missing.alias("missing"), (F.size(missing) == 0).alias("ready"))
+def complete_months(manifest: DataFrame, kinds: DataFrame) -> DataFrame:
+    """(month, kind, path, done) and the kinds needed to (month, paths, missing, ready): ready when every kind is done."""
+    want = manifest.select("month").distinct().crossJoin(kinds.select("kind").distinct())  # months by kinds
+    done = manifest.filter("done").select("month", "kind", "path").withColumn("has", F.lit(True))
+    g = want.join(done, ["month", "kind"], "left").groupBy("month")
+    out = g.agg(F.array_sort(F.collect_set("path")).alias("paths"), F.array_sort(F.collect_set(F.when(F.col("has").isNull(), F.col("kind")))).alias("missing"))
+    return out.withColumn("ready", F.size("missing") == 0)
 
 
 def missing_inputs(landed: DataFrame, as_of: Column, kinds: DataFrame, lags: tuple[int, int] = (2, 5)) -> DataFrame:

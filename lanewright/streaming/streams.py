@@ -2,12 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from lanewright.operators import store, traveltime
 
@@ -37,28 +33,36 @@ def drop_repeats(readings: DataFrame, keys: list[str], at: str = "observed_at",
     return readings.withWatermark(at, late).dropDuplicatesWithinWatermark([*keys, at])
 
 
-def running_means(values: DataFrame, window: int = traveltime.SMOOTHING) -> DataFrame:
-    """(segment_id, time, value, last_sample_at) stream to the running mean after each batch, one state per key.
+def fold_batches(values: DataFrame, path: str, checkpoint: str, window: int = traveltime.SMOOTHING):
+    """(segment_id, time, value, last_sample_at) stream to the running mean, as a published table of one state per key.
 
-    A sample no newer than the last one is a replay and moves nothing. Emits (segment_id, time, avg, count, last_sample_at).
+    A micro-batch joins the states and is folded by built-in functions, value by value in time order. A sample no newer
+    than the last one is a replay and moves nothing, so a batch that is tried again changes nothing either.
     """
+    keys = traveltime.READING_KEYS
+
+    def fold(batch: DataFrame, _: int) -> None:
+        if batch.isEmpty():
+            return
+        spark = batch.sparkSession
+        h = batch.groupBy(*keys).agg(F.array_sort(F.collect_set(F.struct(F.col("last_sample_at").alias("t"), F.col("value").cast("double").alias("v")))).alias("h"))
+        state = store.current(spark, path)
+        if state is None:
+            state = spark.createDataFrame([], "segment_id string, time string, avg double, count long, last_sample_at timestamp")
+        j = h.join(state, keys, "full_outer")
+        start = F.struct(F.coalesce("avg", F.lit(0.0)).alias("avg"), F.coalesce("count", F.lit(0).cast("long")).alias("n"), F.col("last_sample_at").alias("t"))
 
-    def fold(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        avg, n, last = state.get if state.exists else (0.0, 0, None)
-        rows = pd.concat(list(frames)).sort_values(["last_sample_at", "value"])
-        for value, at in zip(rows["value"], rows["last_sample_at"], strict=True):
-            micros = at.value // 1000
-            if last is not None and micros <= last:
-                continue
-            n += 1
-            avg = float(round(value if n == 1 else avg + (value - avg) / min(n, window)))
-            last = micros
-        state.update((avg, n, last))
-        yield pd.DataFrame({"segment_id": [key[0]], "time": [key[1]], "avg": [avg], "count": [n], "last_sample_at": [pd.Timestamp(last * 1000)]})
+        def step(a, x):
+            n = a["n"] + 1
+            new = F.coalesce(x["t"] > a["t"], F.lit(True))
+            avg = F.when(a["n"] == 0, F.bround(x["v"])).otherwise(F.bround(a["avg"] + (x["v"] - a["avg"]) / F.least(n, F.lit(window))))
+            return F.struct(F.when(new, avg).otherwise(a["avg"]).alias("avg"), F.when(new, n).otherwise(a["n"]).alias("n"), F.when(new, x["t"]).otherwise(a["t"]).alias("t"))
 
-    return values.groupBy("segment_id", "time").applyInPandasWithState(
-        fold, "segment_id string, time string, avg double, count long, last_sample_at timestamp", "avg double, n long, last long", "update", GroupStateTimeout.NoTimeout
-    )
+        none = F.array().cast(dict(h.dtypes)["h"])
+        out = j.select(*keys, F.aggregate(F.coalesce("h", none), start, step).alias("a"))
+        store.publish(out.select(*keys, F.col("a.avg").alias("avg"), F.col("a.n").alias("count"), F.col("a.t").alias("last_sample_at")), path)
+
+    return values.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def merge_batches(values: DataFrame, path: str, checkpoint: str, today: str):
@@ -73,10 +77,3 @@ def merge_batches(values: DataFrame, path: str, checkpoint: str, today: str):
             store.publish(store.upsert(state, traveltime.running_mean(batch, state, today), keys), path)
 
     return values.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-
-
-def run_to_table(stream: DataFrame, name: str, checkpoint: str, mode: str):
-    """All input that is there, into an in-memory table: for tests and small reports."""
-    q = stream.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    q.awaitTermination()
-    return stream.sparkSession.table(name)
