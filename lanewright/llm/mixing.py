@@ -5,8 +5,9 @@ excess is reshared by weight among the others until none is above. A source is t
 a whole, and the rest by a seeded order of its documents up to the document whose end lies nearest to the target.
 
 Cases: a null text has size 0; documents of size 0 are kept with 0 words taken; null sources form one source, last in
-order; ties in the seeded order are settled by id; rows that repeat wholly are taken alike or, at the cut, counted one by
-one, in ``mix_documents`` in the order of a hash of their texts; an empty table gives an empty result; columns other than the three named ones pass through ``mix_documents`` only.
+order; ties in the seeded order are settled by id and, in ``mix_documents``, by a hash of the text; rows that repeat wholly
+are taken alike or, at the cut, counted one by one; an empty table gives an empty result; columns other than the three named
+ones pass through ``mix_documents`` only.
 """
 
 from __future__ import annotations
@@ -63,12 +64,14 @@ def source_targets(sized: DataFrame, weights: tuple[float, ...], max_epochs: flo
 
 
 def mix(sized: DataFrame, weights: tuple[float, ...] = (5, 2, 1), max_epochs: float = 3.0, seed: int = SEED) -> DataFrame:
-    """Rows (doc_id, source, size) to rows (doc_id, source, size, source_size, target, repeats).
+    """Rows (doc_id, source, size, more) to rows (doc_id, source, size, source_size, target, repeats, more).
 
+    Columns of ``sized`` beyond the three settle ties in the seeded order and are returned.
     The seeded order is cut into BINS bins by hash; sums by (source, bin) show the bin that holds the cut, and only that
     bin's documents are ordered one by one, so no task holds a whole source.
     """
     sized = materialise(sized, "mix-sizes")  # three passes follow; the texts are counted in one
+    more = [c for c in sized.columns if c not in ("doc_id", "source", "size")]
     targets = materialise(source_targets(sized, weights, max_epochs), "mix-targets")
     h = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(seed)), 11)
     rows = sized.withColumn("h", h).withColumn("bin", F.shiftright("h", 53 - 12).cast("int"))
@@ -90,27 +93,28 @@ def mix(sized: DataFrame, weights: tuple[float, ...] = (5, 2, 1), max_epochs: fl
     rows = join_checked(rows, plan, F.col("source").eqNullSafe(F.col("s"))).drop("s")
 
     at_cut = rows.filter(F.col("bin") == F.col("cut_bin"))
-    upto = F.col("before") + F.sum("size").over(Window.partitionBy("source").orderBy("h", F.col("doc_id").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0))
+    upto = F.col("before") + F.sum("size").over(Window.partitionBy("source").orderBy("h", F.col("doc_id").asc_nulls_first(), *more).rowsBetween(Window.unboundedPreceding, 0))
     at_cut = at_cut.withColumn("extra", (upto - F.col("size") / 2 <= F.col("need")).cast("int"))
     rest = rows.filter(F.col("cut_bin").isNull() | (F.col("bin") != F.col("cut_bin"))).withColumn(
         "extra", F.coalesce((F.col("bin") < F.col("cut_bin")).cast("int"), F.lit(0))
     )
-    cols = ["doc_id", "source", "size", "source_size", "target", (F.col("epochs") + F.col("extra")).cast("int").alias("repeats")]
+    cols = ["doc_id", "source", "size", "source_size", "target", (F.col("epochs") + F.col("extra")).cast("int").alias("repeats"), *more]
     return rest.select(*cols).unionByName(at_cut.select(*cols))
 
 
 def mix_documents(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), max_epochs: float = 3.0, seed: int = SEED) -> DataFrame:
     """The mixed corpus itself: each document as often as the mix takes it, all its columns kept."""
-    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
-    times = mix(sized, weights, max_epochs, seed).groupBy("doc_id", "source", "size").agg(
+    text_hash = F.xxhash64("text")
+    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), text_hash.alias("th"))
+    times = mix(sized, weights, max_epochs, seed).groupBy("doc_id", "source", "th").agg(
         F.max("repeats").alias("most"), F.min("repeats").alias("least"), F.count("*").alias("n"), F.sum("repeats").alias("all")
     )
-    # rows that agree in id, source and size share one entry; what the cut gave some of them goes to the first ones
+    # rows that agree in id, source and text share one entry; what the cut gave some of them goes to the first ones
     times = materialise(times.select(*[F.col(c).alias(f"_m_{c}") for c in times.columns]), "mix-times")
-    d = docs.withColumn("_m_w", word_count(F.col("text")))
-    joined = d.join(times, d.doc_id.eqNullSafe(F.col("_m_doc_id")) & d.source.eqNullSafe(F.col("_m_source")) & (F.col("_m_w") == F.col("_m_size")))
+    d = docs.withColumn("_m_t", text_hash)
+    joined = d.join(times, d.doc_id.eqNullSafe(F.col("_m_doc_id")) & d.source.eqNullSafe(F.col("_m_source")) & (F.col("_m_t") == F.col("_m_th")))
     single = joined.filter(F.col("_m_least") == F.col("_m_most")).withColumn("_m_r", F.col("_m_most"))
-    w = Window.partitionBy("_m_doc_id", "_m_source", "_m_size").orderBy(F.xxhash64("text"), "text")
+    w = Window.partitionBy("_m_doc_id", "_m_source", "_m_th").orderBy("text")
     split = joined.filter(F.col("_m_least") != F.col("_m_most")).withColumn("_m_k", F.row_number().over(w)).withColumn(
         "_m_r", F.col("_m_least") + (F.col("_m_k") <= F.col("_m_all") - F.col("_m_n") * F.col("_m_least")).cast("int")
     ).drop("_m_k")
