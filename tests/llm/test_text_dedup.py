@@ -51,7 +51,9 @@ def test_links_within_large_buckets(spark, monkeypatch):
     real = simhash.dealt_buckets
     monkeypatch.setattr(simhash, "dealt_buckets", lambda rows, keys, id_col: real(rows, keys, id_col, block_rows=2))
     classes = spark.createDataFrame([(f, i) for i, f in enumerate(fps)], "fp long, rep long")
-    found = {r.node: r.component for r in components.connected_components(simhash.linked(classes)).collect()}
+    links = simhash.linked(classes)
+    found, rounds = ({r.node: r.component for r in components.connected_components(links, finish=f).collect()} for f in (200_000, 0))
+    assert found == rounds
     want = plain_components(range(len(fps)), [(i, j) for i in range(len(fps)) for j in range(i) if (fps[i] ^ fps[j]).bit_count() <= 4])
     assert {i: found.get(i, i) for i in want} == want
 
@@ -76,7 +78,8 @@ def test_local_roots(edges):
 
 def test_distributed_components(spark):
     chain = [(i, i + 1) for i in range(100, 140)] + [(7, 200), (200, 5), (3, 3)]
-    got = {r.node: r.component for r in components.connected_components(spark.createDataFrame(chain, "a long, b long")).collect()}
+    got, late, one = ({r.node: r.component for r in components.connected_components(spark.createDataFrame(chain, "a long, b long"), finish=f).collect()} for f in (0, len(chain) - 1, 200_000))
+    assert got == late == one
     assert got == {**{i: 100 for i in range(100, 141)}, 5: 5, 7: 5, 200: 5}
     assert components.connected_components(spark.createDataFrame([], "a long, b long")).isEmpty()
 
