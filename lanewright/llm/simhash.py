@@ -22,7 +22,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lanewright.llm.blocks import bucket_pairs, dealt_buckets, whole_buckets
@@ -129,17 +129,13 @@ def near_duplicates(docs: DataFrame, max_bits: int = 4, id_col: str = "doc_id",
 
 
 def drop_near_duplicates(docs: DataFrame, max_bits: int = 4) -> DataFrame:
-    """One document of each group stays: the one whose id is the component's. Rows without an id stay.
+    """One row of each group stays: that of the least id (rows without an id come last), by text hash where ids repeat.
 
-    Where several rows have that id, one of them stays (the first by text).
+    Rows are told apart by a number of their own, so each is judged by its own text whatever its id.
     """
-    groups = materialise(near_duplicates(docs, max_bits).filter("doc_id IS NOT NULL"), "simhash-groups")
-    gone = materialise(groups.filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct(), "simhash-gone")
-    again = materialise(groups.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("doc_id").alias("_again")), "simhash-again")
-    left = join_checked(docs, gone, F.col("doc_id") == F.col("_gone"), "left_anti")
-    if again.isEmpty():
-        return left
-    one = join_checked(left, again, F.col("doc_id") == F.col("_again"), "left_semi")
-    first = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_first())
-    one = one.withColumn("_nth", F.row_number().over(first)).filter("_nth = 1").drop("_nth")
-    return join_checked(left, again, F.col("doc_id") == F.col("_again"), "left_anti").unionByName(one)
+    rows = materialise(docs.withColumn("_uid", F.monotonically_increasing_id()), "simhash-rows")
+    groups = near_duplicates(rows, max_bits, "_uid").select(F.col("doc_id").alias("_uid"), F.col("component_id").alias("_group"))
+    key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.xxhash64("text").alias("th"), "_uid")
+    of_row = rows.select("_uid", key.alias("_key")).join(groups, "_uid")
+    kept = of_row.groupBy("_group").agg(F.min("_key").alias("k")).select("k._uid")
+    return join_checked(rows, materialise(kept, "simhash-kept"), "_uid", "left_semi").select(*docs.columns)

@@ -89,8 +89,17 @@ def test_one_of_each_group_stays(docs, odd_docs, no_docs):
     kept = [r.doc_id for r in simhash.drop_near_duplicates(docs).collect()]
     assert sorted(kept) == sorted(set(groups.values()))
     assert simhash.drop_near_duplicates(odd_docs).columns == odd_docs.columns
-    assert sorted(str(r.doc_id) for r in simhash.drop_near_duplicates(odd_docs).collect()) == ["5", "6", "None"]
+    assert sorted(str(r.doc_id) for r in simhash.drop_near_duplicates(odd_docs).collect()) == ["5", "6"]  # the row without an id is a copy of 6
     assert simhash.near_duplicates(odd_docs).count() == 4
+
+
+def test_rows_that_share_an_id_are_judged_by_their_own_text(spark):
+    one, other = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    df = spark.createDataFrame([(1, one), (2, one), (2, other), (None, other), (None, "c d e f g h")], "doc_id long, text string")
+    assert sorted(((r.doc_id or 0, r.text) for r in simhash.drop_near_duplicates(df).collect())) == [(0, "c d e f g h"), (1, one), (2, other)]
+
+
+def test_near_duplicates_of_an_empty_table(no_docs):
     assert simhash.near_duplicates(no_docs).isEmpty()
 
 
