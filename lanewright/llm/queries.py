@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanewright.llm import chat_format, embedding_dedup, license_scan, mixing, packing, sharding, simhash, suffix_dedup, tiff_media, toxicity
+from lanewright.llm import byte_bpe, chat_format, collocations, embedding_dedup, fill_middle, license_scan, mixing, packing, sharding, simhash, suffix_dedup, tiff_media, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -86,6 +86,24 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fill_middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    text = fill_middle.restored(F.col("output"), F.col("form"))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(text, 256).alias("restored_sha256"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = tokenizer_path("byte_bpe_multi_50k.tiktoken")
+    ids = byte_bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return byte_bpe.decode(ids, ranks).select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_mixing": op2_mixing,
@@ -97,6 +115,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_tiff_media": op8_tiff_media,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_sharding": op10_sharding,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_collocations": op12_collocations,
+    "op13_byte_bpe": op13_byte_bpe,
 }
 
 
@@ -128,4 +149,31 @@ def license_sql() -> str:
  SELECT doc_id, license, max(c) AS containment, CAST(arg_min(pos, (-c, pos)) AS INT) AS start_word FROM c WHERE c >= {license_scan.CONTAINMENT} GROUP BY doc_id, license"""
 
 
-ORACLES: dict[str, str] = {"op5_license_scan": license_sql(), "op7_chat_format": chat_sql()}
+def fill_middle_sql() -> str:
+    """op11 by lists of units."""
+    marks = " OR ".join(f"contains(text, '{m}')" for m in (fill_middle.PREFIX, fill_middle.SUFFIX, fill_middle.MIDDLE))
+    draws = ", ".join(f"CAST('0x' || substr(h, {8 * k + 1}, 8) AS BIGINT) AS h{k + 1}" for k in range(4))
+    return f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('{fill_middle.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u FROM documents),
+ x AS (SELECT *, len(u) AS n, {draws} FROM d),
+ c AS (SELECT *, u[1:least(h1 % (n + 1), h2 % (n + 1))] AS a, u[least(h1 % (n + 1), h2 % (n + 1)) + 1:greatest(h1 % (n + 1), h2 % (n + 1))] AS b, u[greatest(h1 % (n + 1), h2 % (n + 1)) + 1:] AS e,
+ CASE WHEN text = '' OR {marks} OR h3 % 100 >= {100 - fill_middle.PLAIN_PERCENT} THEN 'plain' WHEN h4 % 100 < {fill_middle.SPM_PERCENT} THEN 'spm' ELSE 'psm' END AS form FROM x),
+ s AS (SELECT doc_id, text, n, form, array_to_string(a, '') AS p, array_to_string(b, '') AS m, array_to_string(e, '') AS s FROM c)
+ SELECT doc_id, n, form, CASE WHEN form != 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form != 'plain' THEN length(m) END AS middle_chars,
+ sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(text) AS restored_sha256 FROM s"""
+
+
+def collocations_sql() -> str:
+    """op12 by counting every phrase."""
+    least, top, longest = collocations.LEAST, collocations.TOP, collocations.LONGEST
+    return f"""WITH t AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+ w AS (SELECT lang, list_filter(string_split_regex(piece, '[ \t]+'), lambda x: x <> '') AS w FROM t), g AS (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM w, range(1, {longest + 1}) r(m)),
+ c AS (SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS p, count(*) AS f FROM g GROUP BY ALL), total AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM c WHERE m = 1 GROUP BY lang),
+ q AS (SELECT * FROM c WHERE m > 1 AND f >= {least}),
+ kept AS (SELECT * FROM q WHERE NOT EXISTS (SELECT 1 FROM q b WHERE b.lang = q.lang AND b.m > q.m AND b.f >= q.f AND contains(' ' || b.p || ' ', ' ' || q.p || ' '))),
+ cut AS (SELECT lang, p, f, k, array_to_string(string_split(p, ' ')[1:k], ' ') AS head, array_to_string(string_split(p, ' ')[k + 1:], ' ') AS tail FROM (SELECT *, unnest(range(1, m)) AS k FROM kept)),
+ s AS (SELECT cut.lang, cut.p, cut.f AS a, h.f AS l, r.f AS r, n, k, CAST((1000::HUGEINT * cut.f * n) // (h.f::HUGEINT * r.f) AS BIGINT) AS score FROM cut JOIN total ON total.lang = cut.lang JOIN c h ON h.lang = cut.lang AND h.p = head JOIN c r ON r.lang = cut.lang AND r.p = tail),
+ best AS (SELECT lang, p AS phrase, any_value(a) AS a, arg_min(l, (score, k)) AS l, arg_min(r, (score, k)) AS r, any_value(n) AS n, min(score) AS score FROM s GROUP BY lang, p)
+ SELECT * FROM (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM best) WHERE rank <= {top}"""
+
+
+ORACLES: dict[str, str] = {"op5_license_scan": license_sql(), "op7_chat_format": chat_sql(), "op11_fill_in_middle": fill_middle_sql(), "op12_collocations": collocations_sql()}

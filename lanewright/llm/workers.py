@@ -31,3 +31,16 @@ def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
             give_back()
 
     return inner
+
+
+def in_batches(rows: Iterator[tuple], schema: pa.Schema, size: int = 8 << 20, most: int = 2000) -> Iterator[pa.RecordBatch]:
+    """Record batches of rows, cut when their texts and bytes reach ``size``: neither long texts nor many rows gather."""
+    held, n = [], 0
+    for r in rows:
+        held.append(r)
+        n += sum(len(x) for x in r if isinstance(x, str | bytes))
+        if n >= size or len(held) >= most:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held, strict=True), schema, strict=True)], schema=schema)
+            held, n = [], 0
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held, strict=True), schema, strict=True)], schema=schema)
