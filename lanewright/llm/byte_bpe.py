@@ -30,7 +30,7 @@ from lanewright.llm.workers import in_batches, tidy
 
 STRETCH = 200_000
 #: Pre-tokens that a worker remembers, and the longest of them; a full memory starts anew.
-REMEMBERED, LONGEST = 150_000, 48
+REMEMBERED, LONGEST = 300_000, 48
 #: Field numbers of the model's message and of its parts, and the kinds of pieces and models.
 PIECES, TRAINER, NORMALIZER = 1, 2, 3
 PIECE, SCORE, KIND = 1, 2, 3
@@ -76,7 +76,7 @@ def serialise(ranks: dict[bytes, int]) -> bytes:
     return b"".join(out)
 
 
-class Encoder(dict):
+class Encoder:
     """Ids of pre-tokens, as packed 32-bit numbers; a call encodes a text."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
@@ -86,29 +86,37 @@ class Encoder(dict):
         self.ranks = ranks
         self.model = SentencePieceProcessor(model_proto=serialise(ranks))
         self.find = regex.compile(pattern)
-        self.mapped = {b: c for c, b in _byte_of().items()}
-
-    def encode(self, unit: str) -> bytes:
-        data = unit.encode("utf-8", "replace")
-        whole = self.ranks.get(data)
-        if whole is not None:
-            return struct.pack("<I", whole)
-        return np.array(self.model.encode("".join(map(self.mapped.__getitem__, data)), out_type=int), "<u4").tobytes()
-
-    def __missing__(self, unit: str) -> bytes:
-        ids = self.encode(unit)
-        if len(unit) <= LONGEST:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[unit] = ids
-        return ids
+        self.mapped = str.maketrans({chr(b): c for c, b in _byte_of().items()})
+        self.known: dict[str, bytes] = {}
+
+    def learn(self, units: list[str]) -> None:
+        """Pre-tokens that are pieces themselves, and the merges of all others in one call."""
+        rest, mapped = [], []
+        for u in units:
+            data = u.encode("utf-8", "replace")
+            whole = self.ranks.get(data)
+            if whole is None:
+                rest.append(u)
+                mapped.append(data.decode("latin-1").translate(self.mapped))
+            else:
+                self.known[u] = struct.pack("<I", whole)
+        for u, ids in zip(rest, self.model.encode(mapped, out_type=int, num_threads=1) if mapped else [], strict=True):
+            self.known[u] = struct.pack(f"<{len(ids)}I", *ids)
 
     def __call__(self, text: str) -> bytes:
-        if len(text) <= STRETCH:
-            return b"".join(map(self.__getitem__, self.find.findall(text)))
-        found, out = (m.group() for m in self.find.finditer(text)), []
-        while units := list(islice(found, STRETCH)):
-            out.append(b"".join(map(self.__getitem__, units)))
+        found, out = (m.group() for m in self.find.finditer(text)) if len(text) > STRETCH else None, []
+        while units := self.find.findall(text) if found is None else list(islice(found, STRETCH)):
+            new = list(set(units).difference(self.known))
+            self.learn(new)
+            out.append(b"".join(map(self.known.__getitem__, units)))
+            if len(self.known) > REMEMBERED:
+                self.known = {}
+            else:
+                for u in new:
+                    if len(u) > LONGEST:
+                        del self.known[u]
+            if found is None:
+                break
         return b"".join(out)
 
 
