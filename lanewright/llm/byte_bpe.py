@@ -29,7 +29,7 @@ from lanewright.llm.packing import _byte_of
 from lanewright.llm.workers import in_batches, tidy
 
 STRETCH = 200_000
-#: Pre-tokens that a worker remembers, and the longest of them; a full memory starts anew.
+#: Pre-tokens of a generation that a worker remembers, and the longest of them; a full one becomes the old one.
 REMEMBERED, LONGEST = 300_000, 48
 #: Field numbers of the model's message and of its parts, and the kinds of pieces and models.
 PIECES, TRAINER, NORMALIZER = 1, 2, 3
@@ -88,6 +88,7 @@ class Encoder:
         self.find = regex.compile(pattern)
         self.mapped = str.maketrans({chr(b): c for c, b in _byte_of().items()})
         self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def learn(self, units: list[str]) -> None:
         """Pre-tokens that are pieces themselves, and the merges of all others in one call."""
@@ -106,15 +107,15 @@ class Encoder:
     def __call__(self, text: str) -> bytes:
         found, out = (m.group() for m in self.find.finditer(text)) if len(text) > STRETCH else None, []
         while units := self.find.findall(text) if found is None else list(islice(found, STRETCH)):
-            new = list(set(units).difference(self.known))
-            self.learn(new)
+            new = set(units).difference(self.known)
+            self.known |= {u: self.old[u] for u in new.intersection(self.old)}
+            self.learn(list(new.difference(self.known)))
             out.append(b"".join(map(self.known.__getitem__, units)))
+            for u in new:
+                if len(u) > LONGEST:
+                    del self.known[u]
             if len(self.known) > REMEMBERED:
-                self.known = {}
-            else:
-                for u in new:
-                    if len(u) > LONGEST:
-                        del self.known[u]
+                self.known, self.old = {}, self.known
             if found is None:
                 break
         return b"".join(out)
