@@ -101,6 +101,31 @@ def publish(df: DataFrame, path: str, check: Callable[[DataFrame], None] | None
     return version
 
 
+def write_batch(df: DataFrame, path: str, batch: int) -> None:
+    """A batch as a folder of its own under its number. Written again it replaces itself, so a retry doubles nothing."""
+    df.write.mode("overwrite").parquet(f"{path}/batch={int(batch)}")
+
+
+def batches(spark: SparkSession, path: str) -> DataFrame | None:
+    """All rows of a table of batches, with their ``batch`` number; None before the first. Only finished folders count."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/batch=*/_SUCCESS"))
+    done = [] if found is None else [f.getPath().getParent().toString() for f in found]
+    return spark.read.option("basePath", path).option("mergeSchema", True).parquet(*done) if done else None
+
+
+def batches_before(spark: SparkSession, path: str, batch: int) -> DataFrame | None:
+    rows = batches(spark, path)
+    return None if rows is None else rows.filter(F.col("batch") < batch)
+
+
+def newest_of_batches(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+    """Each key's row of its last batch."""
+    rows = batches(spark, path)
+    rest = [c for c in rows.columns if c not in (*keys, "batch")]
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("_r")).select(*keys, "_r.*")
+
+
 def remove(spark: SparkSession, path: str) -> bool:
     """Delete a staging folder through Hadoop's file system, wherever it lies."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -664,8 +664,8 @@ def stream_slot_mean(spark: SparkSession, d: str) -> DataFrame:
 def stream_running_mean(spark: SparkSession, d: str) -> DataFrame:
     values = _landed(spark, d).select("segment_id", ts.slot(F.col("observed_at")).alias("time"), F.col("speed").alias("value"), F.col("observed_at").alias("last_sample_at"))
     path = scratch_path(spark, "stream-means")
-    streams.fold_batches(values, path, scratch_path(spark, "stream-log")).awaitTermination()
-    return store.current(spark, path)
+    streams.fold_means(values, path, scratch_path(spark, "stream-log")).awaitTermination()
+    return store.newest_of_batches(spark, path, ["segment_id", "time"]).drop("late")
 
 
 # readers, writers, selection, contracts
@@ -826,3 +826,7 @@ def stream_drop_repeats(spark: SparkSession, d: str) -> DataFrame:
     out = scratch_path(spark, "once")
     s.writeStream.format("parquet").option("path", out).option("checkpointLocation", scratch_path(spark, "once-log")).trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema(streams.READINGS).parquet(out).groupBy("segment_id", "observed_at").agg(F.count("*").alias("n"))
+
+
+# further queries register themselves here; they use the names above
+from lanewright.plans import stream_queries  # noqa: E402, F401

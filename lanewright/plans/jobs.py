@@ -43,11 +43,11 @@ def intake_readings(spark: SparkSession, source: DataFrame, network_df: DataFram
         raise quality.QualityError(f"columns absent: {absent}")
     typed = source.withColumn("_at", F.try_to_timestamp("data_as_of"))
 
-    def sink(new: DataFrame) -> None:
+    def sink(new: DataFrame, number: int) -> None:
         flagged = new.drop("_at").withColumn(trips.SUSPECT, traveltime.reading_suspect(F.lit(now).cast("timestamp")))
         gate(flagged, "readings")
         readings = new.select(F.col("link_id").alias("segment_id"), F.col("speed").try_cast("double").alias("speed"), F.col("_at").alias("observed_at"))
-        traveltime.fill_buckets(readings.filter("observed_at IS NOT NULL"), network_df).write.mode("append").parquet(out)
+        store.write_batch(traveltime.fill_buckets(readings.filter("observed_at IS NOT NULL"), network_df), out, number)
 
     return selection.take_new(spark, typed, "_at", marker, sink)
 

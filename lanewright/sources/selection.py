@@ -6,19 +6,28 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lanewright.operators.quality import QualityError
-from lanewright.operators.store import read_state, write_state
+from lanewright.operators.store import batches, write_batch
 
 
 def newer_than(df: DataFrame, column: str, marker: Column) -> DataFrame:
     return df.filter(F.col(column) > marker)
 
 
+def last_take(spark: SparkSession, marker_path: str) -> tuple[str | None, int]:
+    """The newest marker and the number of the next take."""
+    marked = batches(spark, marker_path)
+    last = None if marked is None else marked.orderBy(F.desc("batch")).first()  # one row a take
+    return (None, 0) if last is None else (last.marker, last.batch + 1)
+
+
 def take_new(spark: SparkSession, source: DataFrame, column: str, marker_path: str, sink, first_look_back: str = "6 hours", now: str | None = None) -> bool:
-    """Rows past the stored marker go to ``sink``; the marker moves only after it returned. False where there are none.
+    """Rows past the stored marker go to ``sink(rows, number)``; the marker moves only after it returned. False where there are none.
 
-    Without a marker the look-back before ``now`` (the newest row if not given) is taken.
+    The number counts the takes that were marked, so a take that failed after its sink had written comes again under the
+    same number, and a sink that writes by number (``store.write_batch``) replaces what it wrote. Markers are kept, one a
+    take, so none is ever overwritten. Without a marker the look-back before ``now`` (the newest row if not given) is taken.
     """
-    kept = read_state(spark, marker_path).get("marker")
+    kept, number = last_take(spark, marker_path)
     if kept is not None:
         after = F.lit(kept).cast("timestamp")
     else:
@@ -28,8 +37,9 @@ def take_new(spark: SparkSession, source: DataFrame, column: str, marker_path: s
     top = new.agg(F.date_format(F.max(column), "yyyy-MM-dd HH:mm:ss.SSSSSS")).first()[0]
     if top is None:
         return False
-    sink(new)
-    write_state(spark, marker_path, marker=top)
+    # what lands meanwhile is past the marker and waits for the next take
+    sink(new.filter(F.col(column) <= F.lit(top).cast("timestamp")), number)
+    write_batch(spark.createDataFrame([(top,)], "marker string").coalesce(1), marker_path, number)
     return True
 
 

@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+from contextlib import contextmanager
+from datetime import timedelta
+
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from lanewright.operators import store, traveltime
 
+#: Times of a key's last arrivals that its state keeps, to know repeats by.
+REMEMBERED = 32
 READINGS = "segment_id string, speed double, observed_at timestamp"
 
 
@@ -33,47 +40,98 @@ def drop_repeats(readings: DataFrame, keys: list[str], at: str = "observed_at",
     return readings.withWatermark(at, late).dropDuplicatesWithinWatermark([*keys, at])
 
 
-def fold_batches(values: DataFrame, path: str, checkpoint: str, window: int = traveltime.SMOOTHING):
-    """(segment_id, time, value, last_sample_at) stream to the running mean, as a published table of one state per key.
+def land_batches(stream: DataFrame, path: str, checkpoint: str, mode: str = "append", every: str | None = None):
+    """Each micro-batch as a folder of ``path`` under its number: one that is tried again replaces itself.
 
-    A micro-batch joins the states and is folded by built-in functions, value by value in time order. A sample no newer
-    than the last one is a replay and moves nothing, so a batch that is tried again changes nothing either.
+    What has landed is taken and the stream ends, or it goes on at the given interval.
+    """
+    q = stream.writeStream.foreachBatch(lambda batch, n: store.write_batch(batch, path, n)).outputMode(mode).option("checkpointLocation", checkpoint)
+    return (q.trigger(processingTime=every) if every else q.trigger(availableNow=True)).start()
+
+
+class _Mean(StatefulProcessor):
+    """One key's running mean: (avg, count, newest time, late samples, times of the last arrivals)."""
+
+    def __init__(self, keys: list[str], window: int, remembered: int, ttl_ms: int | None):
+        self.keys, self.window, self.remembered, self.ttl_ms = keys, window, remembered, ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("mean", "avg double, count long, newest long, late long, arrived array<long>", self.ttl_ms)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        old = self.state.get()
+        avg, count, newest, late, arrived = old if old else (0.0, 0, None, 0, [])
+        arrived = list(arrived or [])
+        for t, v in sorted({(r.t, r.v) for r in rows}):
+            if t in arrived:
+                continue
+            # Python's round is half to even, as is the rounding of the batch form
+            avg = float(round(avg + (v - avg) / min(count + 1, self.window))) if count else float(round(v))
+            count, late = count + 1, late + (newest is not None and t < newest)
+            newest = t if newest is None else max(newest, t)
+            arrived = [*arrived, t][-self.remembered :]
+        self.state.update((avg, count, newest, late, arrived))
+        yield Row(**dict(zip(self.keys, key, strict=True)), avg=avg, count=count, newest=newest, late=late)
+
+    def close(self) -> None:
+        pass
+
+
+@contextmanager
+def rocksdb_state(spark: SparkSession) -> Iterator[None]:
+    """Streams that start inside keep their state in RocksDB, on disk and checkpointed by what changed."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    was = spark.conf.get(name)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, was)
+
+
+def running_means(values: DataFrame, keys: list[str] = traveltime.READING_KEYS, window: int = traveltime.SMOOTHING, remembered: int = REMEMBERED, ttl: timedelta | None = None) -> DataFrame:
+    """(keys, value, last_sample_at) stream to (keys, avg, count, last_sample_at, late): the mean of each key that moved.
+
+    A key's state holds its mean and the times of its last ``remembered`` arrivals. A micro-batch's samples of a key are
+    folded in time order; one whose time has arrived before is a repeat and moves nothing, and one that is older than the
+    newest counts like any other and is counted as late. A key without samples for ``ttl`` is forgotten; such a stream has
+    to run at an interval, for Spark never ends one that watches the clock. Samples without a key part, value or time are
+    left out.
     """
-    keys = traveltime.READING_KEYS
+    src = values.select(*keys, F.col("value").cast("double").alias("v"), F.unix_micros("last_sample_at").alias("t")).dropna()
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[: len(keys)])
+    ms = None if ttl is None else int(ttl.total_seconds() * 1000)
+    moved = src.groupBy(*keys).transformWithState(_Mean(keys, window, remembered, ms), f"{ddl}, avg double, count long, newest long, late long", "update", "None" if ttl is None else "ProcessingTime")
+    return moved.select(*keys, "avg", "count", F.timestamp_micros("newest").alias("last_sample_at"), "late")
+
+
+def fold_means(values: DataFrame, path: str, checkpoint: str, every: str | None = None, **how):
+    """``running_means`` as a keyed table: each micro-batch lands only the keys it moved; read it by ``store.newest_of_batches``."""
+    with rocksdb_state(values.sparkSession):
+        return land_batches(running_means(values, **how), path, checkpoint, mode="update", every=every)
+
+
+def route_late(readings: DataFrame, path: str, checkpoint: str, late: str = "6 hours", at: str = "observed_at"):
+    """Every row lands under ``path/rows`` with ``late``: whether it is behind the watermark, so what windows drop is kept.
 
-    def fold(batch: DataFrame, _: int) -> None:
-        if batch.isEmpty():
-            return
+    The watermark is that of Structured Streaming over the same micro-batches: the newest time of all earlier ones, to the
+    millisecond, less ``late``; a row at or before it, or without a time, is late. The newest times lie under ``path/seen``.
+    """
+
+    def land(batch: DataFrame, n: int) -> None:
         spark = batch.sparkSession
-        h = batch.groupBy(*keys).agg(F.array_sort(F.collect_set(F.struct(F.col("last_sample_at").alias("t"), F.col("value").cast("double").alias("v")))).alias("h"))
-        state = store.current(spark, path)
-        if state is None:
-            state = spark.createDataFrame([], "segment_id string, time string, avg double, count long, last_sample_at timestamp")
-        j = h.join(state, keys, "full_outer")
-        start = F.struct(F.coalesce("avg", F.lit(0.0)).alias("avg"), F.coalesce("count", F.lit(0).cast("long")).alias("n"), F.col("last_sample_at").alias("t"))
-
-        def step(a, x):
-            n = a["n"] + 1
-            new = F.coalesce(x["t"] > a["t"], F.lit(True))
-            avg = F.when(a["n"] == 0, F.bround(x["v"])).otherwise(F.bround(a["avg"] + (x["v"] - a["avg"]) / F.least(n, F.lit(window))))
-            return F.struct(F.when(new, avg).otherwise(a["avg"]).alias("avg"), F.when(new, n).otherwise(a["n"]).alias("n"), F.when(new, x["t"]).otherwise(a["t"]).alias("t"))
-
-        none = F.array().cast(dict(h.dtypes)["h"])
-        out = j.select(*keys, F.aggregate(F.coalesce("h", none), start, step).alias("a"))
-        store.publish(out.select(*keys, F.col("a.avg").alias("avg"), F.col("a.n").alias("count"), F.col("a.t").alias("last_sample_at")), path)
-
-    return values.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-
-
-def merge_batches(values: DataFrame, path: str, checkpoint: str, today: str):
-    """The plain form: each micro-batch is merged into the published table by ``running_mean`` and an upsert."""
-    keys = traveltime.READING_KEYS
-
-    def merge(batch: DataFrame, _: int) -> None:
-        state = store.current(batch.sparkSession, path)
-        if state is None:
-            state = batch.sparkSession.createDataFrame([], "segment_id string, time string, value double, last_sample_at timestamp, avg double, count long, avg_formula_version string, updated_date date")
-        if not batch.isEmpty():
-            store.publish(store.upsert(state, traveltime.running_mean(batch, state, today), keys), path)
-
-    return values.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        seen = store.batches_before(spark, f"{path}/seen", n)
+        top = None if seen is None else seen.agg(F.date_trunc("millisecond", F.max("newest"))).first()[0]
+        mark = F.lit(top).cast("timestamp") - F.expr(f"INTERVAL {late}")
+        store.write_batch(batch.withColumn("late", F.coalesce(F.col(at) <= mark, F.col(at).isNull())), f"{path}/rows", n)
+        store.write_batch(batch.agg(F.max(at).alias("newest")), f"{path}/seen", n)
+
+    return readings.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def closed_windows(readings: DataFrame, path: str, checkpoint: str, keys: list[str], late: str = "6 hours", minutes: int = 30):
+    """Windows as they close: repeats dropped, each window written once when the watermark passes its end and its state freed."""
+    with rocksdb_state(readings.sparkSession):
+        once = drop_repeats(readings, keys, late=late)
+        g = once.groupBy(F.window("observed_at", f"{minutes} minutes"), *keys).agg(F.avg("speed").alias("speed"), F.count("*").alias("readings"))
+        return land_batches(g.select(F.col("window.start").alias("bucket"), *keys, "speed", "readings"), path, checkpoint)

@@ -111,17 +111,27 @@ def test_dynamic_partitions_leave_others(spark, rows, tmp_path):
 
 
 def test_marker_moves_only_after_the_sink(spark, rows, tmp_path):
-    src = rows("t timestamp", (dt(2026, 1, 1, 0),), (dt(2026, 1, 1, 11),), (dt(2026, 1, 1, 12),))
-    marker, seen = str(tmp_path / "m"), []
-
-    def fail(_):
-        raise RuntimeError
-
-    with pytest.raises(RuntimeError):
-        selection.take_new(spark, src, "t", marker, fail)
-    assert selection.take_new(spark, src, "t", marker, lambda df: seen.append(df.count()))
-    assert not selection.take_new(spark, src, "t", marker, lambda df: seen.append(df.count()))
-    assert seen == [2]
+    """A take that fails after it has written is taken again under its number, so nothing is doubled or lost."""
+    at = lambda *hours: rows("t timestamp", *[(dt(2026, 1, 1, h),) for h in hours])
+    marker, out = str(tmp_path / "m"), str(tmp_path / "o")
+
+    def write(new, number):
+        store.write_batch(new, out, number)
+
+    def write_and_fail(new, number):
+        write(new, number)
+        raise InterruptedError
+
+    with pytest.raises(InterruptedError):
+        selection.take_new(spark, at(0, 11, 12), "t", marker, write_and_fail)
+    assert store.batches(spark, out).count() == 2 and selection.last_take(spark, marker) == (None, 0)
+    assert selection.take_new(spark, at(0, 11, 12), "t", marker, write)
+    assert not selection.take_new(spark, at(0, 11, 12), "t", marker, write)
+    with pytest.raises(InterruptedError):
+        selection.take_new(spark, at(0, 11, 12, 13), "t", marker, write_and_fail)
+    assert selection.take_new(spark, at(0, 11, 12, 13, 14), "t", marker, write)
+    assert sorted((r.t.hour, r.batch) for r in store.batches(spark, out).collect()) == [(11, 0), (12, 0), (13, 1), (14, 1)]
+    assert selection.last_take(spark, marker) == ("2026-01-01 14:00:00.000000", 2)
 
 
 def test_control_rows(spark, tmp_path):

@@ -1,3 +1,4 @@
+import time
 from datetime import date, timedelta
 from datetime import datetime as dt
 
@@ -7,29 +8,95 @@ from pyspark.sql import functions as F
 from lanewright.functions import geometry as geo
 from lanewright.operators import demand, quality, store, tolls, traveltime
 from lanewright.plans import jobs
+from lanewright.sources import selection
 from lanewright.streaming import streams
 
 VALUES = "segment_id string, time string, value double, last_sample_at timestamp"
 
 
-def test_stream_states_equal_the_replay(spark, rows, tmp_path):
-    src = str(tmp_path / "in")
-    h = [("a", "0800", 30.0, dt(2026, 8, 1)), ("a", "0800", 60.0, dt(2026, 8, 2)), ("b", "0900", 7.0, dt(2026, 8, 1)), ("a", "0800", 90.0, dt(2026, 8, 3))]
-    for i, r in enumerate(h):
-        rows(VALUES, r).coalesce(1).write.mode("append").parquet(src)
-    table = str(tmp_path / "means")
-    streams.fold_batches(streams.read_landed(spark, src, VALUES, files_per_trigger=1), table, str(tmp_path / "cp")).awaitTermination()
+def fold(spark, src, table, log, **how):
+    streams.fold_means(streams.read_landed(spark, src, VALUES), table, log, **how).awaitTermination()
+    return {(r.segment_id, r.time): (r.avg, r["count"], r.last_sample_at, r.late) for r in store.newest_of_batches(spark, table, ["segment_id", "time"]).collect()}
+
+
+def test_running_means_go_on_from_their_checkpoint(spark, rows, tmp_path):
+    """Each landing is taken by a new run; a run writes only the keys that moved, and its provider setting does not stay."""
+    src, table, log = (str(tmp_path / x) for x in ("in", "means", "log"))
+    provider = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    h = [("a", "0800", 30.0, dt(2026, 8, 1)), ("b", "0900", 7.0, dt(2026, 8, 1)), ("a", "0800", 60.0, dt(2026, 8, 2)), ("a", "0800", 90.0, dt(2026, 8, 3))]
+    for part in (h[:2], h[2:3], h[3:]):
+        rows(VALUES, *part).write.mode("append").parquet(src)
+        got = fold(spark, src, table, log)
     want = {(r.segment_id, r.time): (r.avg, r["count"]) for r in traveltime.replay_means(rows(VALUES, *h), ["segment_id", "time"]).collect()}
-    assert {(r.segment_id, r.time): (r.avg, r["count"]) for r in store.current(spark, table).collect()} == want == {("a", "0800"): (60, 3), ("b", "0900"): (7, 1)}
+    assert {k: v[:2] for k, v in got.items()} == want == {("a", "0800"): (60, 3), ("b", "0900"): (7, 1)}
+    assert [{r.segment_id for r in store.batches(spark, table).filter(f"batch = {n}").collect()} for n in range(3)] == [{"a", "b"}, {"a"}, {"a"}]
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == provider
 
 
-def test_merge_batches_counts_a_replay_once(spark, rows, tmp_path):
+def test_late_samples_count_and_repeats_do_not(spark, rows, tmp_path):
+    src, table, log = (str(tmp_path / x) for x in ("in", "means", "log"))
+    days = [[(30.0, 2)], [(60.0, 1)], [(60.0, 1), (30.0, 2)], [(None, 3), (90.0, 2)]]
+    for part in days:
+        rows(VALUES, *[("a", "0800", v, dt(2026, 8, d)) for v, d in part], (None, "0800", 1.0, dt(2026, 8, 9))).write.mode("append").parquet(src)
+        got = fold(spark, src, table, log)
+    assert got == {("a", "0800"): (45, 2, dt(2026, 8, 2), 1)}
+
+
+def test_a_key_without_samples_is_forgotten(spark, rows, tmp_path):
+    """After its time to live a key starts anew; the stream runs at an interval and is stopped."""
     src, table = str(tmp_path / "in"), str(tmp_path / "t")
-    for value, day in ((30.0, 1), (60.0, 2), (60.0, 2)):
-        rows(VALUES, ("a", "0800", value, dt(2026, 8, day))).coalesce(1).write.mode("append").parquet(src)
-        streams.merge_batches(streams.read_landed(spark, src, VALUES), table, str(tmp_path / "cp"), "2026-08-26").awaitTermination()
-    r = store.current(spark, table).first()
-    assert (r.avg, r["count"]) == (45, 2)
+    rows(VALUES, ("a", "0800", 30.0, dt(2026, 8, 1))).write.parquet(src)
+    q = streams.fold_means(streams.read_landed(spark, src, VALUES), table, str(tmp_path / "log"), every="1 second", ttl=timedelta(milliseconds=1))
+
+    def wait_for(avg):
+        until = time.time() + 40
+        while time.time() < until:
+            found = store.batches(spark, table)
+            if found is not None and not found.filter(F.col("avg") == avg).isEmpty():
+                return found.filter(F.col("avg") == avg).first()["count"]
+            time.sleep(0.5)
+
+    try:
+        assert wait_for(30.0) == 1
+        rows(VALUES, ("a", "0800", 90.0, dt(2026, 8, 2))).write.mode("append").parquet(src)
+        assert wait_for(90.0) == 1
+    finally:
+        q.stop()
+
+
+def test_rounding_is_half_to_even_at_each_step(spark, rows, tmp_path):
+    h = [("a", "0800", v, dt(2026, 8, 1 + i)) for i, v in enumerate((2.5, 3.5, 0.5, 1.5, -2.5, 7.25, 100.0, 3.0, 4.0, 5.0, 6.0, 9.5, 200.0))]
+    src = str(tmp_path / "in")
+    rows(VALUES, *h).write.parquet(src)
+    got = fold(spark, src, str(tmp_path / "t"), str(tmp_path / "log"))
+    want = traveltime.replay_means(rows(VALUES, *h), ["segment_id", "time"]).first()
+    assert got["a", "0800"][:2] == (want.avg, want["count"])
+
+
+def test_rows_behind_the_watermark_are_kept_apart(spark, rows, tmp_path):
+    src, out, closed = (str(tmp_path / x) for x in ("in", "out", "closed"))
+    landed = [[("a", 1.0, dt(2026, 8, 1, 12)), ("b", 2.0, dt(2026, 8, 1, 4))], [("a", 1.0, dt(2026, 8, 1, 12)), ("a", 3.0, dt(2026, 8, 1, 6)), ("a", 5.0, dt(2026, 8, 1, 5)), ("a", 9.0, None)], [("a", 7.0, dt(2026, 8, 2))]]
+    for part in landed:
+        rows(streams.READINGS, *part).write.mode("append").parquet(src)
+        streams.route_late(streams.read_landed(spark, src, streams.READINGS), out, str(tmp_path / "l1")).awaitTermination()
+        q = streams.closed_windows(streams.read_landed(spark, src, streams.READINGS), closed, str(tmp_path / "l2"), ["segment_id"])
+        q.awaitTermination()
+    got = store.batches(spark, f"{out}/rows").collect()
+    assert sorted((r.speed, r.late) for r in got) == [(1, False), (1, False), (2, False), (3, True), (5, True), (7, False), (9, True)]
+    assert sorted((r.segment_id, r.bucket, r.speed, r.readings) for r in store.batches(spark, closed).collect()) == [("a", dt(2026, 8, 1, 12), 1, 1), ("b", dt(2026, 8, 1, 4), 2, 1)]
+
+
+def test_a_batch_that_comes_again_replaces_itself(spark, rows, tmp_path):
+    p = str(tmp_path / "b")
+    assert store.batches(spark, p) is None
+    store.write_batch(rows("k string, v int", ("a", 1), ("b", 1)), p, 0)
+    for v in (7, 8):
+        store.write_batch(rows("k string, v int", ("a", v)), p, 1)
+    (tmp_path / "b" / "batch=1" / "_SUCCESS").rename(tmp_path / "b" / "kept")  # as if the write had not ended
+    assert {(r.k, r.v) for r in store.newest_of_batches(spark, p, ["k"]).collect()} == {("a", 1), ("b", 1)}
+    (tmp_path / "b" / "kept").rename(tmp_path / "b" / "batch=1" / "_SUCCESS")
+    assert {(r.k, r.v) for r in store.newest_of_batches(spark, p, ["k"]).collect()} == {("a", 8), ("b", 1)}
+    assert store.batches(spark, p).count() == 3 and store.batches_before(spark, p, 1).count() == 2
 
 
 def test_travel_time_job(spark, rows, tmp_path):
@@ -67,9 +134,9 @@ def test_reading_intake_leaves_the_marker_when_blocked(spark, rows, tmp_path):
     bad = rows(ddl, ("a", "x", "2026-01-01 00:01:00"), ("b", "9", "2026-01-01 00:02:00"))
     with pytest.raises(quality.QualityError):
         jobs.intake_readings(spark, bad, net, ["speed"], marker, out, "2026-01-02")
-    assert store.read_state(spark, marker) == {}
+    assert selection.last_take(spark, marker) == (None, 0)
     assert jobs.intake_readings(spark, bad.filter("speed = '9'"), net, ["speed"], marker, out, "2026-01-02")
-    assert spark.read.parquet(out).count() == 2
+    assert store.batches(spark, out).count() == 2
 
 
 def test_network_zone_toll_jobs(spark, rows, tmp_path):
