@@ -10,9 +10,12 @@ import uuid
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, SparkRuntimeException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lanewright.operators import digests
 from lanewright.operators.quality import QualityError
 
 
@@ -79,15 +82,27 @@ def _pointer(path: str) -> str:
     return f"{path}/current"
 
 
-def current(spark: SparkSession, path: str) -> DataFrame | None:
-    """The published version of a table, or None before the first."""
+def _published(spark: SparkSession, path: str) -> DataFrame | None:
+    """(version, n, at) of the publications, or None before the first."""
     try:
-        row = spark.read.parquet(_pointer(path)).orderBy(F.desc("at")).first()
-    except Exception as e:
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+        return spark.read.schema("version string, n long, at timestamp").parquet(_pointer(path))
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
-    return spark.read.parquet(f"{path}/versions/{row.version}")
+
+
+def current(spark: SparkSession, path: str) -> DataFrame | None:
+    """The published version of a table, or None before the first."""
+    pointers = _published(spark, path)
+    row = None if pointers is None else pointers.orderBy(F.desc_nulls_last("n"), F.desc("at")).first()
+    return None if row is None else spark.read.parquet(f"{path}/versions/{row.version}")
+
+
+def _point_to(spark: SparkSession, path: str, version: str) -> None:
+    pointers = _published(spark, path)
+    n = 0 if pointers is None else pointers.agg(F.coalesce(F.max("n"), F.lit(-1)) + 1).first()[0]
+    spark.range(1).select(F.lit(version).alias("version"), F.lit(n).cast("long").alias("n"), F.current_timestamp().alias("at")).coalesce(1).write.mode("append").parquet(_pointer(path))
 
 
 def publish(df: DataFrame, path: str, check: Callable[[DataFrame], None] | None = None, partitions: int | None = None) -> str:
@@ -97,10 +112,62 @@ def publish(df: DataFrame, path: str, check: Callable[[DataFrame], None] | None
     (df.repartition(partitions) if partitions else df).write.parquet(at)
     if check is not None:
         check(spark.read.parquet(at))
-    spark.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("at")).coalesce(1).write.mode("append").parquet(_pointer(path))
+    _point_to(spark, path, version)
     return version
 
 
+def _manifest(df: DataFrame, part: Column, columns: list[str]) -> DataFrame:
+    d = df.select(part.alias("part"), digests.row_digest(columns).alias("d"))
+    return d.groupBy("part").agg(F.count("*").alias("rows"), F.bit_xor(F.xxhash64("d")).alias("mix"), F.sum(F.conv(F.substring("d", 1, 15), 16, 10).cast("decimal(20,0)")).alias("total"))
+
+
+def stage_parts(df: DataFrame, path: str, parts: int, keys: list[str]) -> str:
+    """Load a table as ``parts`` parts side by side, each into a folder of its own, with a manifest of their rows and digests.
+
+    The manifest is made from ``df``, so pass a materialised or repeatable one. Nothing is seen before ``commit_parts``.
+    """
+    version = uuid.uuid4().hex
+    part = F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(parts)).cast("int")
+    _manifest(df, part, sorted(df.columns)).coalesce(1).write.parquet(f"{path}/manifests/{version}")
+    df.withColumn("part", part).repartition(parts, "part").write.partitionBy("part").parquet(f"{path}/versions/{version}")
+    return version
+
+
+def commit_parts(spark: SparkSession, path: str, version: str, keep: int = 2) -> None:
+    """Point to a staged version if every part is there as its manifest has it; then remove all but the newest ``keep`` versions."""
+    want = spark.read.parquet(f"{path}/manifests/{version}")
+    staged = spark.read.parquet(f"{path}/versions/{version}")
+    have = _manifest(staged, F.col("part"), sorted(c for c in staged.columns if c != "part"))
+    off = want.unionByName(have).groupBy("part", "rows", "mix", "total").count().filter("count <> 2").select("part").distinct()
+    if bad := sorted(r.part for r in off.limit(20).collect()):
+        raise QualityError(f"parts {bad} are not as they were staged")
+    _point_to(spark, path, version)
+    drop_old(spark, path, keep)
+
+
+def versions(spark: SparkSession, path: str) -> list[str]:
+    """Folders of all versions, published or not."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/versions")
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [f.getPath().getName() for f in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def drop_old(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
+    """Remove versions that are neither among the newest ``keep`` publications nor staged after the last; what went."""
+    if keep < 1:
+        raise ValueError("the published version must be kept")
+    rows = _published(spark, path).orderBy(F.desc_nulls_last("n"), F.desc("at")).collect()  # one row a publication
+    kept, last = {r.version for r in rows[:keep]}, rows[0].at.timestamp() * 1000
+    gone = []
+    for v in versions(spark, path):
+        p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/versions/{v}")
+        if v not in kept and p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p).getModificationTime() <= last:
+            remove(spark, f"{path}/versions/{v}")
+            remove(spark, f"{path}/manifests/{v}")
+            gone.append(v)
+    return gone
+
+
 def write_batch(df: DataFrame, path: str, batch: int) -> None:
     """A batch as a folder of its own under its number. Written again it replaces itself, so a retry doubles nothing."""
     df.write.mode("overwrite").parquet(f"{path}/batch={int(batch)}")
@@ -137,10 +204,10 @@ def write_state(spark: SparkSession, path: str, **fields: str) -> None:
 
 
 def read_state(spark: SparkSession, path: str) -> dict:
-    """The control row; empty where it is absent or can't be read."""
+    """The control row; empty where it is absent or its file can't be read, which makes the work be done again."""
     try:
         row = spark.read.parquet(path).first()
-    except Exception:
+    except (AnalysisException, SparkRuntimeException, Py4JJavaError):
         return {}
     return row.asDict() if row else {}
 

@@ -829,4 +829,4 @@ def stream_drop_repeats(spark: SparkSession, d: str) -> DataFrame:
 
 
 # further queries register themselves here; they use the names above
-from lanewright.plans import stream_queries  # noqa: E402, F401
+from lanewright.plans import stream_queries, table_queries  # noqa: E402, F401

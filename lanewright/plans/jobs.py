@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lanewright.functions import geometry as geo
 from lanewright.functions.values import half_even
-from lanewright.operators import demand, network, quality, routes, spatial, store, tolls, traveltime, trips
+from lanewright.operators import demand, digests, network, quality, routes, spatial, store, tolls, traveltime, trips
 from lanewright.sources import selection
 
 # Largest share of suspect rows that still passes, by domain, and of conflicting duplicate keys.
@@ -82,8 +82,7 @@ def rolling_publish(spark: SparkSession, live: str, mapping: DataFrame, weeks: i
     """Weekday means expanded and published if the window or the mapping changed; the state row is written last."""
     daily = spark.read.option("basePath", live).parquet(live)
     w = demand.latest_dates(daily, 7 * weeks).first()
-    h = quality.content_hash(mapping, ["segment_id", "zone_id"]).first()
-    plan = {"window_end": str(w.window_end), "mapping_hash": f"{h.rows}-{h.hash_sum}-{h.hash_xor}"}
+    plan = {"window_end": str(w.window_end), "mapping_hash": digests.version_of(mapping, ["segment_id"], ["segment_id", "zone_id"])}
     if not store.publish_needed(store.read_state(spark, state), **plan):
         return False
     rolled = demand.weekday_means(daily, weeks)
@@ -95,9 +94,8 @@ def rolling_publish(spark: SparkSession, live: str, mapping: DataFrame, weeks: i
             raise quality.QualityError(f"segment values: {bad.collect()}")
 
     # the inputs must still be those that the plan was made of
-    h = quality.content_hash(mapping, ["segment_id", "zone_id"]).first()
     again = demand.latest_dates(spark.read.option("basePath", live).parquet(live), 7 * weeks).first()
-    store.same_plan(plan, {"window_end": str(again.window_end), "mapping_hash": f"{h.rows}-{h.hash_sum}-{h.hash_xor}"})
+    store.same_plan(plan, {"window_end": str(again.window_end), "mapping_hash": digests.version_of(mapping, ["segment_id"], ["segment_id", "zone_id"])})
     store.publish(store.replacement(demand.expand_to_segments(rolled, mapping)), table, check)
     store.write_state(spark, state, status="published", **plan)
     return True
@@ -143,8 +141,7 @@ def zone_mapping(spark: SparkSession, segments: DataFrame, zones: DataFrame, tab
         quality.require(quality.expectation_report(written, checks), what="mapping")
 
     store.publish(mapping, table, check)
-    h = quality.content_hash(mapping, ["segment_id", "zone_id"]).first()
-    store.write_state(spark, state, version=f"{h.rows}-{h.hash_sum}-{h.hash_xor}")
+    store.write_state(spark, state, version=digests.version_of(mapping, ["segment_id"], ["segment_id", "zone_id"]))
     return store.current(spark, table)
 
 
