@@ -108,8 +108,8 @@ class Encoder:
         found, out = (m.group() for m in self.find.finditer(text)) if len(text) > STRETCH else None, []
         while units := self.find.findall(text) if found is None else list(islice(found, STRETCH)):
             new = set(units).difference(self.known)
-            self.known |= {u: self.old[u] for u in new.intersection(self.old)}
-            self.learn(list(new.difference(self.known)))
+            self.known |= {u: self.old[u] for u in new if u in self.old}
+            self.learn([u for u in new if u not in self.known])
             out.append(b"".join(map(self.known.__getitem__, units)))
             for u in new:
                 if len(u) > LONGEST:
