@@ -42,7 +42,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
@@ -280,8 +280,8 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int
     return float(beta[0]), float(beta[1]), scale
 
 
-def scored(docs: DataFrame, labels: DataFrame, read: DataFrame, name: str = "score") -> DataFrame:
-    """``read`` (rows with a text) with the score of a model that is fitted on docs and labels."""
+def fit(docs: DataFrame, labels: DataFrame) -> tuple[tuple[DataFrame, float, float], float, float]:
+    """The model of docs and labels, with slope and offset of the logistic function; the slope is 0 where a class has no rows."""
     marks = labels.filter(F.col("toxic").isNotNull() & in_training()).select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("toxic"))
     marks = materialise(marks, "toxicity-labels")
     train_on = join_checked(docs.select("doc_id", "text").filter(in_training()), marks, F.col("doc_id") == F.col("_id"), rows=2_000_000)
@@ -290,16 +290,31 @@ def scored(docs: DataFrame, labels: DataFrame, read: DataFrame, name: str = "sco
     some = train_on.filter(F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(max(marks.count(), 1))) < FIT_DOCS)
     sample = with_differences(some, fitted).select("diff", "toxic").toPandas()
     a, b, scale = fit_logistic(sample["diff"].to_numpy(float), sample["toxic"].to_numpy(float))
-    return with_differences(read, fitted, name).withColumn(name, 1 / (1 + F.exp(-(F.lit(a / scale) * F.col(name) + F.lit(b)))))
+    return fitted, a / scale, b
+
+
+def score_of(diff: Column, slope: float, offset: float) -> Column:
+    return 1 / (1 + F.exp(-(F.lit(slope) * diff + F.lit(offset))))
 
 
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Rows (doc_id, held_out, score, predicted) for every row of docs."""
-    out = scored(docs, labels, docs.select("doc_id", "text"))
+    fitted, slope, offset = fit(docs, labels)
+    out = with_differences(docs.select("doc_id", "text"), fitted, "score").withColumn("score", score_of(F.col("score"), slope, offset))
     out = out.select("doc_id", F.coalesce(~in_training(), F.lit(False)).alias("held_out"), "score")
     return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Documents predicted toxic go, each by its own text; all columns stay."""
-    return scored(docs, labels, docs, "_toxicity").filter("_toxicity < 0.5").select(*docs.columns)
+    """Documents predicted toxic go, each by its own text; all columns stay.
+
+    A text goes only on evidence of its own: its difference must be above that of a text of any length whose words the model
+    doesn't know. Where a class has no training rows, or differences don't rise with toxicity, all documents stay.
+    """
+    fitted, slope, offset = fit(docs, labels)
+    if slope <= 0:
+        return docs
+    unknown = max(fitted[1], fitted[2])  # such a text's difference lies between these two
+    found = with_differences(docs, fitted, "_toxicity")
+    toxic = (score_of(F.col("_toxicity"), slope, offset) >= 0.5) & (F.col("_toxicity") > unknown + 1e-12)
+    return found.filter(~toxic).select(*docs.columns)

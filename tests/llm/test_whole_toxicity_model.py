@@ -97,3 +97,20 @@ def test_rows_are_judged_by_their_own_text(spark):
     docs = spark.createDataFrame([(i, t, 1.0) for i, t, _ in train] + [(1000, bad, 2.0), (1000, good, 2.0), (None, bad, 2.0), (None, good, 2.0)], "doc_id long, text string, diff double")
     left = [(r.doc_id, r.text) for r in toxicity.drop_toxic(docs, labels).filter("diff = 2").collect()]
     assert sorted(left, key=str) == sorted([(1000, good), (None, good)], key=str)
+
+
+@pytest.mark.parametrize("marks", [[], [(1, 0)], [(4, 1)], [(1, 0), (4, 1)], [(6, 1), (7, 1)], [(1, None)]])
+def test_nothing_goes_without_evidence(spark, odd_docs, marks):
+    """No labels, one class, or labels of texts that say nothing: clean, empty and unlabelled documents stay."""
+    more = spark.createDataFrame([(1, "calm and clear words", "en", "a", 1, 1, "a", 1.0), (4, "", "en", "a", 1, 1, "a", 1.0), (7, None, "en", "a", 1, 1, "a", 1.0), (9, "unlike any other text here " * 300, "en", "a", 1, 1, "a", 1.0)], odd_docs.schema)
+    docs = odd_docs.unionByName(more)
+    labels = spark.createDataFrame(marks, "doc_id long, toxic int")
+    assert toxicity.drop_toxic(docs, labels).count() == docs.count()
+
+
+def test_the_toxic_ones_still_go(spark):
+    rows = [(i, "fine calm words " * 3 if i % 3 else "vile nasty words " * 3) for i in range(300)]
+    docs = spark.createDataFrame([*rows, (900, "never seen before"), (901, ""), (902, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(200)], "doc_id long, toxic int")
+    left = {r.doc_id for r in toxicity.drop_toxic(docs, labels).collect()}
+    assert left == {i for i in range(300) if i % 3} | {900, 901, 902}
