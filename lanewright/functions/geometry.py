@@ -7,6 +7,7 @@ they were parsed from.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -201,7 +202,7 @@ def bounds(points: Column) -> Column:
     ))
 
 
-def edge_cells(es: Column, pad: float, size: float) -> Column:
+def edge_cells(es: Column, pad: float, size: Column | float) -> Column:
     """Grid cells (struct<cx, cy>) within ``pad`` of a path's edges, column by column: linear in the path's length."""
     column = lambda x: F.floor(x / size)
 
@@ -224,10 +225,35 @@ def edge_cells(es: Column, pad: float, size: float) -> Column:
     return F.array_distinct(F.flatten(F.transform(es, of)))
 
 
-def cells(box: Column, pad: Column | float, size: float) -> Column:
+def cells(box: Column, pad: Column | float, size: Column | float) -> Column:
     """Grid cells (struct<cx, cy>) that a padded box touches."""
 
     def span(lo: Column, hi: Column) -> Column:
         return F.sequence(F.floor((lo - pad) / size), F.floor((hi + pad) / size))
 
     return bound(box, lambda b: F.flatten(F.transform(span(b["x0"], b["x1"]), lambda cx: F.transform(span(b["y0"], b["y1"]), lambda cy: F.struct(cx.alias("cx"), cy.alias("cy"))))))
+
+
+#: Cells of this level are the smallest that shapes are put in: 2**-10 of a unit.
+FINEST = -10
+
+
+def level_of(extent: Column) -> Column:
+    """The level whose cells, 2**level wide, are about as wide as ``extent``, so that a box of it touches few of them."""
+    return F.greatest(F.lit(FINEST), F.ceil(F.log2(F.greatest(extent, F.lit(2.0**FINEST))))).cast("int")
+
+
+def level_cells(box: Column, pad: float, level: Column) -> Column:
+    """Cells (struct<level, cx, cy>) of one level that a padded box touches."""
+    return F.transform(cells(box, pad, F.pow(F.lit(2.0), level)), lambda c: F.named_struct(F.lit("level"), level, F.lit("cx"), c["cx"], F.lit("cy"), c["cy"]))
+
+
+def inner_cells(es: Column, box: Column, size: Column) -> Column:
+    """Cells (struct<cx, cy>) that lie inside a polygon as a whole: their centre is inside and no edge enters them."""
+    free = F.array_except(cells(box, 0.0, size), edge_cells(es, 0.0, size))
+    return F.filter(free, lambda c: inside(es, (c["cx"] + 0.5) * size, (c["cy"] + 0.5) * size))
+
+
+def finite(*values: Column) -> Column:
+    """True where all are numbers, neither null nor NaN nor infinite."""
+    return reduce(lambda a, b: a & b, [F.coalesce(F.abs(v) < F.lit(float("inf")), F.lit(False)) for v in values])

@@ -12,11 +12,13 @@ from pyspark.sql import functions as F
 from lanewright.functions import timeslot as ts
 from lanewright.functions.values import half_even, label_of
 from lanewright.operators.network import GLOBAL
-from lanewright.scratch import materialise
+from lanewright.scratch import join_checked, materialise
 
 #: What is served when nothing is known, by type.
 DEFAULT_SECONDS, DEFAULT_LENGTH, DEFAULT_DEMAND, DEFAULT_TOLL = 45.0, 300.0, 0.0, 0.0
 MOST_SEGMENTS = 500
+#: Packed segments, of 200 bytes each, that are sent to every task at most.
+PACKED_ROWS = 100_000
 #: The older one-word name of (type, storage:basis); everything else is "hardcoded".
 LEGACY = {
     1: {"rds:observed": "fresh", "memory_cache:observed": "fresh", "s3_snapshot:observed": "fresh", "rds:historical_average": "avg", "memory_cache:historical_average": "avg", "s3_snapshot:historical_average": "avg"},
@@ -75,32 +77,45 @@ def score_toll(requests: DataFrame, tolls: DataFrame, storage: str = "rds") -> D
     return j.select("route_id", "pos", "segment_id", F.coalesce("own", F.lit(DEFAULT_TOLL)).alias("value"), F.when(F.col("own").isNotNull(), f"{storage}:segment_value").otherwise(F.lit(missing)).alias("token"))
 
 
+def packed_slots(slots: DataFrame, as_of: str) -> DataFrame:
+    """(segment_id, slots): a segment's 48 half hours as one array of ints, twice the seconds and one more if they are fresh.
+
+    A value sampled on ``as_of`` counts, else the slot's average; -1 where there is neither. Seconds are whole and below 2**30.
+    """
+    fresh = F.col("value").isNotNull() & ts.is_fresh(F.col("last_sample_at"), F.lit(as_of).cast("date"))
+    v = half_even(F.when(fresh, F.col("value")).otherwise(F.col("avg"))).cast("long")
+    k = F.array_position(F.array(*[F.lit(t) for t in ts.SLOTS]), F.col("time"))
+    s = slots.select("segment_id", k.cast("int").alias("k"), (v * 2 + fresh.cast("int")).cast("int").alias("e")).filter("e IS NOT NULL AND k > 0")
+    known = F.map_from_entries(F.collect_list(F.struct("k", "e")))
+    g = s.groupBy("segment_id").agg(known.alias("m"))
+    return g.select("segment_id", F.transform(F.sequence(F.lit(1), F.lit(len(ts.SLOTS))), lambda i: F.coalesce(F.try_element_at("m", i), F.lit(-1))).alias("slots"))
+
+
 def score_time(requests: DataFrame, slots: DataFrame, as_of: str, storage: str = "rds") -> DataFrame:
     """Type 1: positions in order; each is looked up at the start plus the seconds of those before it, wrapping at midnight.
 
     A value sampled on ``as_of`` counts, else the slot's average, else the constant. A segment that comes again is looked up
-    again. Requests meet their segment's slots (48 at most) as one map, and a route is one fold: its positions are few.
+    again. Slots are packed, 200 bytes a segment, and meet the positions without a shuffle of these while they are few enough
+    to be sent; a route is one fold along its positions.
     """
-    fresh = F.col("value").isNotNull() & ts.is_fresh(F.col("last_sample_at"), F.lit(as_of).cast("date"))
-    s = slots.select("segment_id", "time", half_even(F.when(fresh, F.col("value")).otherwise(F.col("avg"))).cast("double").alias("v"), fresh.alias("fresh")).filter("v IS NOT NULL")
-    by_segment = s.groupBy("segment_id").agg(F.map_from_entries(F.collect_list(F.struct("time", F.struct("v", "fresh").alias("e")))).alias("slots"))
-    j = requests.join(by_segment, "segment_id", "left")
-    # by position alone: a map has no order
-    legs = F.array_sort(F.collect_list(F.struct("pos", "segment_id", "slots")), lambda a, b: F.when(a["pos"] < b["pos"], -1).when(a["pos"] > b["pos"], 1).otherwise(0))
+    packed = materialise(packed_slots(slots, as_of), "packed-slots")
+    j = join_checked(requests.select("route_id", "pos", "segment_id", "time"), packed, "segment_id", "left", rows=PACKED_ROWS)
+    legs = F.array_sort(F.collect_list(F.struct("pos", "segment_id", "slots")))
     routes = j.groupBy("route_id").agg(legs.alias("legs"), F.min_by("time", "pos").alias("start"))
-    begin = F.coalesce(ts.clock_seconds(F.col("start")), F.lit(0)).cast("double")
-    routes = routes.select("route_id", "legs", begin.alias("begin"), F.array().cast("array<struct<pos:bigint,segment_id:string,value:double,token:string>>").alias("none"))
+    begin = F.coalesce(ts.clock_seconds(F.col("start")), F.lit(0)).cast("long")
 
     def step(a: Column, leg: Column) -> Column:
-        at = ts.slot_of_minutes(F.floor(F.pmod(a["t"], F.lit(float(ts.DAY_SECONDS))) / 60).cast("int"))
-        return geo_bound(F.try_element_at(leg["slots"], at), lambda e: geo_bound(
-            F.struct(leg["pos"].cast("long").alias("pos"), leg["segment_id"].alias("segment_id"), F.coalesce(e["v"], F.lit(DEFAULT_SECONDS)).alias("value"),
-                     F.when(e["fresh"], f"{storage}:observed").when(e["v"].isNotNull(), f"{storage}:historical_average").otherwise(STATIC).alias("token")),
-            lambda r: F.struct((a["t"] + r["value"]).alias("t"), F.array_append(a["out"], r).alias("out")),
+        at = F.floor(F.pmod(a["t"], F.lit(ts.DAY_SECONDS)) / (60 * ts.SLOT_MINUTES)).cast("int")
+        return geo_bound(F.coalesce(F.get(leg["slots"], at), F.lit(-1)), lambda e: F.struct(
+            (a["t"] + F.when(e < 0, F.lit(int(DEFAULT_SECONDS))).otherwise(F.shiftright(e, 1))).cast("long").alias("t"), F.array_append(a["out"], e).alias("out"),
         ))
 
-    folded = routes.select("route_id", F.aggregate("legs", F.struct(F.col("begin").alias("t"), F.col("none").alias("out")), step)["out"].alias("out"))
-    return folded.select("route_id", F.explode("out").alias("o")).select("route_id", "o.pos", "o.segment_id", "o.value", "o.token")
+    first = F.struct(begin.alias("t"), F.array().cast("array<int>").alias("out"))
+    folded = routes.select("route_id", F.transform("legs", lambda x: F.struct(x["pos"].cast("long").alias("pos"), x["segment_id"].alias("segment_id"))).alias("legs"), F.aggregate("legs", first, step)["out"].alias("out"))
+    o = folded.select("route_id", F.explode(F.arrays_zip("legs", "out")).alias("o")).select("route_id", "o.legs.pos", "o.legs.segment_id", F.col("o.out").alias("e"))
+    value = F.when(F.col("e") < 0, F.lit(DEFAULT_SECONDS)).otherwise(F.shiftright("e", 1).cast("double"))
+    token = F.when(F.col("e") < 0, STATIC).when(F.col("e") % 2 == 1, f"{storage}:observed").otherwise(f"{storage}:historical_average")
+    return o.select("route_id", "pos", "segment_id", value.alias("value"), token.alias("token"))
 
 
 def geo_bound(value: Column, use) -> Column:

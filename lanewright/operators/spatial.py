@@ -5,6 +5,7 @@ Nearest fallbacks widen their rings of cells for what is still unmatched, so no
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -22,32 +23,48 @@ def _cell_rows(df: DataFrame, box: Column, pad: float, size: float) -> DataFrame
     return df.withColumn("_c", F.explode(geo.cells(box, F.lit(pad), size))).withColumns({"_cx": F.col("_c.cx"), "_cy": F.col("_c.cy")}).drop("_c")
 
 
+def _levels(shapes: DataFrame) -> list[int]:
+    """The levels in use; there are a few dozen at most."""
+    return sorted(r[0] for r in shapes.select("level").distinct().collect())
+
+
 def points_to_zones(points: DataFrame, zones: DataFrame, cell: float) -> DataFrame:
     """(segment_id, x, y) and (zone_id, borough, parts) to (segment_id, zone_id, borough, mapping_method, distance_ft).
 
-    The containing zone (least id of several, borders count); else the nearest, least id on ties. For the points that are
-    left the cells grow fourfold, pass by pass, and a point meets the zones of the nine cells around it, until a zone lies
-    within one cell of every point.
+    The containing zone (least id of several, borders count); else the nearest, least id on ties. A zone lies in the cells of
+    the level of its own size, four at most, and a point looks up one cell of each level in use, so a wide zone and a small one
+    are met in the same pass. For the points that are left the reach grows fourfold from ``cell``, pass by pass, until a zone
+    lies within it; zones smaller than the reach are put into cells of its size, so a point looks up nine cells of a level at
+    most. Points without finite coordinates get no row, zones without finite borders no points.
     """
     z = zones.select("zone_id", "borough", geo.part_edges(F.col("parts")).alias("es"), geo.bounds(F.flatten("parts")).alias("box"))
-    z = materialise(z, "zones")
-    p = points.select("segment_id", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))
-    here = p.withColumns({"_cx": F.floor(F.col("x") / cell), "_cy": F.floor(F.col("y") / cell)})
-    hit = here.join(_cell_rows(z, F.col("box"), 0.0, cell), ["_cx", "_cy"]).filter(geo.inside(F.col("es"), F.col("x"), F.col("y")))
+    z = z.filter(geo.finite(*[F.col(f"box.{c}") for c in ("x0", "y0", "x1", "y1")]))
+    z = materialise(z.withColumn("level", geo.level_of(F.greatest(F.col("box.x1") - F.col("box.x0"), F.col("box.y1") - F.col("box.y0")))), "zones")
+    levels = _levels(z)
+    p = points.select("segment_id", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y")).filter(geo.finite(F.col("x"), F.col("y")))
+    at = F.struct(F.col("x").alias("x0"), F.col("y").alias("y0"), F.col("x").alias("x1"), F.col("y").alias("y1"))
+
+    def met(points: DataFrame, reach: float) -> DataFrame:
+        least = max(geo.FINEST, math.ceil(math.log2(reach))) if reach else geo.FINEST
+        of = lambda box, pad, level: F.explode(geo.level_cells(box, pad, level)).alias("c")
+        near = z.select("zone_id", "borough", "es", of(F.col("box"), 0.0, F.greatest("level", F.lit(least))))
+        each = points.withColumn("level", F.explode(F.array(*[F.lit(k) for k in sorted({max(k, least) for k in levels})])))
+        return each.select("segment_id", "x", "y", of(at, reach, F.col("level"))).join(near, "c")
+
+    hit = met(p, 0.0).filter(geo.inside(F.col("es"), F.col("x"), F.col("y"))) if levels else None
+    if hit is None:
+        return p.select("segment_id", F.lit(None).cast(dict(zones.dtypes)["zone_id"]).alias("zone_id"), F.lit(None).cast("string").alias("borough"), F.lit("").alias("mapping_method"), F.lit(0.0).alias("distance_ft")).limit(0)
     found = hit.groupBy("segment_id").agg(F.min(F.struct("zone_id", "borough")).alias("z"))
     out = found.select("segment_id", "z.zone_id", "z.borough", F.lit("contains").alias("mapping_method"), F.lit(0.0).alias("distance_ft"))
     out = materialise(out, "zone-hits")
-    left = materialise(p.filter("x IS NOT NULL AND y IS NOT NULL").join(out, "segment_id", "left_anti"), "zone-left")
-    at = F.struct(F.col("x").alias("x0"), F.col("y").alias("y0"), F.col("x").alias("x1"), F.col("y").alias("y1"))
-    widest = _extent(left.select(at.alias("box")).unionByName(z.select("box")))
-    size = cell
-    while not left.isEmpty() and size <= 8 * widest:
-        near = _cell_rows(left, at, size, size).join(_cell_rows(z, F.col("box"), 0.0, size), ["_cx", "_cy"])
+    left = materialise(p.join(out, "segment_id", "left_anti"), "zone-left")
+    widest, reach = _extent(left.select(at.alias("box")).unionByName(z.select("box"))), cell
+    while not left.isEmpty() and reach <= 8 * widest:
         d = geo.polygon_distance(F.col("es"), F.col("x"), F.col("y"))
-        best = near.select("segment_id", F.struct(d.alias("d"), "zone_id", "borough").alias("m")).groupBy("segment_id").agg(F.min("m").alias("m"))
-        best = best.filter(F.col("m.d") <= size)  # beyond that a zone outside the cells may be nearer
+        best = met(left, reach).select("segment_id", F.struct(d.alias("d"), "zone_id", "borough").alias("m")).groupBy("segment_id").agg(F.min("m").alias("m"))
+        best = best.filter(F.col("m.d") <= reach)  # beyond that a zone outside the cells may be nearer
         got = materialise(best.select("segment_id", "m.zone_id", "m.borough", F.lit("nearest").alias("mapping_method"), F.col("m.d").alias("distance_ft")), "zone-near")
-        out, left, size = out.unionByName(got), materialise(left.join(got, "segment_id", "left_anti"), "zone-left"), size * 4
+        out, left, reach = out.unionByName(got), materialise(left.join(got, "segment_id", "left_anti"), "zone-left"), reach * 4
     return out
 
 
@@ -93,28 +110,59 @@ def links_to_segments(links: DataFrame, segments: DataFrame, near: float = NEAR_
 
 
 def segments_in_fence(segments: DataFrame, fence: DataFrame) -> DataFrame:
-    """Ids of segments (segment_id, points) that touch or enter a polygon of ``fence`` (parts: rings of points)."""
-    f = fence.select(geo.part_edges(F.col("parts")).alias("es"), geo.bounds(F.flatten("parts")).alias("box"))
-    s = segments.select("segment_id", "points", geo.bounds(F.col("points")).alias("sbox"))
-    overlap = (F.col("box.x0") <= F.col("sbox.x1")) & (F.col("sbox.x0") <= F.col("box.x1")) & (F.col("box.y0") <= F.col("sbox.y1")) & (F.col("sbox.y0") <= F.col("box.y1"))
-    small = f.limit(1001).count() <= 1000
-    return s.join(F.broadcast(f) if small else f, overlap & geo.line_meets_polygon(F.col("points"), F.col("es")), "left_semi").select("segment_id").distinct()
+    """Ids of segments (segment_id, points) that touch or enter a polygon of ``fence`` (parts: rings of points).
+
+    A polygon lies in the cells of the level of its size, and its area is cut eight times finer: cells that are inside as a
+    whole take a segment by one of its vertices, without an exact test. All other segments meet the polygons whose cells their
+    edges enter, where an edge is cut into sixteen, and are tested exactly. Both are equi joins on cells. A segment or polygon without finite points meets nothing.
+    """
+    sides = ("x0", "y0", "x1", "y1")
+    f = fence.select(F.monotonically_increasing_id().alias("fid"), geo.part_edges(F.col("parts")).alias("es"), geo.bounds(F.flatten("parts")).alias("box"))
+    f = f.filter(geo.finite(*[F.col(f"box.{c}") for c in sides]))
+    f = materialise(f.withColumn("level", geo.level_of(F.greatest(F.col("box.x1") - F.col("box.x0"), F.col("box.y1") - F.col("box.y0")))), "fence")
+    s = segments.select(F.monotonically_increasing_id().alias("sid"), "segment_id", "points", geo.bounds(F.col("points")).alias("sbox"))
+    s = materialise(s.filter(geo.finite(*[F.col(f"sbox.{c}") for c in sides])).drop("sbox"), "fence-segments")
+    levels = _levels(f)
+    if not levels:
+        return s.select("segment_id").limit(0)
+    every = F.explode(F.array(*[F.lit(k) for k in levels])).alias("level")
+    size = F.pow(F.lit(2.0), F.col("level"))
+    inner = f.select("level", F.explode(geo.inner_cells(F.col("es"), F.col("box"), size / 8)).alias("c")).distinct()
+    vertices = s.select("sid", "segment_id", F.explode("points").alias("v")).select("sid", "segment_id", "v", every)
+    cell = F.struct(F.floor(F.col("v.x") / (size / 8)).alias("cx"), F.floor(F.col("v.y") / (size / 8)).alias("cy"))
+    sure = materialise(vertices.withColumn("c", cell).join(inner, ["level", "c"], "left_semi").select("sid", "segment_id").distinct(), "fence-inside")
+    rest = s.join(sure, "sid", "left_anti")
+    # a segment of one point is an edge without length
+    path = geo.edges(F.when(F.size("points") > 1, F.col("points")).otherwise(F.concat("points", "points")))
+    e = rest.select("sid", path.alias("path")).select("sid", F.explode("path").alias("e"))
+    own = geo.level_of(F.greatest(F.abs(F.col("e.bx") - F.col("e.ax")), F.abs(F.col("e.by") - F.col("e.ay")))) - 4
+    e = materialise(e.withColumn("level", F.greatest(own, F.lit(geo.FINEST))), "fence-edges")
+    # an edge and a polygon meet at the level of the coarser of the two, where both have some dozen cells at most
+    meets = lambda others: F.explode(F.array_distinct(F.transform(F.array(*[F.lit(k) for k in others]), lambda k: F.greatest(k, F.col("level"))))).alias("at")
+    width = F.pow(F.lit(2.0), F.col("at"))
+    lines = e.select("sid", "e", meets(levels)).select("sid", "at", F.explode(geo.edge_cells(F.array("e"), 0.0, width)).alias("c"))
+    areas = f.select("fid", "box", meets(_levels(e) or [0])).select("fid", "at", F.explode(geo.cells(F.col("box"), 0.0, width)).alias("c"))
+    pairs = lines.join(areas, ["at", "c"]).select("sid", "fid").distinct()
+    tested = pairs.join(rest.select("sid", "segment_id", "points"), "sid").join(f.select("fid", "es"), "fid").filter(geo.line_meets_polygon(F.col("points"), F.col("es")))
+    return sure.select("segment_id").unionByName(tested.select("segment_id")).distinct()
 
 
 def share_weights(cells: DataFrame, segments: DataFrame, reach: float = 100.0, alpha: float = 1.0) -> DataFrame:
     """A zone's counted grid points (zone_id, x, y, n) shared out to its segments (zone_id, segment_id, points).
 
     A point's count goes to the segments within reach by 1 / (distance + 1); without any, all of it to the nearest of the
-    zone (least id on ties). Each segment has alpha added; weights of a zone add up to 1.
+    zone (least id on ties). Each segment has alpha added; weights of a zone add up to 1. Points without finite coordinates
+    count for none; neither they nor a segment without finite points changes what the others get.
     """
     s = segments.select("zone_id", "segment_id", geo.edges(F.col("points")).alias("es"), geo.bounds(F.col("points")).alias("box"))
+    whole_box = geo.finite(*[F.col(f"box.{c}") for c in ("x0", "y0", "x1", "y1")])
     s = materialise(s, "weight-segments")
     at = F.struct(F.col("x").alias("x0"), F.col("y").alias("y0"), F.col("x").alias("x1"), F.col("y").alias("y1"))
-    c = materialise(cells.groupBy("zone_id", "x", "y").agg(F.sum("n").alias("n")).filter("x IS NOT NULL AND y IS NOT NULL"), "weight-points")
+    c = materialise(cells.groupBy("zone_id", "x", "y").agg(F.sum("n").alias("n")).filter(geo.finite(F.col("x"), F.col("y"))), "weight-points")
     point = ["zone_id", "x", "y"]
 
     def met(points: DataFrame, size: float) -> DataFrame:
-        near = _cell_rows(points, at, size, size).join(_cell_rows(s, F.col("box"), 0.0, size).select("zone_id", "segment_id", "es", "_cx", "_cy"), ["zone_id", "_cx", "_cy"])
+        near = _cell_rows(points, at, size, size).join(_cell_rows(s.filter(whole_box), F.col("box"), 0.0, size).select("zone_id", "segment_id", "es", "_cx", "_cy"), ["zone_id", "_cx", "_cy"])
         d = geo.edges_point_distance(F.col("es"), F.col("x"), F.col("y"))
         return near.dropDuplicates([*point, "segment_id"]).select(*point, "n", "segment_id", d.alias("d")).filter(F.col("d") <= size)
 
@@ -122,7 +170,7 @@ def share_weights(cells: DataFrame, segments: DataFrame, reach: float = 100.0, a
     whole = pull.groupBy(*point).agg(F.sum("w").alias("all"))
     shares = [pull.join(whole, point).select("zone_id", "segment_id", (F.col("n") * F.col("w") / F.col("all")).alias("share"))]
     left, size = materialise(c.join(whole, point, "left_anti"), "weight-left"), reach * 4
-    widest = _extent(left.select(at.alias("box")).unionByName(s.select("box")))
+    widest = _extent(left.select(at.alias("box")).unionByName(s.filter(whole_box).select("box")))
     while not left.isEmpty() and size <= 8 * widest:
         nearest = met(left, size).groupBy(*point).agg(F.min(F.struct("d", "segment_id")).alias("m"), F.any_value("n").alias("n"))
         nearest = materialise(nearest.select(*point, F.col("m.segment_id").alias("segment_id"), F.col("n").cast("double").alias("share")), "weight-nearest")

@@ -1,3 +1,4 @@
+import re
 from datetime import date, timedelta
 from datetime import datetime as dt
 
@@ -190,3 +191,25 @@ def test_cache_and_export(spark, rows, tmp_path):
     m = rows("k string, v double", ("0800", 1.0)).select(F.map_from_entries(F.array(F.struct("k", "v"))).alias("m"))
     store.export_json(m, str(tmp_path / "j"))
     assert spark.read.text(str(tmp_path / "j")).first()[0] == '{"m":{"0800":1.0}}'
+
+
+@pytest.mark.parametrize("few", [0, 200])
+def test_patterns_in_any_case_and_of_any_length(spark, rows, few):
+    streets = ["Bridge St", "BRIDGE", "ridge", "a", "", "Éa", "éA", "x.y", "xzy", "tunnel road", "TUNNEL ROAD", "(odd)"]
+    pats = ["bridge", "A", "ea", "éa", "x.y", "nel r", "^tun", "tunnel road and more", "(odd|even)", "idg", "BR"]
+    s = rows("segment_id string, street_name string", *[(str(i), t) for i, t in enumerate([*streets, None, "BRIDGE"])])
+    f = rows("ordinal int, facility_key string, street_contains string", *[(i, f"f{i}", p) for i, p in enumerate(pats)], (99, "none", None))
+    got = {(r.segment_id, r.facility_key, r.ordinal) for r in tolls.match_facilities(s, f, few=max(few, 4)).collect()}
+    want = {(str(i), f"f{k}", k) for i, t in enumerate([*streets, "", "BRIDGE"]) for k, p in enumerate(pats) if i != 12 and re.search(p, t, re.IGNORECASE | re.ASCII)}
+    assert got == want
+
+
+def test_many_patterns_need_no_nested_loop(spark):
+    streets = spark.range(2000).select(F.col("id").cast("string").alias("segment_id"), F.concat(F.lit("Street no. "), F.col("id") * 37 % 5000, F.lit(" West")).alias("street_name"))
+    f = spark.range(100_000).select(F.col("id").cast("int").alias("ordinal"), F.concat(F.lit("f"), "id").alias("facility_key"), F.concat(F.lit("NO- "), F.col("id"), F.lit(" w")).alias("street_contains"))
+    f = f.withColumn("street_contains", F.translate("street_contains", "-", "")).withColumn("street_contains", F.regexp_replace("street_contains", "^NO ", " "))
+    out = tolls.match_facilities(streets, f)
+    got = {(r.segment_id, r.ordinal) for r in out.collect()}
+    assert got == {(str(i), i * 37 % 5000) for i in range(2000)}
+    with pytest.raises(ValueError, match="regular-expression"):
+        tolls.match_facilities(streets, f.withColumn("street_contains", F.concat("street_contains", F.lit("+"))))

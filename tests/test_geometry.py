@@ -1,3 +1,4 @@
+import random
 import pytest
 from pyspark.sql import functions as F
 
@@ -55,3 +56,63 @@ def test_midpoint_and_link_points(rows):
     assert (r[0].m.x, r[0].m.y) == (2, 1) and (r[1].m.x, r[1].m.y) == (1, 1)
     assert len(r[0].l) == 2 and r[1].l is None
     assert r[0].t == "40.7000000,-73.9000000 40.8000000,-73.8000000"
+
+
+def test_points_without_finite_coordinates_leave_the_others_alone(rows):
+    """NaN, infinite and null coordinates get no zone; the others keep their nearest one."""
+    nan, inf = float("nan"), float("inf")
+    p = rows("segment_id string, x double, y double", ("a", 5.5, 0.5), ("b", 9.0, 9.0), ("c", 0.5, 0.5), ("n", nan, 1.0), ("i", inf, 0.0), ("j", 0.0, -inf), ("z", None, 1.0))
+    got = {r.segment_id: (r.zone_id, r.mapping_method) for r in spatial.points_to_zones(p, squares(rows, (0, 0), (1, 5)), cell=0.25).collect()}
+    assert set(got) == {"a", "b", "c"} and got["c"][1] == "contains" and got["b"][1] == "nearest"
+
+
+def test_weights_with_a_point_that_is_nowhere(rows):
+    cells = rows("zone_id int, x double, y double, n long", (1, 0.0, 50.0, 5), (1, float("nan"), 0.0, 9), (1, float("inf"), 0.0, 9), (1, None, 0.0, 9))
+    segs = rows("zone_id int, segment_id string, w string", (1, "a", "LINESTRING (0 0, 1 0)"), (1, "b", "LINESTRING (0 900, 1 900)")).select("zone_id", "segment_id", geo.wkt_points(F.col("w")).alias("points"))
+    for reach in (10.0, 100.0):  # beyond reach and within it
+        got = {r.segment_id: r.weight for r in spatial.share_weights(cells, segs, reach=reach).collect()}
+        assert got == {"a": pytest.approx(6 / 7), "b": pytest.approx(1 / 7)}
+
+
+def test_zones_of_unlike_sizes_need_few_cells(spark):
+    """A zone has four cells at most at the level of its size, a millionth of a unit wide or a million."""
+    size = 10.0 ** (F.col("id") % 13 - 6)
+    z = spark.range(400).select(size.alias("s"), (F.rand(1) * 1e5 - 5e4).alias("x"), (F.rand(2) * 1e5 - 5e4).alias("y"))
+    box = F.struct(F.col("x").alias("x0"), F.col("y").alias("y0"), (F.col("x") + F.col("s")).alias("x1"), (F.col("y") + F.col("s") / 3).alias("y1"))
+    n = z.select(box.alias("box"), geo.level_of(F.col("s")).alias("level")).select(F.size(geo.level_cells(F.col("box"), 0.0, F.col("level"))).alias("n")).agg(F.max("n")).first()[0]
+    assert n <= 6
+
+
+def plain_fence(lines, polygons):
+    def inside(x, y, ring):
+        on = any(min((x - ax) * (bx - ax) + (y - ay) * (by - ay), 1) is not None and abs((bx - ax) * (y - ay) - (by - ay) * (x - ax)) < 1e-12 and min(ax, bx) <= x <= max(ax, bx) and min(ay, by) <= y <= max(ay, by) for (ax, ay), (bx, by) in zip(ring, ring[1:], strict=False))
+        odd = sum((ay > y) != (by > y) and x < ax + (y - ay) * (bx - ax) / (by - ay) for (ax, ay), (bx, by) in zip(ring, ring[1:], strict=False)) % 2
+        return on or odd
+
+    def cross(p, q, r, s):
+        t = lambda a, b, c: (b[0] - a[0]) * (c[1] - a[1]) - (b[1] - a[1]) * (c[0] - a[0])
+        return t(p, q, r) * t(p, q, s) <= 0 and t(r, s, p) * t(r, s, q) <= 0
+
+    return {i for i, line in lines.items() for ring in polygons if any(inside(*v, ring) for v in line) or any(cross(a, b, c, d) for a, b in zip(line, line[1:], strict=False) for c, d in zip(ring, ring[1:], strict=False))}
+
+
+def test_a_fence_of_many_polygons(spark, rows):
+    """Equal to comparing all pairs; polygons from a hundredth to hundreds of units wide, and no nested loop in the plan."""
+    rng = random.Random(3)
+    polygons = []
+    for k in range(60):
+        x, y, s = rng.uniform(0, 1000), rng.uniform(0, 1000), 10 ** rng.uniform(-2, 2.4 if k < 3 else 1.3)
+        ring = [(x, y), (x + s, y + s / 7), (x + s * 0.9, y + s), (x + s / 2, y + s / 2), (x, y + s)]
+        polygons.append([*ring, ring[0]])
+    lines = {f"s{k}": [(rng.uniform(0, 1000), rng.uniform(0, 1000))] for k in range(40)}
+    for k in range(300):
+        x, y = rng.uniform(0, 1000), rng.uniform(0, 1000)
+        lines[f"l{k}"] = [(x, y)] + [(x + rng.gauss(0, 25), y + rng.gauss(0, 25)) for _ in range(rng.randrange(1, 4))]
+    wkt = lambda pts: ", ".join(f"{a!r} {b!r}" for a, b in pts)
+    s = rows("segment_id string, points array<struct<x:double,y:double>>", *lines.items(), ("none", None), ("empty", []), ("nan", [(float("nan"), 1.0), (500.0, 500.0)]))
+    f = rows("w string", *[(f"POLYGON (({wkt(p)}))",) for p in polygons]).select(geo.wkt_parts(F.col("w")).alias("parts"))
+    out = spatial.segments_in_fence(s, f)
+    assert {r.segment_id for r in out.collect()} == plain_fence(lines, polygons)
+    many = spark.range(10_000).select(F.array(F.transform(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in ((0, 0), (1, 0), (1, 1), (0, 0))]), lambda c: geo.point(F.col("id") * 3.0 + c["a"], F.col("id") * 3.0 + c["b"]))).alias("parts"))
+    out = spatial.segments_in_fence(s, many)
+    assert out.count() < 60 and "NestedLoop" not in out._jdf.queryExecution().executedPlan().toString()
