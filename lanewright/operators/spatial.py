@@ -190,10 +190,19 @@ def percentile_ranks(df: DataFrame, value: str) -> DataFrame:
 
 
 def within_hops(edges: DataFrame, start: DataFrame, hops: int = 3) -> DataFrame:
-    """(segment_id) starts over an edge list (a, b, both ways) to (segment_id, other, hop): least number of hops up to ``hops``."""
-    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    seen = step = start.select("segment_id", F.col("segment_id").alias("other"), F.lit(0).alias("hop"))
+    """(segment_id) starts over an edge list (a, b, both ways) to (segment_id, other, hop): least number of hops up to ``hops``.
+
+    A hop goes on from the pairs that the hop before found and that no earlier one had, so no walk is followed twice; it ends
+    where nothing new is found. A start is at hop 0 of itself and isn't returned.
+    """
+    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b").distinct()
+    both = materialise(both, "hop-edges")
+    step = start.select("segment_id", F.col("segment_id").alias("other"), F.lit(0).alias("hop")).distinct()
+    seen = step = materialise(step, "hop-0")
     for h in range(1, hops + 1):
-        step = step.join(both, F.col("other") == F.col("a")).select("segment_id", F.col("b").alias("other"), F.lit(h).alias("hop")).distinct()
+        met = step.join(both, F.col("other") == F.col("a")).select("segment_id", F.col("b").alias("other")).distinct()
+        step = materialise(met.join(seen, ["segment_id", "other"], "left_anti").withColumn("hop", F.lit(h)), f"hop-{h}")
+        if step.isEmpty():
+            break
         seen = seen.unionByName(step)
-    return seen.groupBy("segment_id", "other").agg(F.min("hop").alias("hop")).filter("hop > 0")
+    return seen.filter("hop > 0")

@@ -52,15 +52,25 @@ _RINGS = "array<array<array<double>>>"
 
 
 def read_geojson(spark: SparkSession, path: str) -> DataFrame:
-    """Polygons (feature, parts) of a FeatureCollection; another type or no features is an error."""
-    schema = f"type string, features array<struct<properties:map<string,string>,geometry:struct<type:string,coordinates:{_RINGS}>>>"
+    """Areas (feature, properties, parts) of a FeatureCollection; another type or no features is an error.
+
+    The rings of a MultiPolygon's polygons are parts of one area. A feature that is no area, or has no geometry, is an error
+    too: none is left out in silence.
+    """
+    schema = "type string, features array<struct<properties:map<string,string>,geometry:struct<type:string,coordinates:string>>>"
     raw = spark.read.schema(schema).option("multiLine", True).json(path)
     bad = raw.filter((F.coalesce("type", F.lit("")) != "FeatureCollection") | (F.coalesce(F.size("features"), F.lit(0)) < 1))
     if raw.isEmpty() or not bad.isEmpty():
         raise QualityError("not a FeatureCollection with features")
-    f = raw.select(F.posexplode("features").alias("feature", "f")).filter("f.geometry.type = 'Polygon'")
-    ring = F.transform("f.geometry.coordinates", lambda r: F.transform(r, lambda p: geo.point(F.get(p, F.lit(0)), F.get(p, F.lit(1)))))
-    return f.select("feature", "f.properties", ring.alias("parts"))
+    f = raw.select(F.posexplode("features").alias("feature", "f"))
+    kind = F.coalesce("f.geometry.type", F.lit("none"))
+    if other := sorted(r[0] for r in f.select(kind.alias("kind")).filter(~F.col("kind").isin("Polygon", "MultiPolygon")).distinct().limit(20).collect()):
+        raise QualityError(f"features that are no areas: {other}")
+    text = F.col("f.geometry.coordinates")
+    rings = F.when(kind == "Polygon", F.from_json(text, _RINGS)).otherwise(F.flatten(F.from_json(text, f"array<{_RINGS}>")))
+    f = f.select("feature", "f.properties", rings.alias("rings"))
+    parts = F.transform("rings", lambda r: F.transform(r, lambda p: geo.point(F.get(p, F.lit(0)), F.get(p, F.lit(1)))))
+    return f.select("feature", "properties", parts.alias("parts"))
 
 
 def read_config_map(spark: SparkSession, path: str, field: str, key: str, value: str, kind: str) -> DataFrame:

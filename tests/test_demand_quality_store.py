@@ -213,3 +213,33 @@ def test_many_patterns_need_no_nested_loop(spark):
     assert got == {(str(i), i * 37 % 5000) for i in range(2000)}
     with pytest.raises(ValueError, match="regular-expression"):
         tolls.match_facilities(streets, f.withColumn("street_contains", F.concat("street_contains", F.lit("+"))))
+
+
+def test_profiles_of_parts_equal_that_of_the_whole(spark):
+    """Twelve parts of unlike sizes and ranges, merged from stored sketches; nulls and NaN count nowhere."""
+    v = F.when(F.col("id") % 97 == 0, None).when(F.col("id") % 89 == 0, float("nan")).otherwise(F.pow(F.col("id"), F.lit(1.5)))
+    df = spark.range(40_000).select(v.alias("v"), (F.col("id") % 7).alias("w"), F.floor(F.sqrt("id") / 17).alias("part"))
+    sketches = quality.profile_sketches(df, ["v", "w"], ["part"])
+    assert sketches.select("part").distinct().count() == 12
+    got = {r.column_name: r for r in quality.merged_profile(sketches).collect()}
+    values = sorted(r.v for r in df.filter("v IS NOT NULL AND NOT isnan(v)").collect())
+    assert (got["v"].n, got["v"].min, got["v"].max, got["w"].n) == (len(values), values[0], values[-1], 40_000)
+    for name, share in (("p50", 0.5), ("p95", 0.95), ("p99", 0.99)):
+        assert abs(sum(x <= got["v"][name] for x in values) / len(values) - share) <= quality.SKETCH_ERROR
+    assert (got["w"].p50, got["w"].p99) == (3, 6)
+    assert quality.merged_profile(quality.profile_sketches(df.limit(0), ["v"], ["part"])).collect() == []
+
+
+def test_areas_of_several_polygons(spark, tmp_path):
+    square = lambda x: f"[[[{x},0],[{x + 1},0],[{x + 1},1],[{x},0]]]"
+
+    def write(*shapes):
+        features = ",".join(f'{{"type":"Feature","properties":{{"k":"v"}},"geometry":{g}}}' for g in shapes)
+        (tmp_path / "f.json").write_text(f'{{"type":"FeatureCollection","features":[{features}]}}')
+        return readers.read_geojson(spark, str(tmp_path / "f.json"))
+
+    got = write(f'{{"type":"MultiPolygon","coordinates":[{square(0)},{square(5)}]}}', f'{{"type":"Polygon","coordinates":{square(9)}}}').collect()
+    assert [(r.feature, len(r.parts), r.parts[-1][0].x) for r in sorted(got)] == [(0, 2, 5.0), (1, 1, 9.0)]
+    for other in ('{"type":"Point","coordinates":[1,2]}', "null"):
+        with pytest.raises(quality.QualityError, match="no areas"):
+            write(f'{{"type":"Polygon","coordinates":{square(9)}}}', other)

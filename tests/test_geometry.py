@@ -116,3 +116,10 @@ def test_a_fence_of_many_polygons(spark, rows):
     many = spark.range(10_000).select(F.array(F.transform(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in ((0, 0), (1, 0), (1, 1), (0, 0))]), lambda c: geo.point(F.col("id") * 3.0 + c["a"], F.col("id") * 3.0 + c["b"]))).alias("parts"))
     out = spatial.segments_in_fence(s, many)
     assert out.count() < 60 and "NestedLoop" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hops_follow_no_walk_twice(rows):
+    """A ring, a loop and a branch; the ring's far side is reached once, from the nearer way."""
+    e = rows("a int, b int", *[(i, (i + 1) % 6) for i in range(6)], (0, 0), (2, 9), (2, 1))
+    got = {(r.segment_id, r.other): r.hop for r in spatial.within_hops(e, rows("segment_id int", (0,), (0,), (77,)), hops=9).collect()}
+    assert got == {(0, 1): 1, (0, 5): 1, (0, 2): 2, (0, 4): 2, (0, 3): 3, (0, 9): 3}
