@@ -156,6 +156,14 @@ def fastest(totals: DataFrame, *by: str) -> DataFrame:
     return totals.groupBy(*by).agg(F.min(F.struct("seconds", "route_id")).alias("m")).select(*by, "m.route_id", "m.seconds")
 
 
+def value_lists(scored: DataFrame) -> DataFrame:
+    """(route_id, type, values): the values alone, in order; whole numbers for types 1 and 2, which are served as such."""
+    v = F.when(F.col("type").isin(1, 2), half_even(F.col("value"))).otherwise(F.col("value"))
+    legs = scored.groupBy("route_id", "type").agg(F.array_sort(F.collect_list(F.struct("pos", v.alias("value")))).alias("legs"))
+    whole = F.transform("legs.value", lambda x: x.cast("long"))
+    return legs.select("route_id", "type", F.when(F.col("type").isin(1, 2), whole).alias("whole_values"), F.when(~F.coalesce(F.col("type").isin(1, 2), F.lit(False)), F.col("legs.value")).alias("values"))
+
+
 def distinct_in_order(requests: DataFrame) -> DataFrame:
     """Each route's segments without repeats, at the position where they first came."""
     return requests.groupBy("route_id", "segment_id").agg(F.min("pos").alias("pos"))
