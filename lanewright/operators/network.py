@@ -15,6 +15,7 @@ NETWORK_COLUMNS = {
     "SegmentID": "segment_id", "Street": "street_name", "SHAPE_Length": "length_ft", "LBoro": "borough_code", "NodeIDFrom": "node_from",
     "NodeIDTo": "node_to", "SHAPE": "geometry", "POSTED_SPEED": "speed_limit", "Number_Travel_Lanes": "lanes",
 }
+BOROUGHS = ["1", "2", "3", "4", "5", ""]
 NUMBERS = {"length_ft": "double", "speed_limit": "int", "lanes": "int"}
 
 
@@ -49,6 +50,22 @@ def flag_network(df: DataFrame) -> DataFrame:
     return df.withColumn(SUSPECT, network_suspect(df.columns))
 
 
+def network_violations(network: DataFrame, rows: tuple[int, int], suspect_limit: float) -> DataFrame:
+    """Rows (rule, n) with n > 0 for each broken rule of a flagged network: ids, boroughs (blank is one), size, share of suspects.
+
+    An unknown (null) borough is none of the listed ones and isn't counted; suspects count only beyond the limit.
+    """
+    one = network.agg(
+        F.count_if(F.col("segment_id").isNull()).alias("null_ids"), F.count_if(~F.col("borough_code").isin(BOROUGHS)).alias("unknown_boroughs"),
+        F.count_if(F.col(SUSPECT)).alias("flagged"), F.count("*").alias("rows"),
+    )
+    keys = network.filter("segment_id IS NOT NULL").groupBy("segment_id").agg(F.count("*").alias("n")).agg(F.count_if(F.col("n") > 1).alias("repeated_ids"))
+    off = F.greatest(F.lit(rows[0]) - F.col("rows"), F.col("rows") - F.lit(rows[1]), F.lit(0))
+    all_ = one.crossJoin(keys).withColumns({"row_count_off": off, "suspects": F.when(F.col("flagged") > F.col("rows") * suspect_limit, F.col("flagged")).otherwise(0)})
+    rules = ["null_ids", "repeated_ids", "unknown_boroughs", "row_count_off", "suspects"]
+    return all_.select(*[F.col(r).cast("long").alias(r) for r in rules]).unpivot([], rules, "rule", "n").filter("n > 0")
+
+
 def positive_lengths(network: DataFrame) -> DataFrame:
     return network.filter(F.col("length_ft") > 0).select("segment_id", "length_ft")
 

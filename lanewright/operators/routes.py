@@ -27,6 +27,8 @@ LEGACY = {
     4: {"rds:segment_value": "rds", "rds:implicit_zero": "rds", "s3_snapshot:segment_value": "snapshot"},
 }
 STATIC = "code:static_default"
+#: Sources of values, best first.
+TIERS = ["fresh", "avg", "rds", "global", "snapshot", "hardcoded"]
 
 
 def valid_request(segments: Column, kind: Column, date: Column, time: Column) -> Column:

@@ -84,6 +84,37 @@ def flag_mapping(mapping: DataFrame) -> DataFrame:
     return mapping.withColumn(SUSPECT, F.col("mapping_method") == "nearest")
 
 
+METHODS = ["contains", "nearest"]
+
+
+def mapping_violations(mapping: DataFrame, segments: DataFrame, zone_range: tuple[int, int], suspect_limit: float) -> DataFrame:
+    """Rows (rule, n) with n > 0 for each broken rule of a flagged mapping: one row for each segment and for no other id, zones
+    within their range, known methods, and the share of suspects, which count only beyond the limit."""
+    one = mapping.agg(
+        F.count_if(F.col("segment_id").isNull()).alias("null_segments"), F.count_if(F.col("zone_id").isNull()).alias("null_zones"),
+        F.count_if(~F.col("zone_id").between(*zone_range)).alias("zones_out_of_range"), F.count_if(~F.coalesce(F.col("mapping_method").isin(METHODS), F.lit(False))).alias("unknown_methods"),
+        F.count_if(F.col(SUSPECT)).alias("flagged"), F.count("*").alias("rows"),
+    )
+    # each id with its rows on either side: repeats and both differences come from one grouping
+    want = segments.select(F.col("segment_id").cast("string").alias("id")).distinct().withColumns({"want": F.lit(1), "got": F.lit(0)})
+    have = mapping.filter("segment_id IS NOT NULL").select(F.col("segment_id").cast("string").alias("id"), F.lit(0).alias("want"), F.lit(1).alias("got"))
+    ids = want.unionByName(have).groupBy("id").agg(F.sum("want").alias("want"), F.sum("got").alias("got"))
+    ids = ids.agg(F.count_if(F.col("got") > 1).alias("repeated_segments"), F.count_if(F.col("got") == 0).alias("missing_segments"), F.count_if(F.col("want") == 0).alias("extra_segments"))
+    all_ = one.crossJoin(ids).withColumn("suspects", F.when(F.col("flagged") > F.col("rows") * suspect_limit, F.col("flagged")).otherwise(0))
+    rules = ["null_segments", "repeated_segments", "missing_segments", "extra_segments", "null_zones", "zones_out_of_range", "unknown_methods", "suspects"]
+    return all_.select(*[F.col(r).cast("long").alias(r) for r in rules]).unpivot([], rules, "rule", "n").filter("n > 0")
+
+
+def zone_violations(zones: DataFrame, polygons: tuple[int, int]) -> DataFrame:
+    """Rows (rule, n) with n > 0: the number of zones outside its range, zones without an id, without a border, with an open ring."""
+    closed = F.forall("parts", lambda r: (F.size(r) >= 4) & (F.get(r, F.lit(0)) == F.element_at(r, -1)))
+    bare = F.col("parts").isNull() | (F.size("parts") == 0)
+    one = zones.agg(F.count_if(F.col("zone_id").isNull()).alias("null_ids"), F.count_if(bare).alias("without_border"), F.count_if(~bare & ~F.coalesce(closed, F.lit(False))).alias("open_rings"), F.count("*").alias("rows"))
+    off = F.greatest(F.lit(polygons[0]) - F.col("rows"), F.col("rows") - F.lit(polygons[1]), F.lit(0))
+    rules = ["null_ids", "without_border", "open_rings", "count_off"]
+    return one.withColumn("count_off", off).select(*[F.col(r).cast("long").alias(r) for r in rules]).unpivot([], rules, "rule", "n").filter("n > 0")
+
+
 def links_to_segments(links: DataFrame, segments: DataFrame, near: float = NEAR_FEET, far: float = FAR_FEET, warn: float = WARN_FEET) -> DataFrame:
     """(link_id, points) and (segment_id, points) to (link_id, segment_id, distance_ft, mapping_method, far_match).
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lanewright.functions import geometry as geo
 from lanewright.functions.values import half_even
 from lanewright.operators import demand, digests, network, quality, routes, spatial, store, tolls, traveltime, trips
+from lanewright.scratch import materialise
 from lanewright.sources import selection
 
 # Largest share of suspect rows that still passes, by domain, and of conflicting duplicate keys.
@@ -23,9 +24,19 @@ def gate(df: DataFrame, domain: str, metric: str = "suspect_ratio") -> DataFrame
     return record
 
 
+def stop(violations: DataFrame, what: str) -> None:
+    """Raise with the rules that are broken (a row each, so few)."""
+    if bad := violations.collect():
+        raise quality.QualityError(f"{what}: {[tuple(r) for r in bad]}")
+
+
 def travel_time(spark: SparkSession, raw: DataFrame, mapping: DataFrame, lengths: DataFrame, table: str, today: str) -> DataFrame:
-    """Feed to served table: clean, fan out, drop slow, weight, convert, check, merge, publish. Returns the snapshot rows."""
-    readings = traveltime.drop_slow(traveltime.fan_out(traveltime.clean_readings(raw), mapping))
+    """Feed to served table: clean, fan out, drop slow, weight, convert, check, merge, publish. Returns the snapshot rows.
+
+    A reading whose time can't be read belongs to no slot and is left out.
+    """
+    timed = traveltime.clean_readings(raw).filter("observed_at IS NOT NULL")
+    readings = traveltime.drop_slow(traveltime.fan_out(timed, mapping))
     slots = traveltime.slot_seconds(readings, lengths)
     if not traveltime.not_positive(slots).isEmpty():
         raise quality.QualityError("travel times must be positive")
@@ -72,31 +83,51 @@ def daily_cube(spark: SparkSession, silver: DataFrame, month: str, zones: DataFr
     """A month's grid staged, checked and moved into the live partitions."""
     store.write_partitions(demand.daily_grid(demand.valid_pickups(silver, month=month), zones), stage)
     staged = spark.read.option("basePath", stage).parquet(stage)
-    if not (bad := demand.cube_violations(staged, month, zones)).isEmpty():
-        raise quality.QualityError(f"{month}: {bad.collect()}")
+    stop(demand.cube_violations(staged, month, zones), month)
     store.write_partitions(staged, live, dynamic=True)
     store.remove(spark, stage)
 
 
-def rolling_publish(spark: SparkSession, live: str, mapping: DataFrame, weeks: int, table: str, state: str) -> bool:
-    """Weekday means expanded and published if the window or the mapping changed; the state row is written last."""
-    daily = spark.read.option("basePath", live).parquet(live)
+def monthly_cubes(spark: SparkSession, manifest: DataFrame, kinds: DataFrame, silver: DataFrame, zones: DataFrame, stage: str, live: str, done: DataFrame | None = None) -> list[str]:
+    """The cube of each month whose inputs of all kinds are there and that isn't done yet; the other months wait. What was built.
+
+    ``manifest`` and ``kinds`` as in ``selection.complete_months``, ``done`` (month). Each month is staged in a folder of its own.
+    """
+    ready = selection.complete_months(manifest, kinds).filter("ready").select("month")
+    months = [r.month for r in (ready if done is None else selection.not_done(ready, done, "month")).orderBy("month").collect()]  # a row a month
+    for month in months:
+        daily_cube(spark, silver, month, zones, f"{stage}/{month}", live)
+    return months
+
+
+def _rolling_plan(daily: DataFrame, mapping: DataFrame, weeks: int) -> tuple[dict, DataFrame]:
+    """What a rolling publication rests on, as control values, and the rows of its window."""
     w = demand.latest_dates(daily, 7 * weeks).first()
     plan = {"window_end": str(w.window_end), "mapping_hash": digests.version_of(mapping, ["segment_id"], ["segment_id", "zone_id"])}
+    return plan, daily.filter(F.col("date").between(F.lit(w.window_start), F.lit(w.window_end)))
+
+
+def rolling_publish(spark: SparkSession, live: str, mapping: DataFrame, weeks: int, table: str, state: str, export: str | None = None) -> bool:
+    """Weekday means expanded, published and exported if the window or the mapping changed; the state row is written last.
+
+    An empty mapping is refused before anything is made. The window's rows and the mapping are copied first and the plan is made
+    again from the copies: what agrees with the plan and what is published are the same rows, whatever lands meanwhile. A run that
+    fails on the way has no state row and is repeated whole.
+    """
+    if mapping.isEmpty():
+        raise quality.QualityError("the mapping is empty")
+    plan, window = _rolling_plan(spark.read.option("basePath", live).parquet(live), mapping, weeks)
     if not store.publish_needed(store.read_state(spark, state), **plan):
         return False
-    rolled = demand.weekday_means(daily, weeks)
+    window, mapping = materialise(window, "window"), materialise(mapping.select("segment_id", "zone_id"), "mapping")
+    store.same_plan(plan, _rolling_plan(window, mapping, weeks)[0])
+    rolled = materialise(demand.weekday_means(window, weeks), "weekday-means")  # checked, expanded and exported
     if not demand.sample_gate(rolled, weeks).first().ok or not demand.bad_means(rolled).isEmpty():
         raise quality.QualityError("weekday means are incomplete")
-
-    def check(written: DataFrame) -> None:
-        if not (bad := demand.segment_violations(written, mapping)).isEmpty():
-            raise quality.QualityError(f"segment values: {bad.collect()}")
-
-    # the inputs must still be those that the plan was made of
-    again = demand.latest_dates(spark.read.option("basePath", live).parquet(live), 7 * weeks).first()
-    store.same_plan(plan, {"window_end": str(again.window_end), "mapping_hash": digests.version_of(mapping, ["segment_id"], ["segment_id", "zone_id"])})
-    store.publish(store.replacement(demand.expand_to_segments(rolled, mapping)), table, check)
+    values = store.replacement(demand.expand_to_segments(rolled, mapping))
+    store.publish(values, table, lambda written: stop(demand.segment_violations(written, mapping), "segment values"))
+    if export is not None:
+        store.export_json(demand.demand_snapshot(rolled), export)
     store.write_state(spark, state, status="published", **plan)
     return True
 
@@ -118,39 +149,29 @@ def network_dimension(spark: SparkSession, raw: DataFrame, table: str, rows: tup
     if quality.duplicate_profile(clean, ["segment_id"], rest).first().conflict_ratio > CONFLICT_LIMIT:
         raise quality.QualityError("duplicate segments disagree")
     flagged = network.flag_network(network.first_of(clean, ["segment_id"], rest))
-
-    def check(written: DataFrame) -> None:
-        gate(written, "network")
-        quality.require(quality.expectation_report(written, [quality.row_count(*rows), quality.not_null("segment_id"), quality.is_in("borough_code", ["1", "2", "3", "4", "5", ""])]), what="network")
-
-    store.publish(flagged, table, check)
+    limit = SUSPECT_LIMITS["network"]
+    store.publish(flagged, table, lambda written: stop(network.network_violations(written, rows, limit), "network"))
     return store.current(spark, table)
 
 
 def zone_mapping(spark: SparkSession, segments: DataFrame, zones: DataFrame, table: str, state: str, cell: float, polygons: tuple[int, int] = (1, 10_000)) -> DataFrame:
     """Segments mapped to zones, checked, published; the version marker is written only then."""
-    quality.require(quality.expectation_report(zones, [quality.row_count(*polygons), quality.not_null("zone_id")]), what="zones")
+    stop(spatial.zone_violations(zones, polygons), "zones")
     if not quality.duplicate_keys(segments, "segment_id").isEmpty() or not segments.filter("geometry IS NULL").isEmpty():
         raise quality.QualityError("segments repeat or lack a geometry")
     mapping = spatial.flag_mapping(spatial.segments_to_zones(segments, zones, cell))
-    want = segments.count()
-
-    def check(written: DataFrame) -> None:
-        gate(written, "mapping")
-        checks = [quality.row_count(want, want), quality.distinct_count("segment_id", want, want), quality.between("zone_id", *demand.ZONES), quality.not_null("zone_id"), quality.is_in("mapping_method", ["contains", "nearest"])]
-        quality.require(quality.expectation_report(written, checks), what="mapping")
-
-    store.publish(mapping, table, check)
+    limit = SUSPECT_LIMITS["mapping"]
+    store.publish(mapping, table, lambda written: stop(spatial.mapping_violations(written, segments, demand.ZONES, limit), "mapping"))
+    mapping = store.current(spark, table)
     store.write_state(spark, state, version=digests.version_of(mapping, ["segment_id"], ["segment_id", "zone_id"]))
-    return store.current(spark, table)
+    return mapping
 
 
 def toll_table(spark: SparkSession, segments: DataFrame, fence: DataFrame, facilities: DataFrame, rates: DataFrame, flat_rate: float, table: str) -> DataFrame:
     members = spatial.segments_in_fence(segments.select("segment_id", geo.wkt_points(F.col("geometry")).alias("points")), fence)
     matches = tolls.match_facilities(segments.select("segment_id", "street_name"), facilities)
-    for what, m, keys, known in (("facilities", matches, ["segment_id", "facility_key"], facilities), ("fence", members, ["segment_id"], None)):
-        if not (bad := tolls.mapping_violations(m, keys, known)).isEmpty():
-            raise quality.QualityError(f"{what}: {bad.collect()}")
+    stop(tolls.mapping_violations(matches, ["segment_id", "facility_key"], facilities), "facilities")
+    stop(tolls.mapping_violations(members, ["segment_id"]), "fence")
     store.publish(store.replacement(tolls.toll_values(matches, rates, members, flat_rate)), table)
     return store.current(spark, table)
 
@@ -181,4 +202,13 @@ def score_routes(routes_df: DataFrame, slots: DataFrame, lengths: DataFrame, val
     ok = routes.valid_request(F.col("segments"), F.col("type"), F.col("date"), F.col("time"))
     rows = routes_df.withColumn("type", F.when(ok, F.col("type"))).select("route_id", "type", "date", "time", F.posexplode("segments").alias("pos", "segment_id"))
     scored = routes.score(rows.withColumn("pos", F.col("pos").cast("long")), slots, lengths, values, mapping, zone_values, toll_df, as_of)
-    return scored, routes.tier_summary(scored, ["fresh", "avg", "rds", "global", "snapshot", "hardcoded"])
+    return scored, routes.tier_summary(scored, routes.TIERS)
+
+
+def route_values(spark: SparkSession, *request_and_tables) -> tuple[DataFrame, DataFrame]:
+    """As ``score_routes``, with the values alone: (a list per route, whole numbers for types 1 and 2; tier summary).
+
+    The scores are written once: the lists and the summary are made of the same rows.
+    """
+    scored = materialise(score_routes(*request_and_tables)[0], "scores")
+    return routes.value_lists(scored), routes.tier_summary(scored, routes.TIERS)
