@@ -832,4 +832,4 @@ def stream_drop_repeats(spark: SparkSession, d: str) -> DataFrame:
 
 
 # further queries register themselves here; they use the names above
-from lanewright.plans import job_queries, route_queries, stream_queries, table_queries  # noqa: E402, F401
+from lanewright.plans import contract_queries, job_queries, route_queries, stream_queries, table_queries  # noqa: E402, F401
