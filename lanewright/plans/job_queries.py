@@ -39,7 +39,7 @@ LOOKS = ["2024-01-10", "2024-01-20", "2024-02-10"]
  k AS (SELECT *, CASE WHEN seen < TIMESTAMP '{LOOKS[0]}' THEN 0 WHEN seen < TIMESTAMP '{LOOKS[1]}' THEN 1 ELSE 2 END AS batch FROM t WHERE seen > (SELECT max(seen) - INTERVAL 6 HOUR FROM t WHERE seen < TIMESTAMP '{LOOKS[0]}')),
  b AS (SELECT batch, time_bucket(INTERVAL 30 MINUTE, seen) AS bucket, segment_id FROM k), every AS (SELECT segment_id, CASE WHEN speed_limit > 0 THEN speed_limit ELSE 25 END AS ref, batch, bucket FROM network, (SELECT DISTINCT batch, bucket FROM b)),
  made AS (SELECT batch, segment_id, greatest(1.0, ref * (0.3 + CAST('0x' || substr(md5(segment_id || '|' || strftime(bucket, '%Y-%m-%d %H:%M:%S')), 1, 5) AS BIGINT) / 1048576.0)) AS speed FROM every WHERE (bucket, segment_id) NOT IN (SELECT (bucket, segment_id) FROM b))
- SELECT batch, segment_id, false AS synthetic, count(*) AS readings, round(avg(speed), 4) AS speed FROM k GROUP BY ALL UNION ALL SELECT batch, segment_id, true, count(*), round(avg(speed), 4) FROM made GROUP BY ALL""")
+ SELECT batch, segment_id, false AS synthetic, count(*) AS readings, round(sum(speed), 4) AS speeds FROM k GROUP BY ALL UNION ALL SELECT batch, segment_id, true, count(*), round(sum(speed), 4) FROM made GROUP BY ALL""")
 def job_reading_intake(spark: SparkSession, d: str) -> DataFrame:
     """Three looks at a growing feed. Each is tried first with a feed of bad speeds, which is refused and leaves the marker."""
     feed, net = materialise(inp.raw_feed(spark, d), "feed"), inp.network(spark, d)
@@ -53,7 +53,7 @@ def job_reading_intake(spark: SparkSession, d: str) -> DataFrame:
             jobs.intake_readings(spark, now, net, columns, marker, out, "2024-02-10")
         else:
             raise AssertionError("a feed of bad speeds was taken")
-    return store.batches(spark, out).groupBy("batch", "segment_id", "synthetic").agg(F.count("*").alias("readings"), F.round(F.avg("speed"), 4).alias("speed"))
+    return store.batches(spark, out).groupBy("batch", "segment_id", "synthetic").agg(F.count("*").alias("readings"), F.round(F.sum("speed"), 4).alias("speeds"))
 
 
 # trips and demand

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lanewright.functions import geometry as geo
 from lanewright.functions.values import half_even
 from lanewright.operators import demand, digests, network, quality, routes, spatial, store, tolls, traveltime, trips
-from lanewright.scratch import materialise
+from lanewright.scratch import leaves_no_scratch, materialise
 from lanewright.sources import selection
 
 # Largest share of suspect rows that still passes, by domain, and of conflicting duplicate keys.
@@ -30,6 +30,7 @@ def stop(violations: DataFrame, what: str) -> None:
         raise quality.QualityError(f"{what}: {[tuple(r) for r in bad]}")
 
 
+@leaves_no_scratch
 def travel_time(spark: SparkSession, raw: DataFrame, mapping: DataFrame, lengths: DataFrame, table: str, today: str) -> DataFrame:
     """Feed to served table: clean, fan out, drop slow, weight, convert, check, merge, publish. Returns the snapshot rows.
 
@@ -48,6 +49,7 @@ def travel_time(spark: SparkSession, raw: DataFrame, mapping: DataFrame, lengths
     return traveltime.snapshot_rows(store.current(spark, table))
 
 
+@leaves_no_scratch
 def intake_readings(spark: SparkSession, source: DataFrame, network_df: DataFrame, required: list[str], marker: str, out: str, now: str) -> bool:
     """New feed rows with gaps filled; a missing column or too many suspect rows leave the marker where it was."""
     if absent := quality.absent_columns(source, required):
@@ -107,6 +109,7 @@ def _rolling_plan(daily: DataFrame, mapping: DataFrame, weeks: int) -> tuple[dic
     return plan, daily.filter(F.col("date").between(F.lit(w.window_start), F.lit(w.window_end)))
 
 
+@leaves_no_scratch
 def rolling_publish(spark: SparkSession, live: str, mapping: DataFrame, weeks: int, table: str, state: str, export: str | None = None) -> bool:
     """Weekday means expanded, published and exported if the window or the mapping changed; the state row is written last.
 
@@ -154,6 +157,7 @@ def network_dimension(spark: SparkSession, raw: DataFrame, table: str, rows: tup
     return store.current(spark, table)
 
 
+@leaves_no_scratch
 def zone_mapping(spark: SparkSession, segments: DataFrame, zones: DataFrame, table: str, state: str, cell: float, polygons: tuple[int, int] = (1, 10_000)) -> DataFrame:
     """Segments mapped to zones, checked, published; the version marker is written only then."""
     stop(spatial.zone_violations(zones, polygons), "zones")
@@ -167,6 +171,7 @@ def zone_mapping(spark: SparkSession, segments: DataFrame, zones: DataFrame, tab
     return mapping
 
 
+@leaves_no_scratch
 def toll_table(spark: SparkSession, segments: DataFrame, fence: DataFrame, facilities: DataFrame, rates: DataFrame, flat_rate: float, table: str) -> DataFrame:
     members = spatial.segments_in_fence(segments.select("segment_id", geo.wkt_points(F.col("geometry")).alias("points")), fence)
     matches = tolls.match_facilities(segments.select("segment_id", "street_name"), facilities)

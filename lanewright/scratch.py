@@ -8,6 +8,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,13 +39,38 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
-def clear_scratch(spark: SparkSession) -> None:
-    """Delete what this session wrote; call it when the results that were built on it have been stored."""
-    while _written:
+def _delete_from(spark: SparkSession, start: int) -> None:
+    while len(_written) > start:
         path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this session wrote; call it when the results that were built on it have been stored."""
+    _delete_from(spark, 0)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Scratch tables written inside are deleted at the end, also after an error; no frame built on them may leave the block."""
+    start = len(_written)
+    try:
+        yield
+    finally:
+        _delete_from(spark, start)
+
+
+def leaves_no_scratch(job: Callable) -> Callable:
+    """For jobs (spark, ...) that store their result and return nothing that rests on scratch tables of theirs."""
+
+    @wraps(job)
+    def run(spark: SparkSession, *args, **kwargs):
+        with scratch_scope(spark):
+            return job(spark, *args, **kwargs)
+
+    return run
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back: the lineage is cut there."""
     spark = df.sparkSession

@@ -5,8 +5,9 @@ from datetime import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from lanewright import scratch
 from lanewright.functions import geometry as geo
-from lanewright.operators import demand, quality, store, tolls, traveltime
+from lanewright.operators import demand, network, quality, spatial, store, tolls, traveltime
 from lanewright.plans import jobs
 from lanewright.sources import selection
 from lanewright.streaming import streams
@@ -163,3 +164,62 @@ def test_route_job(spark, rows):
     scored, tiers = jobs.score_routes(r, empty("segment_id string, time string, value double, avg double, last_sample_at timestamp"), rows("segment_id string, value double", ("a", 9.0), ("GLOBAL", 5.0)), None, empty("segment_id string, zone_id int"), empty("zone_id int, dow string, time string, value double"), empty("segment_id string, value double"), "2026-08-26")
     assert sorted((x.route_id, x.pos, x.value, x.source) for x in scored.collect()) == [(1, 0, 9, "rds"), (1, 1, 5, "global"), (2, 0, 45, "hardcoded")]
     assert {x.route_id: x.terminal_ratio for x in tiers.collect()} == {1: 0, 2: 1}
+
+
+def _live(spark, rows, tmp_path):
+    live = str(tmp_path / "live")
+    t = rows("pickup_datetime timestamp, pickup_location_id int", *[(dt(2026, 2, 1) + timedelta(d), 1) for d in range(28)])
+    jobs.daily_cube(spark, t, "2026-02", rows("zone_id int", (1,)), str(tmp_path / "stage"), live)
+    return live
+
+
+def test_rolling_publish_again_after_it_failed_on_the_way(spark, rows, tmp_path, monkeypatch):
+    live, m = _live(spark, rows, tmp_path), rows("segment_id string, zone_id int", ("a", 1))
+    args = (spark, live, m, 4, *(str(tmp_path / x) for x in ("seg", "state", "export")))
+    with pytest.raises(quality.QualityError):
+        jobs.rolling_publish(spark, live, m.limit(0), *args[3:])
+    with monkeypatch.context() as patch:
+
+        def lost(*_):
+            raise InterruptedError
+
+        patch.setattr(store, "export_json", lost)
+        with pytest.raises(InterruptedError):
+            jobs.rolling_publish(*args)
+    assert store.read_state(spark, args[5]) == {}
+    before = list(scratch._written)
+    assert jobs.rolling_publish(*args) and not jobs.rolling_publish(*args)
+    assert scratch._written == before  # nothing of the runs is left
+    assert spark.read.json(args[6]).count() == 336 and store.current(spark, args[4]).count() == 336
+    bad = rows("segment_id string, zone_id int", ("a", 1), ("a", 1))
+    with pytest.raises(quality.QualityError, match="mapping_repeats"):
+        jobs.rolling_publish(spark, live, bad, *args[3:])
+    assert store.read_state(spark, args[5])["mapping_hash"].startswith("1-")
+
+
+def test_only_ready_months_are_built_once(spark, rows, tmp_path):
+    zones, live = rows("zone_id int", (1,)), str(tmp_path / "live")
+    t = rows("pickup_datetime timestamp, pickup_location_id int", *[(dt(2026, 2, 1) + timedelta(d), 1) for d in range(59)])
+    manifest = rows("month string, kind string, path string, done boolean", ("2026-02", "a", "p", True), ("2026-03", "a", "q", True), ("2026-03", "b", "r", True), ("2026-02", "b", "s", False))
+    kinds = rows("kind string", ("a",), ("b",))
+    assert jobs.monthly_cubes(spark, manifest, kinds, t, zones, str(tmp_path / "stage"), live) == ["2026-03"]
+    assert jobs.monthly_cubes(spark, manifest, kinds, t, zones, str(tmp_path / "stage"), live, rows("month string", ("2026-03",))) == []
+    assert spark.read.parquet(live).select("date").distinct().count() == 31
+
+
+def test_contracts_of_empty_tables(rows):
+    rules = lambda df: {r.rule: r.n for r in df.collect()}
+    assert rules(network.network_violations(rows("segment_id string, borough_code string, is_suspect boolean"), (3, 9), 0.05)) == {"row_count_off": 3}
+    empty = rows("segment_id string, zone_id int, mapping_method string, is_suspect boolean")
+    assert rules(spatial.mapping_violations(empty, rows("segment_id string", ("a",), ("a",), ("b",)), (1, 263), 0.1)) == {"missing_segments": 2}
+    assert rules(spatial.mapping_violations(empty, rows("segment_id string"), (1, 263), 0.1)) == {}
+    assert rules(spatial.zone_violations(rows("zone_id int, parts array<array<struct<x: double, y: double>>>"), (1, 5))) == {"count_off": 1}
+    assert rules(spatial.zone_violations(rows("zone_id int, parts array<array<struct<x: double, y: double>>>", (1, [[]]), (2, None)), (1, 5))) == {"open_rings": 1, "without_border": 1}
+
+
+def test_a_reading_without_a_time_is_in_no_slot(spark, rows, tmp_path):
+    raw = rows("link_id string, speed string, link_points string, data_as_of string", ("l", "30", "1,2 3,4", "2026-08-01 12:34:00"), ("l", "30", "1,2 3,4", "yesterday"))
+    m, n = rows("link_id string, segment_id string", ("l", "a")), rows("segment_id string, length_ft double", ("a", 5280.0))
+    for _ in range(2):
+        jobs.travel_time(spark, raw, m, n, str(tmp_path / "t"), "2026-08-26")
+    assert [r.time for r in store.current(spark, str(tmp_path / "t")).collect()] == ["1230"]
