@@ -155,3 +155,25 @@ def test_clock_and_text(rows):
     ).collect()
     assert tuple(r[0]) == ("00:05", "2330", "MAIN ST", None, 2.0, "0030")
     assert tuple(r[1])[:3] == (None, None, None)
+
+
+def test_the_grid_of_gaps_is_made_and_not_shuffled(rows):
+    """Repeated and null segments, a segment with every bucket, a reading without a time: each bucket without a reading is filled once."""
+    net = rows("segment_id string, speed_limit int", ("a", 40), ("b", 30), ("b", 30), (None, 20))
+    read = rows(READ, ("a", 20.0, dt(2026, 8, 1, 0, 5)), ("a", 21.0, dt(2026, 8, 1, 0, 7)), ("a", 20.0, dt(2026, 8, 1, 0, 40)), ("b", 20.0, dt(2026, 8, 1, 0, 41)), ("b", 9.0, None))
+    out = traveltime.fill_buckets(read, net)
+    made = [(r.segment_id, r.observed_at) for r in out.filter("synthetic").collect()]
+    assert sorted(made, key=str) == sorted([("b", dt(2026, 8, 1, 0, 7))] * 2 + [(None, dt(2026, 8, 1, 0, 7)), (None, dt(2026, 8, 1, 0, 41))], key=str)
+    assert out.count() == 9
+    assert "LeftAnti" not in out._jdf.queryExecution().executedPlan().toString()
+    counts = traveltime.gap_counts(read, net)
+    assert sorted(((r.segment_id, r.gaps) for r in counts.collect()), key=str) == [("b", 1), ("b", 1), (None, 2)]
+    assert "Generate explode(places" not in counts._jdf.queryExecution().executedPlan().toString()
+    assert traveltime.fill_buckets(read.limit(0), net).isEmpty() and traveltime.gap_counts(read.limit(0), net).isEmpty()
+
+
+def test_totals_are_fanned_out_by_link(rows):
+    read = rows("link_id string, speed long", ("x", 3), ("x", 4), ("y", None), ("z", 1))
+    links = rows("link_id string, segment_id int", ("x", 1), ("x", 2), ("y", 2), ("w", 3))
+    out = {(r.segment_id, r.readings, r.total) for r in traveltime.fan_out_totals(read, links).collect()}
+    assert out == {("1", 2, 7), ("2", 3, 7)}
