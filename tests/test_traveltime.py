@@ -1,5 +1,6 @@
 from datetime import datetime as dt
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -177,3 +178,25 @@ def test_totals_are_fanned_out_by_link(rows):
     links = rows("link_id string, segment_id int", ("x", 1), ("x", 2), ("y", 2), ("w", 3))
     out = {(r.segment_id, r.readings, r.total) for r in traveltime.fan_out_totals(read, links).collect()}
     assert out == {("1", 2, 7), ("2", 3, 7)}
+
+
+def test_fanned_means_agree_with_the_means_of_fanned_readings(rows, monkeypatch):
+    """Several links a segment and segments a link, a link mapped twice, ties in time, readings of two months; blocks are cut at any size."""
+    at = lambda i: dt(2026, 7 + i % 2, 1 + i % 5, i % 3, 7 * i % 60)
+    read = rows("link_id string, speed double, observed_at timestamp", *[(f"l{i % 4}", 1.0 + i * 37 % 50, at(i % 40)) for i in range(160)], ("l1", None, at(1)), ("l1", 5.0, None), ("gone", 9.0, at(1)))
+    links = rows("link_id string, segment_id string", ("l0", "a"), ("l1", "a"), ("l1", "a"), ("l2", "b"), ("l3", "b"), ("l0", "c"), ("l9", "d"), ("l1", None))
+    plain = traveltime.slot_means(traveltime.drop_slow(traveltime.fan_out(read, links)).filter("segment_id IS NOT NULL AND observed_at IS NOT NULL"))
+    key = lambda df: sorted((r.segment_id, r.time, round(r.avg_speed, 9), r.last_observed_at) for r in df.collect())
+    want = key(plain)
+    assert want and key(traveltime.fanned_slot_means(read, links)) == want
+    pairs = pa.table({"link_id": [r.link_id for r in links.collect() if r.segment_id and r.link_id != "l9"], "segment_id": [r.segment_id for r in links.collect() if r.segment_id and r.link_id != "l9"]})
+    by = {}
+    for r in read.dropna().collect():
+        by.setdefault(r.link_id, []).append({"t": int(r.observed_at.timestamp()), "k": r.observed_at.hour * 2 + r.observed_at.minute // 30, "v": r.speed})
+    table = pa.table({"link_id": list(by), "r": list(by.values())})
+    whole = sorted(map(str, traveltime._block_means(pairs, table).to_pylist()))
+    for n in (1, 70, 100, 200):
+        monkeypatch.setattr(traveltime, "SORTED_READINGS", n)
+        assert sorted(map(str, traveltime._block_means(pairs, table).to_pylist())) == whole
+    assert len(whole) == len(want)
+    assert traveltime.fanned_slot_means(read.limit(0), links).isEmpty()
