@@ -2,8 +2,11 @@
 
 Two texts are linked when their sets of shingles agree to SIMILAR or more. Candidates come from BANDS keys of ROWS minima
 each over the same shingles; every candidate is then compared by its whole sets, so nothing below SIMILAR is ever linked.
-A pair at SIMILAR exactly meets in no band with probability (1 - SIMILAR^ROWS)^BANDS, below 1 in 10,000. A 64-bit SimHash
-cannot serve here: at a similarity of 0.8 about ten bits differ, and unlike texts come as near.
+A pair at SIMILAR exactly meets in no band with probability (1 - SIMILAR^ROWS)^BANDS, below 1 in 10,000.
+
+The first candidates are those of SimHash with pigeonring (``simhash.linked``, 4 bits): texts of one fingerprint with the
+least of them, and the links of near fingerprints. The bands add what SimHash misses: at a similarity of 0.8 about ten bits
+of 64 differ. Fingerprints within 4 bits with sets below SIMILAR are told apart by the comparison of the sets.
 
 Texts with equal sets are one class, so copies never meet pair by pair. Candidates are found twice: first each class
 with the least of its bucket, then all pairs of a bucket that the links found so far have not joined; so a large group of
@@ -26,6 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lanewright.llm import simhash
 from lanewright.llm.blocks import bucket_pairs, dealt_buckets, whole_buckets
 from lanewright.llm.components import connected_components, star_edges
 from lanewright.llm.workers import tidy
@@ -58,22 +62,31 @@ def band_keys(hashes: np.ndarray) -> list[int]:
 
 
 def _described(docs: DataFrame) -> DataFrame:
-    """Rows (doc_id, th, cls, n, keys): the text's hash, and its set's hash, size and band keys."""
+    """Rows (doc_id, th, cls, n, keys, fp): the text's hash, its set's hash, size and band keys, and its SimHash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            cls, n, keys = [], [], []
+            cls, n, keys, fp = [], [], [], []
             for t in b.column("text"):
                 s = shingle_set(t.as_py())
+                fp.append(simhash.signed(simhash.fingerprint(t.as_py())))
                 cls.append(xxhash.xxh64_intdigest(s.tobytes()))
                 n.append(len(s))
                 keys.append(np.array(band_keys(s) if len(s) else [], np.uint64).view(np.int64))
             yield pa.RecordBatch.from_arrays([
-                b.column("doc_id"), b.column("th"), pa.array(np.array(cls, np.uint64).view(np.int64)), pa.array(n, pa.int32()), pa.array(keys, pa.list_(pa.int64())),
-            ], names=["doc_id", "th", "cls", "n", "keys"])
+                b.column("doc_id"), b.column("th"), pa.array(np.array(cls, np.uint64).view(np.int64)), pa.array(n, pa.int32()), pa.array(keys, pa.list_(pa.int64())), pa.array(fp, pa.int64()),
+            ], names=["doc_id", "th", "cls", "n", "keys", "fp"])
 
     src = docs.select("doc_id", F.xxhash64("text").alias("th"), "text")
-    return src.mapInArrow(tidy(run), f"doc_id {dict(src.dtypes)['doc_id']}, th long, cls long, n int, keys array<long>")
+    return src.mapInArrow(tidy(run), f"doc_id {dict(src.dtypes)['doc_id']}, th long, cls long, n int, keys array<long>, fp long")
+
+
+def fingerprint_pairs(described: DataFrame, max_bits: int = 4) -> DataFrame:
+    """Pairs (a, b) of classes that SimHash links: those of a fingerprint with its least, and the least ones of near fingerprints."""
+    of = materialise(described.filter("n > 0").select("fp", "cls").distinct(), "similar-fingerprints")
+    least = materialise(of.groupBy("fp").agg(F.min("cls").alias("rep"), F.count("*").alias("m")), "similar-least-fingerprints")
+    same = join_checked(of, least.filter("m > 1").select("fp", "rep"), "fp").select(F.col("rep").alias("a"), F.col("cls").alias("b"))
+    return same.unionByName(simhash.linked(least.select("fp", "rep"), max_bits)).filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _least_pairs(rows: DataFrame) -> DataFrame:
@@ -148,7 +161,8 @@ def similar_groups(docs: DataFrame) -> DataFrame:
     def sets(wanted: DataFrame) -> DataFrame:
         return _sets(wanted, described, docs)
 
-    edges = materialise(_alike(_least_pairs(rows), sets), "similar-links")
+    first = fingerprint_pairs(described).unionByName(_least_pairs(rows)).distinct()
+    edges = materialise(_alike(first, sets), "similar-links")
     comps = materialise(connected_components(edges), "similar-components").withColumnRenamed("node", "cls")
     rows = materialise(join_checked(rows, comps, "cls", "left").withColumn("component", F.coalesce("component", "cls")), "similar-keys")
     edges = edges.unionByName(materialise(_other_links(rows, sets), "similar-links"))

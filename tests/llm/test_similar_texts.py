@@ -66,3 +66,19 @@ def test_each_row_is_judged_by_its_own_text(spark):
     out = similar_texts.drop_similar(spark.createDataFrame(rows, "doc_id long, text string"))
     assert sorted(map(str, map(tuple, out.collect()))) == sorted(map(str, [(1, a), (5, b), (None, "other words"), (7, "")]))
     assert similar_texts.drop_similar(out.limit(0)).isEmpty()
+
+
+def test_first_candidates_are_those_of_simhash(spark):
+    """Near fingerprints, equal fingerprints of unlike sets (one repeated passage, unlike ends) and a text of its own."""
+    passage = " ".join(f"p{i}" for i in range(21))
+    texts = [" ".join([passage] * 60 + [f"{end}{i}" for i in range(k)]) for end, k in (("x", 2), ("y", 2), ("x", 30))] + ["another text of its own words entirely", None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    described = similar_texts._described(docs)
+    fp, cls = [{r.doc_id: r[c] for r in described.collect()} for c in ("fp", "cls")]
+    apart = lambda i, j: ((fp[i] ^ fp[j]) & (1 << 64) - 1).bit_count()
+    assert all(apart(i, j) <= 4 for i, j in ((0, 1), (0, 2))) and apart(0, 3) > 4
+    linked = [(r.a, r.b) for r in similar_texts.fingerprint_pairs(described).collect()]
+    found = plain_components([cls[i] for i in range(4)], linked)
+    assert len({found[cls[i]] for i in (0, 1, 2)}) == 1 and found[cls[3]] != found[cls[0]]
+    want, _ = groups_by_all_pairs(texts)
+    assert sorted(r.doc_id for r in dict(corpus_pipeline.STAGES)["simhash"](spark, docs, "").collect()) == sorted(set(want.values()))
