@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lanewright.functions import geometry as geo
+from lanewright.operators import nearby
 from lanewright.operators.quality import running_counts
 from lanewright.operators.trips import SUSPECT
 from lanewright.scratch import materialise
@@ -120,24 +121,20 @@ def links_to_segments(links: DataFrame, segments: DataFrame, near: float = NEAR_
 
     All segments within ``near``; a link without any takes the nearest one up to ``far`` and otherwise none.
     """
-    a = materialise(links.select("link_id", geo.edges(F.col("points")).alias("es")), "links")
-    b = materialise(segments.select("segment_id", geo.edges(F.col("points")).alias("fs"), geo.bounds(F.col("points")).alias("sbox")), "segments")
-    usual = b.agg(F.avg(F.greatest(F.col("sbox.x1") - F.col("sbox.x0"), F.col("sbox.y1") - F.col("sbox.y0")))).first()[0] or 0.0
-
-    def pairs(left: DataFrame, reach: float) -> DataFrame:
-        # cells are entered along the edges, by id; the edges join the pairs that share a cell
-        size = max(reach * 2, usual / 16, 1e-9)
-        l = left.select("link_id", F.explode(geo.edge_cells(F.col("es"), reach, size)).alias("c"))
-        r = b.select("segment_id", F.explode(geo.edge_cells(F.col("fs"), 0.0, size)).alias("c"))
-        met = l.join(r, "c").select("link_id", "segment_id").distinct()
-        met = met.join(left.select("link_id", "es"), "link_id").join(b.select("segment_id", "fs"), "segment_id")
-        return met.select("link_id", "segment_id", geo.lines_distance(F.col("es"), F.col("fs")).alias("distance_ft")).filter(F.col("distance_ft") <= reach)
-
-    within = materialise(pairs(a, near).withColumn("mapping_method", F.lit("buffer")), "links-near")
-    rest = a.join(within.select("link_id").distinct(), "link_id", "left_anti")
-    nearest = pairs(rest, far).groupBy("link_id").agg(F.min(F.struct("distance_ft", "segment_id")).alias("m"))
-    nearest = nearest.select("link_id", "m.segment_id", "m.distance_ft", F.lit("nearest_fallback").alias("mapping_method"))
-    return within.unionByName(nearest).dropDuplicates(["link_id", "segment_id"]).withColumn("far_match", F.col("distance_ft") > warn)
+    shapes = segments.select("segment_id", geo.edges(F.col("points")).alias("es"))
+    b = materialise(nearby.shapes_of(shapes, [], "segment_id", F.col("es")), "segments")
+    a = materialise(nearby.shapes_of(links.select("link_id", geo.edges(F.col("points")).alias("es")), [], "link_id", F.col("es")), "links")
+    edge = F.col("e")
+    usual = b.select(F.explode("es").alias("e")).agg(F.avg(F.greatest(F.abs(edge["bx"] - edge["ax"]), F.abs(edge["by"] - edge["ay"])))).first()[0] or 0.0
+    size = lambda reach: max(reach * 2, usual, 1e-9)
+    left, right = nearby.blocks(a, [], size(near)), nearby.blocks(b, [], size(near))
+    # the links that have some are found first and the pairs made as they are read: they may be more than fit a shuffle
+    some = materialise(nearby.nearest(left, right, near).select("id"), "links-near")
+    pairs, rest = nearby.within(left, right, near).withColumn("mapping_method", F.lit("buffer")), materialise(a.join(some, "id", "left_anti"), "links-rest")
+    if not rest.isEmpty():
+        fallback = nearby.nearest(nearby.blocks(rest, [], size(far)), nearby.blocks(b, [], size(far)), far)
+        pairs = pairs.unionByName(fallback.select("id", "m.other", "m.d", F.lit("nearest_fallback").alias("mapping_method")))
+    return pairs.select(F.col("id").alias("link_id"), F.col("other").alias("segment_id"), F.col("d").alias("distance_ft"), "mapping_method", (F.col("d") > warn).alias("far_match"))
 
 
 def segments_in_fence(segments: DataFrame, fence: DataFrame) -> DataFrame:
