@@ -20,10 +20,6 @@ from lanewright.scratch import materialise
 NEAR_FEET, WARN_FEET, FAR_FEET = 50.0, 200.0, 1000.0
 
 
-def _cell_rows(df: DataFrame, box: Column, pad: float, size: float) -> DataFrame:
-    return df.withColumn("_c", F.explode(geo.cells(box, F.lit(pad), size))).withColumns({"_cx": F.col("_c.cx"), "_cy": F.col("_c.cy")}).drop("_c")
-
-
 def _levels(shapes: DataFrame) -> list[int]:
     """The levels in use; there are a few dozen at most."""
     return sorted(r[0] for r in shapes.select("level").distinct().collect())
@@ -184,26 +180,28 @@ def share_weights(cells: DataFrame, segments: DataFrame, reach: float = 100.0, a
     """
     s = segments.select("zone_id", "segment_id", geo.edges(F.col("points")).alias("es"), geo.bounds(F.col("points")).alias("box"))
     whole_box = geo.finite(*[F.col(f"box.{c}") for c in ("x0", "y0", "x1", "y1")])
-    s = materialise(s, "weight-segments")
+    s, zone = materialise(s, "weight-segments"), ["zone_id"]
+    fine = s.filter(whole_box)
+    lines = materialise(nearby.shapes_of(fine, zone, "segment_id", F.col("es")), "weight-lines")
+    usual = fine.agg(F.avg(F.greatest(F.col("box.x1") - F.col("box.x0"), F.col("box.y1") - F.col("box.y0")))).first()[0] or 0.0
+    size = lambda reach: max(reach * 2, usual, 1e-9)
+    c = cells.groupBy("zone_id", "x", "y").agg(F.sum("n").alias("n")).filter(geo.finite(F.col("x"), F.col("y")))
+    c = c.select("zone_id", F.monotonically_increasing_id().alias("id"), F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"), F.col("n").cast("double").alias("n"))
+    spot = F.array(F.struct(F.col("x").alias("ax"), F.col("y").alias("ay"), F.col("x").alias("bx"), F.col("y").alias("by")))
+    c = materialise(c, "weight-points").withColumn("es", spot)
+    items, b = ["zone_id", "id", "es"], nearby.blocks(lines, zone, size(reach))
+    # a point's pulls are added up first, then each pair is measured again for its share: no pair is written or shuffled
+    pull = materialise(nearby.nearest(nearby.blocks(c.select(*items), zone, size(reach)), b, reach, zone, points=True).select("id", "pull"), "weight-near")
+    v = nearby.blocks(c.join(pull, "id").select(*items, (F.col("n") / F.col("pull")).alias("v")), zone, size(reach))
+    shares = [nearby.pulled(v, b, reach, zone, points=True).select("zone_id", F.col("other").alias("segment_id"), "share")]
+    left, reach = materialise(c.join(pull, "id", "left_anti"), "weight-left"), reach * 4
     at = F.struct(F.col("x").alias("x0"), F.col("y").alias("y0"), F.col("x").alias("x1"), F.col("y").alias("y1"))
-    c = materialise(cells.groupBy("zone_id", "x", "y").agg(F.sum("n").alias("n")).filter(geo.finite(F.col("x"), F.col("y"))), "weight-points")
-    point = ["zone_id", "x", "y"]
-
-    def met(points: DataFrame, size: float) -> DataFrame:
-        near = _cell_rows(points, at, size, size).join(_cell_rows(s.filter(whole_box), F.col("box"), 0.0, size).select("zone_id", "segment_id", "es", "_cx", "_cy"), ["zone_id", "_cx", "_cy"])
-        d = geo.edges_point_distance(F.col("es"), F.col("x"), F.col("y"))
-        return near.dropDuplicates([*point, "segment_id"]).select(*point, "n", "segment_id", d.alias("d")).filter(F.col("d") <= size)
-
-    pull = materialise(met(c, reach).withColumn("w", 1 / (F.col("d") + 1)), "weight-near")
-    whole = pull.groupBy(*point).agg(F.sum("w").alias("all"))
-    shares = [pull.join(whole, point).select("zone_id", "segment_id", (F.col("n") * F.col("w") / F.col("all")).alias("share"))]
-    left, size = materialise(c.join(whole, point, "left_anti"), "weight-left"), reach * 4
-    widest = _extent(left.select(at.alias("box")).unionByName(s.filter(whole_box).select("box")))
-    while not left.isEmpty() and size <= 8 * widest:
-        nearest = met(left, size).groupBy(*point).agg(F.min(F.struct("d", "segment_id")).alias("m"), F.any_value("n").alias("n"))
-        nearest = materialise(nearest.select(*point, F.col("m.segment_id").alias("segment_id"), F.col("n").cast("double").alias("share")), "weight-nearest")
-        shares.append(nearest.select("zone_id", "segment_id", "share"))
-        left, size = materialise(left.join(nearest, point, "left_anti"), "weight-left"), size * 4
+    widest = _extent(left.select(at.alias("box")).unionByName(fine.select("box")))
+    while not left.isEmpty() and reach <= 8 * widest:
+        met = nearby.nearest(nearby.blocks(left.select(*items), zone, size(reach)), nearby.blocks(lines, zone, size(reach)), reach, zone, points=True)
+        got = materialise(met.select("id", F.col("m.other").alias("segment_id")).join(left.drop("es"), "id"), "weight-nearest")
+        shares.append(got.select("zone_id", "segment_id", F.col("n").alias("share")))
+        left, reach = materialise(left.join(got, "id", "left_anti"), "weight-left"), reach * 4
     part = reduce(DataFrame.unionByName, shares).groupBy("zone_id", "segment_id").agg(F.sum("share").alias("share"))
     out = s.select("zone_id", "segment_id").join(part, ["zone_id", "segment_id"], "left").withColumn("share", F.coalesce("share", F.lit(0.0)) + alpha)
     total = out.groupBy("zone_id").agg(F.sum("share").alias("total"))

@@ -68,3 +68,22 @@ def test_links_equal_all_pairs_and_no_pair_is_kept(rows, monkeypatch, largest):
             want[f"l{i}", m[1]] = round(m[0], 6), "nearest_fallback"
     assert got == want and sum(m == "nearest_fallback" for _, m in got.values()) >= 1
     assert max(largest)[0] < len(got) / 2  # shapes and pairs of blocks, but not the pairs
+
+
+def test_weights_equal_all_pairs_and_no_pair_is_kept(rows, monkeypatch, largest):
+    """Points within reach of most segments of their zone, a few within reach of none, in two zones with the same ids."""
+    monkeypatch.setattr(nearby, "BLOCK", 7)
+    reach, r, points, segs = 60.0, random.Random(3), [], []
+    for zone in (1, 2):
+        points += [(zone, r.uniform(-100, 100), r.uniform(-100, 100), r.randint(1, 4)) for _ in range(50)] + [(zone, 700.0 + zone, 0.0, 3), (zone, -9000.0, 5.0, 2)]
+        segs += [(zone, f"s{i}", p) for i, p in enumerate(paths(zone + 3, 50, 100, 80))]
+    got = {(x.zone_id, x.segment_id): x.weight for x in spatial.share_weights(rows("zone_id int, x double, y double, n int", *points), rows(f"zone_id int, segment_id string, {SPOT}", *segs), reach=reach).collect()}
+    share = {(z, s): 1.0 for z, s, _ in segs}
+    for zone, x, y, n in points:
+        d = sorted((min(to_edge((x, y), a, b) for a, b in zip(p, p[1:], strict=False)), s) for z, s, p in segs if z == zone)
+        near = [(1 / (e + 1), s) for e, s in d if e <= reach] or [(1.0, d[0][1])]
+        for w, s in near:
+            share[zone, s] += n * w / sum(w for w, _ in near)
+    total = {zone: sum(v for (z, _), v in share.items() if z == zone) for zone in (1, 2)}
+    assert got == {k: pytest.approx(v / total[k[0]]) for k, v in share.items()}
+    assert max(largest)[0] < 1000
