@@ -99,18 +99,45 @@ def cube_violations(daily: DataFrame, month: str, zone_ids: DataFrame) -> DataFr
     return all_.select(*[F.col(r).cast("long").alias(r) for r in rules]).unpivot([], rules, "rule", "n").filter("n > 0")
 
 
+def _repeated_keys(g: DataFrame) -> DataFrame:
+    """(segment_id, type, dow, odd, repeated) of the groups of ``segment_violations`` whose bits tell how many keys repeat.
+
+    ``once`` has the slots seen, ``odds`` those seen an odd number of times. Where the rows are as few as these allow, each slot
+    of an even number came twice and each other once.
+    """
+    twice = F.bit_count(F.col("once").bitwiseAND(F.bitwise_not("odds")))
+    plain = F.when(F.col("odd"), (F.col("rows") > 1).cast("int")).when(F.col("rows") == F.bit_count("once") + twice, twice)
+    return g.withColumn("repeated", plain)
+
+
 def segment_violations(values: DataFrame, mapping: DataFrame) -> DataFrame:
-    """The same for segment values: mapping nulls and repeats, values, keys, coverage and row count."""
+    """The same for segment values: mapping nulls and repeats, values, keys, coverage and row count.
+
+    The values are grouped by segment, type and weekday, with the 48 slots of a group as bits; slots of other names are groups of
+    their own. Only groups in which a slot came three times or more are counted key by key, from a second reading.
+    """
     cols = ["segment_id", "type", "dow", "time", "value"]
     m = mapping.agg(F.count_if(F.col("segment_id").isNull() | F.col("zone_id").isNull()).alias("mapping_nulls"), (F.count("segment_id") - F.count_distinct("segment_id")).alias("mapping_repeats"), F.count_distinct("segment_id").alias("segments"))
-    v = values.agg(
-        F.count_if(F.greatest(*[F.col(c).isNull() for c in cols])).alias("null_values"), F.count_if(F.col("type") != TYPE_ID).alias("wrong_type"), F.count_if(F.col("value") < 0).alias("negative_values"),
-        F.count_if(~F.col("dow").isin(list(ts.WEEKDAYS))).alias("unknown_weekdays"), F.count_if(~F.col("time").isin(list(ts.SLOTS))).alias("unknown_slots"), F.count("*").alias("rows"),
-    )
-    k = values.groupBy(*cols[:4]).agg(F.count("*").alias("n")).agg(F.count_if(F.col("n") > 1).alias("duplicate_keys"))
-    s = values.agg(F.count_distinct("segment_id").alias("seen"))
-    all_ = m.crossJoin(v).crossJoin(k).crossJoin(s)
-    all_ = all_.withColumns({"uncovered_segments": F.abs(F.col("segments") - F.col("seen")), "row_count_off": F.abs(F.col("rows") - F.col("segments") * (7 * len(ts.SLOTS)))})
+    known = flag(F.col("time").isin(list(ts.SLOTS)))
+    bit = F.expr("shiftleft(1L, CAST(substr(time, 1, 2) AS INT) * 2 + IF(substr(time, 3, 1) = '3', 1, 0))")
+    by = [*cols[:3], "odd", "other"]
+    marked = values.withColumns({"odd": ~known, "other": F.when(~known, F.col("time")), "bit": F.when(known, bit)})
+    null = F.greatest(*[F.col(c).isNull() for c in cols])
+    g = marked.groupBy(*by).agg(F.count("*").alias("rows"), F.count_if(null).alias("nulls"), F.count_if(F.col("value") < 0).alias("negative"), F.bit_or("bit").alias("once"), F.bit_xor("bit").alias("odds"))
+    g = materialise(_repeated_keys(g), "segment-groups")  # a row per segment and weekday
+    v = g.agg(
+        F.sum("nulls").alias("null_values"), F.sum(F.when(F.col("type") != TYPE_ID, F.col("rows"))).alias("wrong_type"), F.sum("negative").alias("negative_values"),
+        F.sum(F.when(~F.col("dow").isin(list(ts.WEEKDAYS)), F.col("rows"))).alias("unknown_weekdays"), F.sum(F.when(F.col("odd") & F.col("other").isNotNull(), F.col("rows"))).alias("unknown_slots"),
+        F.sum("rows").alias("rows"), F.sum("repeated").alias("plain"), F.count_distinct("segment_id").alias("seen"),
+    ).na.fill(0)
+    unclear = g.filter("repeated IS NULL").select(*[F.col(c).alias(f"_{c}") for c in cols[:3]])
+    k = v.select(F.lit(0).cast("long").alias("n"))
+    if not unclear.isEmpty():
+        same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in cols[:3]]
+        keyed = marked.filter("NOT odd").join(unclear, same, "left_semi").groupBy(*cols[:4]).agg(F.count("*").alias("n"))
+        k = keyed.agg(F.count_if(F.col("n") > 1).alias("n"))
+    all_ = m.crossJoin(v).crossJoin(k)
+    all_ = all_.withColumns({"duplicate_keys": F.col("plain") + F.col("n"), "uncovered_segments": F.abs(F.col("segments") - F.col("seen")), "row_count_off": F.abs(F.col("rows") - F.col("segments") * (7 * len(ts.SLOTS)))})
     rules = ["mapping_nulls", "mapping_repeats", "null_values", "wrong_type", "negative_values", "unknown_weekdays", "unknown_slots", "duplicate_keys", "uncovered_segments", "row_count_off"]
     return all_.select(*[F.col(r).cast("long").alias(r) for r in rules]).unpivot([], rules, "rule", "n").filter("n > 0")
 

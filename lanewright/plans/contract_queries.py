@@ -73,15 +73,16 @@ def segment_contract(spark: SparkSession, d: str) -> DataFrame:
     """All ten rules of segment values and their mapping."""
     m, k = inp.mapping(spark, d), F.col("segment_id").cast("int") % 20
     rolled = demand.weekday_means(demand.daily_grid(inp.trips(spark, d), inp.zones(spark)), cat.WEEKS)
-    v = materialise(demand.expand_to_segments(rolled, m), "segment-values").withColumn("k", k)
-    v = v.filter("k <> 9").unionByName(v.filter("k = 10 AND dow = 'TUE'"))
+    v = demand.expand_to_segments(rolled, m).withColumn("k", k)
+    # some rows twice, in the pass that makes them
+    v = v.filter("k <> 9").withColumn("again", F.explode(F.expr("sequence(1, IF(k = 10 AND dow = 'TUE', 2, 1))"))).drop("again")
     spoilt = v.withColumns({
         "type": F.when(F.expr("k = 4 AND dow = 'MON'"), 2).otherwise(F.col("type")), "dow": F.when(F.expr("k = 5 AND time = '0030'"), F.lower("dow")).otherwise(F.col("dow")),
         "time": F.when(F.expr("k = 6 AND dow = 'SUN'"), F.concat(F.lit("24"), F.col("time"))).otherwise(F.col("time")),
         "value": F.when(F.expr("k = 8 AND time = '0000'"), -0.5).when(F.expr("NOT (k = 7 AND time = '0000')"), F.col("value")),
     }).drop("k")
     mapped = m.withColumn("zone_id", F.when(k != 1, F.col("zone_id"))).unionByName(m.filter(k == 2))
-    return demand.segment_violations(materialise(spoilt, "spoilt"), mapped)
+    return demand.segment_violations(spoilt, mapped)
 
 
 _NETWORK = f"""{jq.RAW_NETWORK}, s AS (SELECT CASE WHEN CAST(segment_id AS INT) % 30 <> 1 THEN segment_id END AS segment_id, CASE WHEN CAST(segment_id AS INT) % 30 = 2 THEN 'B7' WHEN CAST(segment_id AS INT) % 30 <> 3 THEN borough_code END AS borough_code,
