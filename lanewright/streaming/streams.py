@@ -14,6 +14,8 @@ from lanewright.operators import store, traveltime
 
 #: Times of a key's last arrivals that its state keeps, to know repeats by.
 REMEMBERED = 32
+#: Micro-batches after which all states of a keyed mean are written as one.
+WHOLE_EVERY = 8
 READINGS = "segment_id string, speed double, observed_at timestamp"
 
 
@@ -105,10 +107,63 @@ def running_means(values: DataFrame, keys: list[str] = traveltime.READING_KEYS,
     return moved.select(*keys, "avg", "count", F.timestamp_micros("newest").alias("last_sample_at"), "late")
 
 
-def fold_means(values: DataFrame, path: str, checkpoint: str, every: str | None = None, **how):
-    """``running_means`` as a keyed table: each micro-batch lands only the keys it moved; read it by ``store.newest_of_batches``."""
-    with rocksdb_state(values.sparkSession):
-        return land_batches(running_means(values, **how), path, checkpoint, mode="update", every=every)
+def _folded(samples: DataFrame, old: DataFrame | None, keys: list[str], window: int, remembered: int) -> DataFrame:
+    """Samples (keys, v, t) of a micro-batch folded in time order onto the keys' states (avg, count, newest, late, arrived)."""
+    g = samples.groupBy(*keys).agg(F.array_sort(F.collect_set(F.struct("t", "v"))).alias("h"))
+    fields = {"avg": "double", "count": "long", "newest": "long", "late": "long", "arrived": "array<long>"}
+    if old is None:
+        g = g.withColumns({k: F.lit(None).cast(t) for k, t in fields.items()})
+    else:
+        g = g.join(old.select(*keys, *fields), keys, "left")
+    start = F.struct(F.coalesce("avg", F.lit(0.0)).alias("avg"), F.coalesce("count", F.lit(0)).cast("long").alias("count"), F.col("newest").alias("newest"), F.coalesce("late", F.lit(0)).cast("long").alias("late"), F.coalesce("arrived", F.array().cast("array<long>")).alias("arrived"))
+
+    def step(a, x):
+        mean = F.when(a["count"] == 0, F.bround(x["v"])).otherwise(F.bround(a["avg"] + (x["v"] - a["avg"]) / F.least(a["count"] + 1, F.lit(window))))
+        times = F.when(F.size(a["arrived"]) < remembered, a["arrived"]).otherwise(F.slice(a["arrived"], F.size(a["arrived"]) - remembered + 2, remembered - 1) if remembered > 1 else F.array().cast("array<long>"))
+        is_late = F.coalesce(x["t"] < a["newest"], F.lit(False)).cast("long")
+        moved = F.struct(mean.alias("avg"), (a["count"] + 1).alias("count"), F.greatest(a["newest"], x["t"]).alias("newest"), (a["late"] + is_late).alias("late"), F.array_append(times, x["t"]).alias("arrived"))
+        return F.when(F.array_contains(a["arrived"], x["t"]), a).otherwise(moved)
+
+    return g.select(*keys, F.aggregate("h", start, step).alias("a")).select(*keys, "a.*")
+
+
+def fold_means(values: DataFrame, path: str, checkpoint: str, every: str | None = None, keys: list[str] = traveltime.READING_KEYS, window: int = traveltime.SMOOTHING, remembered: int = REMEMBERED, ttl: timedelta | None = None):
+    """``running_means`` as a keyed table: each micro-batch lands only the keys it moved; read it by ``store.newest_of_batches``.
+
+    A micro-batch is folded by built-in functions onto the newest states of its keys, which lie under ``path/state`` by batch;
+    every ``WHOLE_EVERY`` batches all states are written as one, so a batch reads that and the few after it. One that is tried
+    again reads only what lies before it and replaces itself. Keys that are forgotten after ``ttl`` need a clock and are kept in
+    Spark's own state.
+    """
+    if ttl is not None:
+        with rocksdb_state(values.sparkSession):
+            return land_batches(running_means(values, keys, window, remembered, ttl), path, checkpoint, mode="update", every=every)
+    src = values.select(*keys, F.col("value").cast("double").alias("v"), F.unix_micros("last_sample_at").alias("t")).dropna()
+
+    def newest(spark: SparkSession, before: int) -> DataFrame | None:
+        whole, base = store.batches_before(spark, f"{path}/whole", before), -1
+        if whole is not None:
+            base = whole.agg(F.max("batch")).first()[0]
+            base = -1 if base is None else base
+        later = store.batches_before(spark, f"{path}/state", before)
+        parts = [] if base < 0 else [whole.filter(F.col("batch") == base)]
+        parts += [] if later is None else [later.filter(F.col("batch") > base)]
+        if not parts:
+            return None
+        rows = parts[0].unionByName(parts[1]) if len(parts) > 1 else parts[0]
+        rest = [c for c in rows.columns if c not in (*keys, "batch")]
+        return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("_r")).select(*keys, "_r.*")
+
+    def land(batch: DataFrame, n: int) -> None:
+        spark = batch.sparkSession
+        store.write_batch(_folded(batch, newest(spark, n), keys, window, remembered), f"{path}/state", n)
+        moved = spark.read.parquet(f"{path}/state/batch={n}").select(*keys, "avg", "count", F.timestamp_micros("newest").alias("last_sample_at"), "late")
+        if n and n % WHOLE_EVERY == 0:
+            store.write_batch(newest(spark, n + 1), f"{path}/whole", n)
+        store.write_batch(moved, path, n)
+
+    q = src.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
+    return (q.trigger(processingTime=every) if every else q.trigger(availableNow=True)).start()
 
 
 def route_late(readings: DataFrame, path: str, checkpoint: str, late: str = "6 hours", at: str = "observed_at"):
