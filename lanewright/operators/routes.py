@@ -63,7 +63,9 @@ def score_demand(requests: DataFrame, values: DataFrame | None, mapping: DataFra
     if values is None:
         r = r.withColumn("own", F.lit(None).cast("double"))
     else:
-        own = values.select("segment_id", "dow", F.col("time").alias("slot"), F.col("value").alias("own"))
+        # of a table of 336 slots a segment only those weekdays and slots that are asked for, 336 at most, meet the requests
+        asked = materialise(r.select("dow", "slot").distinct(), "asked-slots")
+        own = values.select("segment_id", "dow", F.col("time").alias("slot"), F.col("value").alias("own")).join(F.broadcast(asked), ["dow", "slot"], "left_semi")
         r = r.join(own, ["segment_id", "dow", "slot"], "left")
     m = mapping.select(F.col("segment_id").cast("string").alias("segment_id"), "zone_id").dropDuplicates(["segment_id"])
     zv = zone_values.select("zone_id", "dow", F.col("time").alias("slot"), F.col("value").alias("zoned"))
