@@ -7,11 +7,16 @@ from pyspark.sql import functions as F
 
 from lanewright.functions import timeslot as ts
 from lanewright.functions.values import flag
-from lanewright.scratch import BROADCAST_ROWS, materialise
+from lanewright.operators.store import Cube, packed, unpacked
+from lanewright.scratch import BROADCAST_ROWS, join_checked, materialise
 
 TYPE_ID = 3
 ZONES = (1, 263)
 CUBE = ["zone_id", "type", "date", "time"]
+#: A week of values as a list: 336 numbers.
+WEEK = Cube("value", {"type": [TYPE_ID], "dow": list(ts.WEEKDAYS), "time": list(ts.SLOTS)})
+#: Weeks of so many zones are broadcast (some 3 KB each).
+ZONE_LISTS = 10_000
 
 
 def valid_pickups(trips: DataFrame, zones: tuple[int, int] = ZONES, month: str | None = None) -> DataFrame:
@@ -58,13 +63,17 @@ def weekday_means(daily: DataFrame, weeks: int) -> DataFrame:
     return g.agg(F.avg("value").alias("value"), F.count("*").alias("sample_count"))
 
 
+def _text_ids(mapping: DataFrame) -> DataFrame:
+    return mapping.select(F.col("segment_id").cast("string").alias("segment_id"), F.col("zone_id").cast("int").alias("zone_id"))
+
+
 def expand_to_segments(rolled: DataFrame, mapping: DataFrame, partitions: int | None = None) -> DataFrame:
     """Each segment gets its zone's values.
 
     Zones differ widely in their number of segments, so the fan-out is dealt by segment; the zone table is broadcast when it
     was counted and is small, which keeps that dealing, and otherwise packed to a row per zone before the join.
     """
-    seg = mapping.select(F.col("segment_id").cast("string").alias("segment_id"), F.col("zone_id").cast("int").alias("zone_id"))
+    seg = _text_ids(mapping)
     rolled = materialise(rolled, "rolled")  # counted and joined: the means are computed once
     n = partitions or int(seg.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if rolled.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
@@ -75,6 +84,17 @@ def expand_to_segments(rolled: DataFrame, mapping: DataFrame, partitions: int |
     return out.select("segment_id", "type", "dow", "time", "value")
 
 
+def week_lists(rolled: DataFrame, mapping: DataFrame, partitions: int | None = None) -> DataFrame:
+    """The same with a row per segment: (segment_id, value), the values of its zone as a list by ``WEEK``.
+
+    Written so, a segment costs a row and a column of numbers instead of 336 rows of five columns. A zone whose slots are not all
+    there once has no list (null).
+    """
+    lists = materialise(packed(rolled.select("zone_id", *WEEK.axes, WEEK.value), WEEK), "week-lists")
+    n = partitions or int(mapping.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return join_checked(_text_ids(mapping).repartition(n, "segment_id"), lists, "zone_id", rows=ZONE_LISTS).select("segment_id", "value")
+
+
 def cube_violations(daily: DataFrame, month: str, zone_ids: DataFrame) -> DataFrame:
     """Rows (rule, n) with n > 0 for each broken rule of a month's cube: values, keys, dates, zones, row count."""
     start, stop = ts.month_bounds(month)
@@ -115,6 +135,7 @@ def segment_violations(values: DataFrame, mapping: DataFrame) -> DataFrame:
 
     The values are grouped by segment, type and weekday, with the 48 slots of a group as bits; slots of other names are groups of
     their own. Only groups in which a slot came three times or more are counted key by key, from a second reading.
+    With a column ``times`` a segment's rows stand for those of so many segments.
     """
     cols = ["segment_id", "type", "dow", "time", "value"]
     m = mapping.agg(F.count_if(F.col("segment_id").isNull() | F.col("zone_id").isNull()).alias("mapping_nulls"), (F.count("segment_id") - F.count_distinct("segment_id")).alias("mapping_repeats"), F.count_distinct("segment_id").alias("segments"))
@@ -123,25 +144,41 @@ def segment_violations(values: DataFrame, mapping: DataFrame) -> DataFrame:
     by = [*cols[:3], "odd", "other"]
     marked = values.withColumns({"odd": ~known, "other": F.when(~known, F.col("time")), "bit": F.when(known, bit)})
     null = F.greatest(*[F.col(c).isNull() for c in cols])
-    g = marked.groupBy(*by).agg(F.count("*").alias("rows"), F.count_if(null).alias("nulls"), F.count_if(F.col("value") < 0).alias("negative"), F.bit_or("bit").alias("once"), F.bit_xor("bit").alias("odds"))
+    times = F.max("times") if "times" in values.columns else F.lit(1).cast("long")
+    g = marked.groupBy(*by).agg(F.count("*").alias("rows"), F.count_if(null).alias("nulls"), F.count_if(F.col("value") < 0).alias("negative"), F.bit_or("bit").alias("once"), F.bit_xor("bit").alias("odds"), times.alias("times"))
     g = materialise(_repeated_keys(g), "segment-groups")  # a row per segment and weekday
-    v = g.agg(
+    s = g.groupBy("segment_id").agg(
         F.sum("nulls").alias("null_values"), F.sum(F.when(F.col("type") != TYPE_ID, F.col("rows"))).alias("wrong_type"), F.sum("negative").alias("negative_values"),
         F.sum(F.when(~F.col("dow").isin(list(ts.WEEKDAYS)), F.col("rows"))).alias("unknown_weekdays"), F.sum(F.when(F.col("odd") & F.col("other").isNotNull(), F.col("rows"))).alias("unknown_slots"),
-        F.sum("rows").alias("rows"), F.sum("repeated").alias("plain"), F.count_distinct("segment_id").alias("seen"),
-    ).na.fill(0)
+        F.sum("rows").alias("rows"), F.sum("repeated").alias("plain"), F.max("times").alias("times"),
+    )
+    sums = ["null_values", "wrong_type", "negative_values", "unknown_weekdays", "unknown_slots", "rows", "plain"]
+    v = s.agg(*[F.sum(F.col(c) * F.col("times")).alias(c) for c in sums], F.sum(F.when(F.col("segment_id").isNotNull(), F.col("times"))).alias("seen")).na.fill(0)
     unclear = g.filter("repeated IS NULL").select(*[F.col(c).alias(f"_{c}") for c in cols[:3]])
     k = v.select(F.lit(0).cast("long").alias("n"))
     if not unclear.isEmpty():
         same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in cols[:3]]
-        keyed = marked.filter("NOT odd").join(unclear, same, "left_semi").groupBy(*cols[:4]).agg(F.count("*").alias("n"))
-        k = keyed.agg(F.count_if(F.col("n") > 1).alias("n"))
+        keyed = marked.filter("NOT odd").join(unclear, same, "left_semi").groupBy(*cols[:4]).agg(F.count("*").alias("n"), times.alias("times"))
+        k = keyed.agg(F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("times"))), F.lit(0)).alias("n"))
     all_ = m.crossJoin(v).crossJoin(k)
     all_ = all_.withColumns({"duplicate_keys": F.col("plain") + F.col("n"), "uncovered_segments": F.abs(F.col("segments") - F.col("seen")), "row_count_off": F.abs(F.col("rows") - F.col("segments") * (7 * len(ts.SLOTS)))})
     rules = ["mapping_nulls", "mapping_repeats", "null_values", "wrong_type", "negative_values", "unknown_weekdays", "unknown_slots", "duplicate_keys", "uncovered_segments", "row_count_off"]
     return all_.select(*[F.col(r).cast("long").alias(r) for r in rules]).unpivot([], rules, "rule", "n").filter("n > 0")
 
 
+def week_violations(weeks: DataFrame, mapping: DataFrame) -> DataFrame:
+    """``segment_violations`` of the rows that are packed in (segment_id, value).
+
+    Where each segment has one list, those with equal lists break the same rules as often, so a list is judged once, with the
+    number of its segments: there are no more lists than zones. If a segment is null or has several lists, all are unpacked.
+    """
+    n = weeks.agg(F.count("*").alias("lists"), F.count_distinct("segment_id").alias("segments")).first()
+    if n.lists != n.segments:
+        return segment_violations(unpacked(weeks, WEEK), mapping)
+    alike = weeks.groupBy("value").agg(F.count("*").alias("times")).withColumn("segment_id", F.monotonically_increasing_id().cast("string"))
+    return segment_violations(unpacked(materialise(alike, "weeks-alike"), WEEK), mapping)
+
+
 def sample_gate(rolled: DataFrame, weeks: int) -> DataFrame:
     """One row: least and most samples of a mean, and whether both are the number of weeks."""
     g = rolled.agg(F.min("sample_count").alias("least"), F.max("sample_count").alias("most"))

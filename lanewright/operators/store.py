@@ -6,9 +6,12 @@ a reader sees the old table or the new one and no plan reads what it overwrites.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable
 from functools import reduce
+from math import prod
+from typing import NamedTuple
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, SparkRuntimeException
@@ -78,14 +81,49 @@ def write_partitions(df: DataFrame, path: str, by: str = "date", dynamic: bool =
     df.repartition(by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if dynamic else "static").partitionBy(by).parquet(path)
 
 
+class Cube(NamedTuple):
+    """A column ``value`` with one value for each combination of the axes' labels: a list in row-major order."""
+
+    value: str
+    axes: dict[str, list]
+
+    def cells(self) -> int:
+        return prod(len(labels) for labels in self.axes.values())
+
+    def strides(self) -> list[tuple[str, list, int]]:
+        """(axis, labels, cells from a label to the next)."""
+        sizes = [len(labels) for labels in self.axes.values()]
+        return [(name, labels, prod(sizes[i + 1 :])) for i, (name, labels) in enumerate(self.axes.items())]
+
+
+def packed(df: DataFrame, cube: Cube) -> DataFrame:
+    """A row for each combination of the columns beside the cube's, with its values as a list.
+
+    The list is null where it would not be right: where a cell is absent or comes twice, or a label is none of its axis.
+    """
+    keys = [c for c in df.columns if c != cube.value and c not in cube.axes]
+    pos = reduce(lambda a, b: a + b, [F.nullif(F.array_position(F.lit(labels), F.col(c)), F.lit(0)) * n - n for c, labels, n in cube.strides()])
+    g = df.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(pos.cast("int").alias("pos"), F.col(cube.value).alias("v")))).alias("_l"))
+    whole = F.col("_l.pos") == F.sequence(F.lit(0), F.lit(cube.cells() - 1))
+    return g.select(*keys, F.when(whole, F.col("_l.v")).alias(cube.value))
+
+
+def unpacked(df: DataFrame, cube: Cube) -> DataFrame:
+    """The rows of packed ones; a null list has none."""
+    keys = [c for c in df.columns if c != cube.value]
+    of_cell = lambda labels, n: F.lit([labels[i // n % len(labels)] for i in range(cube.cells())])
+    labels = [F.get(of_cell(labels, n), F.col("_pos")).alias(c) for c, labels, n in cube.strides()]
+    return df.select(*keys, F.posexplode(cube.value).alias("_pos", cube.value)).select(*keys, *labels, cube.value)
+
+
 def _pointer(path: str) -> str:
     return f"{path}/current"
 
 
 def _published(spark: SparkSession, path: str) -> DataFrame | None:
-    """(version, n, at) of the publications, or None before the first."""
+    """(version, n, at, cube) of the publications, or None before the first."""
     try:
-        return spark.read.schema("version string, n long, at timestamp").parquet(_pointer(path))
+        return spark.read.schema("version string, n long, at timestamp, cube string").parquet(_pointer(path))
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
             return None
@@ -96,23 +134,29 @@ def current(spark: SparkSession, path: str) -> DataFrame | None:
     """The published version of a table, or None before the first."""
     pointers = _published(spark, path)
     row = None if pointers is None else pointers.orderBy(F.desc_nulls_last("n"), F.desc("at")).first()
-    return None if row is None else spark.read.parquet(f"{path}/versions/{row.version}")
+    if row is None:
+        return None
+    table = spark.read.parquet(f"{path}/versions/{row.version}")
+    return unpacked(table, Cube(*json.loads(row.cube))) if row.cube else table
 
 
-def _point_to(spark: SparkSession, path: str, version: str) -> None:
+def _point_to(spark: SparkSession, path: str, version: str, cube: Cube | None = None) -> None:
     pointers = _published(spark, path)
     n = 0 if pointers is None else pointers.agg(F.coalesce(F.max("n"), F.lit(-1)) + 1).first()[0]
-    spark.range(1).select(F.lit(version).alias("version"), F.lit(n).cast("long").alias("n"), F.current_timestamp().alias("at")).coalesce(1).write.mode("append").parquet(_pointer(path))
+    spark.range(1).select(F.lit(version).alias("version"), F.lit(n).cast("long").alias("n"), F.current_timestamp().alias("at"), F.lit(json.dumps(cube) if cube else None).cast("string").alias("cube")).coalesce(1).write.mode("append").parquet(_pointer(path))
 
 
-def publish(df: DataFrame, path: str, check: Callable[[DataFrame], None] | None = None, partitions: int | None = None) -> str:
-    """Write a version, check what was written, then point to it; a version that fails the check is never pointed to."""
+def publish(df: DataFrame, path: str, check: Callable[[DataFrame], None] | None = None, partitions: int | None = None, cube: Cube | None = None) -> str:
+    """Write a version, check what was written, then point to it; a version that fails the check is never pointed to.
+
+    Packed rows are written and checked as such; with their ``cube``, ``current`` gives them back as single rows.
+    """
     spark, version = df.sparkSession, uuid.uuid4().hex
     at = f"{path}/versions/{version}"
     (df.repartition(partitions) if partitions else df).write.parquet(at)
     if check is not None:
         check(spark.read.parquet(at))
-    _point_to(spark, path, version)
+    _point_to(spark, path, version, cube)
     return version
 
 

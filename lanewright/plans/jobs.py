@@ -113,22 +113,26 @@ def _rolling_plan(daily: DataFrame, mapping: DataFrame, weeks: int) -> tuple[dic
 def rolling_publish(spark: SparkSession, live: str, mapping: DataFrame, weeks: int, table: str, state: str, export: str | None = None) -> bool:
     """Weekday means expanded, published and exported if the window or the mapping changed; the state row is written last.
 
+    The published table has each segment's week as a list; ``store.current`` reads it by rows (segment_id, type, dow, time, value).
+
     An empty mapping is refused before anything is made. The window's rows and the mapping are copied first and the plan is made
     again from the copies: what agrees with the plan and what is published are the same rows, whatever lands meanwhile. A run that
     fails on the way has no state row and is repeated whole.
     """
     if mapping.isEmpty():
         raise quality.QualityError("the mapping is empty")
+    # a mapping may be one small file: its digests are made side by side all the same
+    mapping = mapping.select("segment_id", "zone_id").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "segment_id")
     plan, window = _rolling_plan(spark.read.option("basePath", live).parquet(live), mapping, weeks)
     if not store.publish_needed(store.read_state(spark, state), **plan):
         return False
-    window, mapping = materialise(window, "window"), materialise(mapping.select("segment_id", "zone_id"), "mapping")
+    window, mapping = materialise(window, "window"), materialise(mapping, "mapping")
     store.same_plan(plan, _rolling_plan(window, mapping, weeks)[0])
     rolled = materialise(demand.weekday_means(window, weeks), "weekday-means")  # checked, expanded and exported
     if not demand.sample_gate(rolled, weeks).first().ok or not demand.bad_means(rolled).isEmpty():
         raise quality.QualityError("weekday means are incomplete")
-    values = store.replacement(demand.expand_to_segments(rolled, mapping))
-    store.publish(values, table, lambda written: stop(demand.segment_violations(written, mapping), "segment values"))
+    values = store.replacement(demand.week_lists(rolled, mapping))
+    store.publish(values, table, lambda written: stop(demand.week_violations(written, mapping), "segment values"), cube=demand.WEEK)
     if export is not None:
         store.export_json(demand.demand_snapshot(rolled), export)
     store.write_state(spark, state, status="published", **plan)
