@@ -96,3 +96,11 @@ def test_a_links_readings_go_to_few_parts(spark, rows, monkeypatch):
     key = lambda df: sorted((r.segment_id, r.time, round(r.avg_speed, 9), r.last_observed_at) for r in df.collect())
     links_df = rows("link_id string, segment_id string", *pairs)
     assert key(traveltime.fanned_slot_means(read, links_df)) == key(traveltime.slot_means(traveltime.fan_out(read, links_df)))
+
+
+def test_means_are_summed_in_time_order(rows):
+    """To the last bit as the plain operator: a sum in another order may fall to the other side of a half second."""
+    read = rows(READ, *[(f"l{i % 3}", 1.0 + i * 7919 % 9973 / 100, dt(2026, 8, 1 + i // 60, i % 12, i % 60)) for i in range(1500)])
+    links = rows("link_id string, segment_id string", *[(f"l{i}", s) for s in "ab" for i in range(3)])
+    key = lambda df: sorted((r.segment_id, r.time, r.avg_speed) for r in df.collect())
+    assert key(traveltime.fanned_slot_means(read, links)) == key(traveltime.slot_means(traveltime.fan_out(read, links)))
